@@ -1,0 +1 @@
+"""Empty on purpose: every job of this project is a bounded batch."""
