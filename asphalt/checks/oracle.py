@@ -123,8 +123,8 @@ def presence(element: str) -> str:
     return f"(n_{element} / GREATEST(n_accidents, 1))"
 
 
-EQUIPMENT = "COALESCE(NULLIF(array_to_string(list_filter([" + ", ".join(
-    f"CASE WHEN {presence(e)} >= {T.presence_min} THEN '{e}' END" for e in INFRA) + "], x -> x IS NOT NULL), ', '), ''), '—')"
+EQUIPMENT = "COALESCE(NULLIF(concat_ws(', ', " + ", ".join(
+    f"CASE WHEN {presence(e)} >= {T.presence_min} THEN '{e}' END" for e in INFRA) + "), ''), '—')"
 LABELS = {
     "traffic_signal": "installer des feux", "crossing": "sécuriser passage piéton", "stop": "stop / cédez-le-passage",
     "traffic_calming": "modération de trafic (ralentisseurs)",

@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asphalt.operators.features import Encoder
-from asphalt.operators.profile import long_format
-from asphalt.schema import DEPLOYABLE, INFRA, TARGET
+from asphalt.operators.profile import flag_patterns, long_format
+from asphalt.operators.scalars import with_row
+from asphalt.schema import DEPLOYABLE, INFRA, NUMERIC_CONTROLS, TARGET
 
 Scorer = Callable[[DataFrame], DataFrame]
 NORMAL_95 = 1.959964
@@ -40,9 +41,15 @@ def switched(df: DataFrame, elements: Sequence[str]) -> DataFrame:
     })
 
 
-def _contribution(position: int, element: str) -> Column:
-    """Signed score of a copy in "flag on minus flag off", NULL where the copy has no part in it."""
-    sign = F.when(F.col(f"_was.{element}") == 1, 1.0).otherwise(-1.0)
+def _score_patterns(df: DataFrame, scorer: Scorer, elements: Sequence[str]) -> DataFrame:
+    """Total score per combination of observed flags and switch: a bounded number of rows."""
+    scored = scorer(switched(df, elements))
+    return scored.groupBy("_was", "_switch").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
+
+
+def _signed_score(position: Column, flag: Column) -> Column:
+    """Part of a pattern in "flag on minus flag off", NULL where it has none."""
+    sign = F.when(flag == 1, 1.0).otherwise(-1.0)
     return F.when(F.col("_switch") == _AS_IT_IS, sign * F.col("score")).when(
         F.col("_switch") == position, -sign * F.col("score")
     )
@@ -50,10 +57,16 @@ def _contribution(position: int, element: str) -> Column:
 
 def adjusted_effects(df: DataFrame, scorer: Scorer, elements: Sequence[str] = INFRA) -> DataFrame:
     """Mean change of the predicted severe probability, element on minus off."""
-    scored = scorer(switched(df, elements))
-    rows = F.count_if(F.col("_switch") == _AS_IT_IS)
-    sums = scored.agg(*[(F.sum(_contribution(i, e)) / rows).alias(e) for i, e in enumerate(elements)])
-    return long_format(sums, elements, "element", "delta")
+    patterns = _score_patterns(df, scorer, elements)
+    item = F.explode(F.array(*[
+        F.struct(F.lit(e).alias("element"), F.lit(i).alias("position"), F.col(f"_was.{e}").alias("flag"))
+        for i, e in enumerate(elements)
+    ]))
+    observed = F.when(F.col("_switch") == _AS_IT_IS, F.col("n"))
+    return (
+        patterns.withColumn("item", item).groupBy("item.element")
+        .agg((F.sum(_signed_score(F.col("item.position"), F.col("item.flag"))) / F.sum(observed)).alias("delta"))
+    )
 
 
 def conditional_effects(
@@ -65,41 +78,51 @@ def conditional_effects(
     All pairs come out of one scan. A hazard with fewer than ``min_rows`` rows
     has an unknown effect. The result has one row per (hazard, measure).
     """
-    scored = scorer(switched(df, measures)).withColumns(
-        {f"_d_{p}": _contribution(i, p) for i, p in enumerate(measures)}
-    )
-
-    def among(hazard: str, measure: str) -> Column:
-        carries = F.col(f"_was.{hazard}") == 1
-        n = F.count_if(carries & (F.col("_switch") == _AS_IT_IS))
-        total = F.sum(F.when(carries, F.col(f"_d_{measure}")))
-        delta = F.when(n >= min_rows, F.try_divide(total, n.cast("double")))
-        return _pair_struct(hazard, measure, n, delta)
-
-    return scored.agg(F.array(*[among(h, p) for h, p in pairs(hazards, measures)]).alias("all")).select(
-        F.inline("all")
-    )
-
-
-def _pair_struct(hazard: str, measure: str, n: Column, delta: Column) -> Column:
-    return F.struct(
-        F.lit(hazard).alias("hazard"), F.lit(measure).alias("measure"), n.alias("n"), delta.alias("delta")
+    patterns = _score_patterns(df, scorer, measures)
+    item = F.explode(F.array(*[
+        F.struct(
+            F.lit(h).alias("hazard"), F.lit(p).alias("measure"), F.lit(list(measures).index(p)).alias("position"),
+            F.col(f"_was.{h}").alias("carried"), F.col(f"_was.{p}").alias("flag"),
+        )
+        for h, p in pairs(hazards, measures)
+    ]))
+    carried = F.col("item.carried") == 1
+    rows = F.sum(F.when(carried & (F.col("_switch") == _AS_IT_IS), F.col("n")).otherwise(0))
+    total = F.sum(F.when(carried, _signed_score(F.col("item.position"), F.col("item.flag"))))
+    return (
+        patterns.withColumn("item", item).groupBy("item.hazard", "item.measure")
+        .agg(rows.alias("n"), total.alias("_total"))
+        .withColumn("delta", F.when(F.col("n") >= min_rows, F.try_divide(F.col("_total"), F.col("n").cast("double"))))
+        .drop("_total")
     )
 
 
 def raw_conditional_effects(
     df: DataFrame, min_rows: int, hazards: Sequence[str] = INFRA, measures: Sequence[str] = DEPLOYABLE
 ) -> DataFrame:
-    """Observed mean severity with minus without a measure among rows that carry a hazard."""
+    """Observed mean severity with minus without a measure among rows that carry a hazard.
+
+    ``n`` is the size of the smaller arm; below ``min_rows`` the effect is unknown.
+    """
+    item = F.explode(F.array(*[
+        F.struct(
+            F.lit(h).alias("hazard"), F.lit(p).alias("measure"), F.col(h).alias("carried"), F.col(p).alias("flag")
+        )
+        for h, p in pairs(hazards, measures)
+    ]))
 
-    def among(hazard: str, measure: str) -> Column:
-        with_it = (F.col(hazard) == 1) & (F.col(measure) == 1)
-        without = (F.col(hazard) == 1) & (F.col(measure) == 0)
-        smaller = F.least(F.count_if(with_it), F.count_if(without))
-        change = F.avg(F.when(with_it, F.col("severity"))) - F.avg(F.when(without, F.col("severity")))
-        return _pair_struct(hazard, measure, smaller, F.when(smaller >= min_rows, change))
+    def arm(flag: int, total: str) -> Column:
+        inside = (F.col("item.carried") == 1) & (F.col("item.flag") == flag)
+        return F.sum(F.when(inside, F.col(total)).otherwise(0))
 
-    return df.agg(F.array(*[among(h, p) for h, p in pairs(hazards, measures)]).alias("all")).select(F.inline("all"))
+    arms = flag_patterns(df).select("n", "charge", item.alias("item")).groupBy("item.hazard", "item.measure").agg(
+        arm(0, "n").alias("n0"), arm(0, "charge").alias("c0"), arm(1, "n").alias("n1"), arm(1, "charge").alias("c1"),
+    )
+    change = F.try_divide(F.col("c1").cast("double"), F.col("n1").cast("double")) - F.try_divide(
+        F.col("c0").cast("double"), F.col("n0").cast("double")
+    )
+    smaller = F.least("n0", "n1")
+    return arms.select("hazard", "measure", smaller.alias("n"), F.when(smaller >= min_rows, change).alias("delta"))
 
 
 def pair_concordance(adjusted: DataFrame, raw: DataFrame) -> DataFrame:
@@ -126,13 +149,14 @@ def concordance(odds: DataFrame, effects: DataFrame) -> DataFrame:
 def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     """Adjusted odds ratio of each element with its 95 % interval, on all training rows.
 
-    Unweighted and without a penalty. A flag that never varies is left out, as
+    Unweighted and without a penalty. A column that never varies is left out, as
     it has no ratio.
     """
     spark = train.sparkSession
-    span = train.agg(*[(F.max(e) - F.min(e)).alias(e) for e in elements]).first()
-    varying = [e for e in elements if span[e]]
-    encoder = Encoder.fit(train, min_rows=1, drop_first=True)
+    candidates = [*elements, *NUMERIC_CONTROLS]
+    span = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in candidates]).first()
+    varying, numeric = ([c for c in group if span[c]] for group in (elements, NUMERIC_CONTROLS))
+    encoder = Encoder.fit(train, numeric, min_rows=1, drop_first=True)
     rows = VectorAssembler(inputCols=[*varying, "controls"], outputCol="features").transform(
         encoder.transform(train)
     ).select("features", TARGET).persist()
@@ -162,9 +186,9 @@ def linear_attribution(
     background mean, in log-odds, exact for every row.
     """
     names = list(coefficients)
-    means = background.agg(*[F.avg(n).alias(n) for n in names]).select(F.struct(*names).alias("means")).scalar()
-    values = {n: (F.col(n) - means[n]) * float(coefficients[n]) for n in names}
-    summary = df.agg(*[
+    means = background.agg(*[F.avg(n).alias(n) for n in names])
+    values = {n: (F.col(n) - F.col(f"_means.{n}")) * float(coefficients[n]) for n in names}
+    summary = with_row(df, means, "_means").agg(*[
         F.struct(F.avg(v).alias("signed"), F.avg(F.abs(v)).alias("size")).alias(n) for n, v in values.items()
     ])
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asphalt.operators.ordering import quantiles
+from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
 from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, NUMERIC_CONTROLS, TARGET
 
@@ -45,7 +46,7 @@ def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42,
     before = Window.partitionBy(by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     cut = (
-        sizes.where((F.col("_before") < cap) & (F.col("_before") + F.col("_rows") > cap))
+        sizes.where((F.col("_before") < cap) & (F.col("_before") + F.col("_rows") >= cap))
         .select(F.col(by).alias("_group"), F.col("_slice").alias("_cut"), (F.lit(cap) - F.col("_before")).alias("_room"))
     )
     placed = hashed.join(cut, F.col(by).eqNullSafe(F.col("_group")), "left")
@@ -105,11 +106,12 @@ def pool_rare(df: DataFrame, column: str, min_rows: int = 20, reference: DataFra
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Subtract the mean and divide by the population deviation; a constant becomes 0."""
     spread = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in columns])
-    stats = spread.select(F.struct(*columns).alias("stats")).scalar()
-    return df.withColumns({
-        c: F.coalesce(F.try_divide(F.col(c) - stats[c]["mean"], stats[c]["sd"]), F.col(c) - F.col(c))
+    return with_row(df, spread, "_stats").withColumns({
+        c: F.coalesce(
+            F.try_divide(F.col(c) - F.col(f"_stats.{c}.mean"), F.col(f"_stats.{c}.sd")), F.col(c) - F.col(c)
+        )
         for c in columns
-    })
+    }).drop("_stats")
 
 
 def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:

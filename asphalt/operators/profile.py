@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asphalt.schema import INFRA
@@ -50,18 +50,28 @@ def severity_distribution(df: DataFrame) -> DataFrame:
     return counts.withColumn("pct", F.col("n") / total * 100).orderBy("severity")
 
 
+def flag_patterns(df: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
+    """Accidents and total severity per combination of flags.
+
+    There are at most 2^12 combinations: questions about flags are answered on
+    these few rows after one scan that updates two sums per accident.
+    """
+    return df.groupBy(*elements).agg(F.count("severity").alias("n"), F.sum("severity").alias("charge"))
+
+
 def infra_delta(df: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
-    """Mean severity with and without each element, all elements in one scan."""
-    means = df.agg(*[
-        F.struct(
-            F.avg(F.when(F.col(e) == 0, F.col("severity"))).alias("without"),
-            F.avg(F.when(F.col(e) == 1, F.col("severity"))).alias("with"),
-        ).alias(e)
-        for e in elements
-    ])
+    """Mean severity with and without each element."""
+    item = F.explode(F.array(*[F.struct(F.lit(e).alias("element"), F.col(e).alias("flag")) for e in elements]))
+
+    def mean(flag: int) -> Column:
+        return F.try_divide(
+            F.sum(F.when(F.col("item.flag") == flag, F.col("charge"))).cast("double"),
+            F.sum(F.when(F.col("item.flag") == flag, F.col("n"))).cast("double"),
+        )
+
     return (
-        long_format(means, elements, "element", "m")
-        .select("element", F.col("m.without").alias("sev_without"), F.col("m.with").alias("sev_with"))
+        flag_patterns(df, elements).select("n", "charge", item.alias("item"))
+        .groupBy("item.element").agg(mean(0).alias("sev_without"), mean(1).alias("sev_with"))
         .withColumn("delta", F.col("sev_with") - F.col("sev_without"))
         .where(F.col("delta").isNotNull())
         .orderBy("delta", "element")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asphalt import labels
 from asphalt.functions.text import label_of
+from asphalt.operators.scalars import with_row
 from asphalt.schema import DEPLOYABLE, INFRA
 
 
@@ -32,21 +33,19 @@ def with_lift(zones: DataFrame, shares: DataFrame, weight: str = "severity", lif
     Equal lifts go to the element that comes first in the list.
     """
     prefix, total = _weights(weight)
-    territory = shares.select(F.struct(*INFRA).alias("shares")).scalar()
-
     def lift(element: str) -> Column:
-        local = F.col(f"{prefix}{element}") / F.greatest(F.col(total), F.lit(1))
-        return F.when(territory[element] > 0, local / territory[element]).otherwise(F.lit(0.0))
+        local, usual = F.col(f"{prefix}{element}") / F.greatest(F.col(total), F.lit(1)), F.col(f"_shares.{element}")
+        return F.when(usual > 0, local / usual).otherwise(F.lit(0.0))
 
     candidates = F.array(*[
         F.struct(lift(e).alias("lift"), F.lit(-i).alias("place"), F.lit(e).alias("element"))
         for i, e in enumerate(INFRA)
     ])
     top = F.array_max(candidates)
-    return zones.withColumn("_top", top).withColumns({
+    return with_row(zones, shares, "_shares").withColumn("_top", top).withColumns({
         "lift": F.col("_top.lift"),
         "dominant": F.when(F.col("_top.lift") >= lift_min, F.col("_top.element")).otherwise(labels.DIFFUSE),
-    }).drop("_top")
+    }).drop("_top", "_shares")
 
 
 def presence(element: str) -> Column:

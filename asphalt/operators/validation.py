@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asphalt.operators.ordering import quantiles, tie_ranks
+from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
 
 
@@ -35,13 +36,13 @@ def period_scores(burdens: DataFrame) -> DataFrame:
     bounds = burdens.agg(*[
         f(c).alias(f"{n}_{c}") for c in ("early", "late") for n, f in (("lo", F.min), ("hi", F.max))
     ])
-    limits = bounds.select(F.struct(*bounds.columns).alias("limits")).scalar()
 
     def scaled(column: str) -> Column:
-        low, high = limits[f"lo_{column}"], limits[f"hi_{column}"]
+        low, high = F.col(f"_limits.lo_{column}"), F.col(f"_limits.hi_{column}")
         return F.try_divide((F.col(column) - low).cast("double"), (high - low).cast("double")).alias(column)
 
-    return burdens.select("cell", scaled("early"), scaled("late")).na.drop(subset=["early", "late"])
+    placed = with_row(burdens, bounds, "_limits")
+    return placed.select("cell", scaled("early"), scaled("late")).na.drop(subset=["early", "late"])
 
 
 def rank_correlation(df: DataFrame, left: str, right: str) -> DataFrame:

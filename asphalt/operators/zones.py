@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from asphalt.functions import hexgrid
 from asphalt.operators.ordering import row_numbers, running_totals
+from asphalt.operators.scalars import with_row
 from asphalt.schema import INFRA
 
 
@@ -99,14 +100,14 @@ def marker_size(zones: DataFrame) -> DataFrame:
     bounds = zones.agg(
         *[f(c).alias(f"{n}_{c}") for c in ("charge_per_km", "charge") for n, f in (("lo", F.min), ("hi", F.max))]
     )
-    limits = bounds.select(F.struct(*bounds.columns).alias("limits")).scalar()
 
-    def scaled(column: str):
-        low, high = limits[f"lo_{column}"], limits[f"hi_{column}"]
+    def scaled(column: str) -> Column:
+        low, high = F.col(f"_limits.lo_{column}"), F.col(f"_limits.hi_{column}")
         position = F.when(high > low, (F.col(column) - low) / (high - low)).otherwise(F.lit(0.0))
         return F.when(F.col(column).isNotNull(), position)
 
-    return zones.withColumn("size", F.coalesce(scaled("charge_per_km"), scaled("charge")))
+    size = F.coalesce(scaled("charge_per_km"), scaled("charge"))
+    return with_row(zones, bounds, "_limits").withColumn("size", size).drop("_limits")
 
 
 def totals(zones: DataFrame) -> DataFrame:
