@@ -18,11 +18,9 @@ from asphalt.functions.text import weather_bucket
 from asphalt.operators import (
     cleaning, effects, exposure, features, metrics, models, profile, quality, recommend, validation, when, zones,
 )
-from asphalt.operators.ordering import quantiles, row_numbers
-from asphalt.schema import (
-    CATEGORICAL_CONTROLS, DEPLOYABLE, FEATURES, INFRA, NUMERIC_CONTROLS, TARGET, WEATHER_NUMERIC, ModelChoice,
-)
-from asphalt.session import checkpoint_ready
+from asphalt.plans import decide
+from asphalt.schema import INFRA, TARGET, WEATHER_NUMERIC, ModelChoice
+from asphalt.session import checkpoint_ready, materialise
 from asphalt.sources.accidents import scan_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +58,11 @@ def national_zones(spark: SparkSession, sf: str) -> DataFrame:
     return zones.zone_table(clean_table(spark, sf), P.STAND_IN.resolution, keys=())
 
 
+def shared_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """The zone table computed once, for questions that read it several times."""
+    return materialise(national_zones(spark, sf))
+
+
 def roads(spark: SparkSession, sf: str) -> DataFrame:
     return exposure.road_exposure(load(spark, sf, "road_segments"), P.STAND_IN.resolution)
 
@@ -87,20 +90,15 @@ def conditional(spark: SparkSession, sf: str) -> DataFrame:
     return effects.conditional_effects(split(spark, sf)[1], fixed_score, P.STAND_IN.min_rows)
 
 
-def recommended(spark: SparkSession, sf: str) -> DataFrame:
+def recommended(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
     """Priority zones with exposure, hazard, equipment and recommendation."""
-    t = P.STAND_IN
-    table = national_zones(spark, sf)
-    top = zones.priority(table, t.top_zones)
-    near = exposure.segments_in(load(spark, sf, "road_segments"), top, t.top_zones, t.resolution)
-    top = exposure.with_zone_type(exposure.with_exposure(top, exposure.road_exposure(near, t.resolution)))
-    top = recommend.with_lift(top, recommend.territory_share(table), lift_min=t.lift_min)
-    top = top.withColumn("equip_present", recommend.equipment_present(t.presence_min))
-    return recommend.recommend(top, conditional(spark, sf), t.presence_min)
+    table = shared_zones(spark, sf) if table is None else table
+    return decide.recommended_zones(
+        table, conditional(spark, sf), P.STAND_IN, load(spark, sf, "road_segments"))
 
 
-def written_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return recommend.final_plan(recommended(spark, sf))
+def written_plan(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+    return recommend.final_plan(recommended(spark, sf, table))
 
 
 # --- sources and cleaning -----------------------------------------------------
@@ -286,7 +284,7 @@ def zone_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def flagship_zones(spark: SparkSession, sf: str) -> DataFrame:
-    top = zones.priority_with_share(national_zones(spark, sf), P.STAND_IN.top_zones)
+    top = zones.priority_with_share(shared_zones(spark, sf), P.STAND_IN.top_zones)
     return rounded(top.select("rank", "cell", "n_accidents", "avg_severity", "charge", "charge_share"))
 
 
@@ -320,7 +318,7 @@ def zone_geojson(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zone_size(spark: SparkSession, sf: str) -> DataFrame:
-    sized = zones.marker_size(exposure.with_exposure(national_zones(spark, sf), roads(spark, sf)))
+    sized = zones.marker_size(exposure.with_exposure(shared_zones(spark, sf), roads(spark, sf)))
     return rounded(sized.select("cell", "size"))
 
 
@@ -537,7 +535,7 @@ def rank_convergence(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def territory_share(spark: SparkSession, sf: str) -> DataFrame:
-    table = national_zones(spark, sf)
+    table = shared_zones(spark, sf)
     sides = [
         profile.long_format(recommend.territory_share(table, w), INFRA, "element", "share").withColumn("weight", F.lit(w))
         for w in ("severity", "count")
@@ -547,7 +545,7 @@ def territory_share(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def zone_lift(spark: SparkSession, sf: str) -> DataFrame:
-    table = national_zones(spark, sf)
+    table = shared_zones(spark, sf)
     sides = [
         recommend.with_lift(table, recommend.territory_share(table, w), w, P.STAND_IN.lift_min)
         .select("cell", "lift", "dominant", F.lit(w).alias("weight"))
@@ -565,7 +563,7 @@ def equip_present(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def recommend_all(spark: SparkSession, sf: str) -> DataFrame:
     """Recommendation for every zone, not only the priority list."""
-    table = national_zones(spark, sf)
+    table = shared_zones(spark, sf)
     lifted = recommend.with_lift(table, recommend.territory_share(table), lift_min=P.STAND_IN.lift_min)
     done = recommend.recommend(lifted, conditional(spark, sf), P.STAND_IN.presence_min)
     return rounded(done.select("cell", "dominant", "measure", "amenagement", "impact_graves_evites"))
@@ -618,16 +616,25 @@ def leak_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def plan_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.plan_violations(written_plan(spark, sf), distinct_actions=2).withColumn(
-        "zones", national_zones(spark, sf).agg(F.count("*")).scalar())
+    table = shared_zones(spark, sf)
+    return quality.plan_violations(written_plan(spark, sf, table), distinct_actions=2).withColumn(
+        "zones", table.agg(F.count("*")).scalar())
 
 
 # --- fitted models (no SQL equivalent) ----------------------------------------
 
 
+def _fit(train: DataFrame, choice: ModelChoice) -> models.SeverityModel:
+    rows = models.training_rows(train, choice.place_history)
+    try:
+        return models.fit(rows, choice)
+    finally:
+        rows.unpersist()
+
+
 def _fitted(spark: SparkSession, sf: str, algorithm: str, **params) -> tuple[models.SeverityModel, DataFrame]:
     train, test = split(spark, sf)
-    return models.fit(train, ModelChoice(algorithm, params)), test
+    return _fit(train, ModelChoice(algorithm, params)), test
 
 
 def _quality(spark: SparkSession, sf: str, algorithm: str, **params) -> DataFrame:
@@ -659,7 +666,7 @@ def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
 def fit_with_history(spark: SparkSession, sf: str) -> DataFrame:
     choice = ModelChoice("logistic", place_history=True)
     train, test = models.split_for(clean_table(spark, sf), choice, P.STAND_IN.test_from, None)
-    return metrics.reliability(metrics.evaluate(models.scored_rows(models.fit(train, choice), test)))
+    return metrics.reliability(metrics.evaluate(models.scored_rows(_fit(train, choice), test)))
 
 
 _SMALL = {
@@ -682,15 +689,24 @@ def gcomp(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def odds_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return effects.odds_ratios(split(spark, sf)[0])
+    rows = models.training_rows(split(spark, sf)[0])
+    try:
+        return effects.odds_ratios(rows)
+    finally:
+        rows.unpersist()
 
 
 @query
 def importances(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = split(spark, sf)
-    return models.importances({
-        name: models.fit(train, choice) for name, choice in _SMALL.items() if name in ("logistic", "tree", "forest")
-    })
+    rows = models.training_rows(split(spark, sf)[0])
+    try:
+        encoder = features.Encoder.fit(rows)
+        return models.importances({
+            name: models.fit(rows, choice, encoder)
+            for name, choice in _SMALL.items() if name in ("logistic", "tree", "forest")
+        })
+    finally:
+        rows.unpersist()
 
 
 @query

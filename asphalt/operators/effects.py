@@ -157,18 +157,18 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     span = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in candidates]).first()
     varying, numeric = ([c for c in group if span[c]] for group in (elements, NUMERIC_CONTROLS))
     encoder = Encoder.fit(train, numeric, min_rows=1, drop_first=True)
-    rows = VectorAssembler(inputCols=[*varying, "controls"], outputCol="features").transform(
-        encoder.transform(train)
-    ).select("features", TARGET).persist()
+    assembler = VectorAssembler(inputCols=[*varying, "controls"], outputCol="features")
+    # The reweighted fits read the encoded rows once per iteration.
+    rows = assembler.transform(encoder.transform(train)).select("features", TARGET).persist()
     try:
         model = GeneralizedLinearRegression(
             family="binomial", link="logit", labelCol=TARGET, maxIter=100, tol=1e-8
         ).fit(rows)
         errors = model.summary.coefficientStandardErrors
-        betas = model.coefficients.toArray()
-        found = [(e, float(betas[i]), float(errors[i])) for i, e in enumerate(varying)]
     finally:
         rows.unpersist()
+    betas = model.coefficients.toArray()
+    found = [(e, float(betas[i]), float(errors[i])) for i, e in enumerate(varying)]
     table = spark.createDataFrame(found, "element string, beta double, error double")
     half = F.col("error") * NORMAL_95
     return table.select(

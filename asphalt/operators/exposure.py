@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from asphalt import labels
 from asphalt.functions import hexgrid
 from asphalt.operators.ordering import quantiles, tie_ranks
-
-BROADCAST_ROWS = 100_000
+from asphalt.session import BROADCAST_ROWS, materialise
 
 
 def segments_in(segments: DataFrame, zones: DataFrame, top: int, resolution: int = 8) -> DataFrame:
@@ -51,22 +50,30 @@ def with_exposure(zones: DataFrame, roads: DataFrame) -> DataFrame:
     })
 
 
-def with_zone_type(zones: DataFrame) -> DataFrame:
-    """Tell a concentrated black spot from an extended network by the median intensity."""
-    median = quantiles(zones, ["acc_per_km"], 0.5).select("value").scalar()
+def with_zone_type(zones: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Tell a concentrated black spot from an extended network by the median intensity.
+
+    ``at_most`` is the known size of a priority list; without it the median is
+    taken over a distributed order.
+    """
+    zones = materialise(zones)
+    if at_most is not None and at_most <= BROADCAST_ROWS:
+        median = zones.agg(F.median("acc_per_km")).scalar()
+    else:
+        median = quantiles(zones, ["acc_per_km"], 0.5).select("value").scalar()
     intensity = F.col("acc_per_km")
-    return zones.withColumn(
+    return zones.withColumn("_median", median).withColumn(
         "type_zone",
-        F.when(median.isNull(), labels.ZONE_NO_EXPOSURE)
+        F.when(F.col("_median").isNull(), labels.ZONE_NO_EXPOSURE)
         .when(intensity.isNull(), labels.ZONE_UNKNOWN)
-        .when(intensity >= median, labels.ZONE_CONCENTRATED)
+        .when(intensity >= F.col("_median"), labels.ZONE_CONCENTRATED)
         .otherwise(labels.ZONE_DIFFUSE),
-    )
+    ).drop("_median")
 
 
 def rank_movement(zones: DataFrame) -> DataFrame:
     """Places gained by a zone when its burden is divided by its street length."""
-    known = zones.where(F.col("street_km") > 0)
+    known = materialise(zones.where(F.col("street_km") > 0))
     by_charge = tie_ranks(known, "charge").withColumnRenamed("avg_rank", "rank_charge")
     by_density = tie_ranks(known, "charge_per_km").withColumnRenamed("avg_rank", "rank_per_km")
     return (

@@ -10,10 +10,12 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from asphalt.functions import hexgrid
 from asphalt.operators.ordering import quantiles
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
 from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, NUMERIC_CONTROLS, TARGET
+from asphalt.session import broadcast_if_small, materialise
 
 INFREQUENT = "_infrequent"
 MAX_CATEGORIES = 4000
@@ -124,14 +126,6 @@ def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
     )
 
 
-def with_class_weight(df: DataFrame, label: str = TARGET) -> DataFrame:
-    found = {r[label]: r["weight"] for r in class_weights(df, label).collect()}
-    weight = F.lit(None).cast("double")
-    for value, w in found.items():
-        weight = F.when(F.col(label) == value, w).otherwise(weight)
-    return df.withColumn("weight", weight)
-
-
 def history_columns(resolutions: Sequence[int] = HISTORY_RESOLUTIONS) -> list[str]:
     return [name for r in resolutions for name in (f"zone_hist{r}", f"zone_hist{r}_n")]
 
@@ -143,19 +137,25 @@ def zone_history(
 
     A place without training rows gets the overall rate and a count of 0.
     """
-    prior = train.agg(F.avg(TARGET)).scalar()
+    lat, lng = F.col("start_lat"), F.col("start_lng")
+    cells = F.explode(F.array(*[hexgrid.cell(lat, lng, r) for r in resolutions]))
+    # Names of cells start with their resolution, so one table holds all resolutions.
+    learnt = materialise(
+        train.select(cells.alias("_cell"), TARGET).groupBy("_cell")
+        .agg(F.sum(TARGET).alias("_graves"), F.count("*").alias("_n"))
+    )
+    prior = learnt.agg(F.sum("_graves") / F.sum("_n")).scalar()
+    table = broadcast_if_small(learnt)
+    rows = rows.withColumn("_prior", prior)
     for resolution in resolutions:
-        name = f"zone_hist{resolution}"
-        learnt = with_cell(train, resolution, "_cell").groupBy("_cell").agg(
-            F.sum(TARGET).alias("_graves"), F.count("*").alias("_n")
-        )
+        name, count = f"zone_hist{resolution}", F.coalesce("_n", F.lit(0))
+        smoothed = (F.coalesce("_graves", F.lit(0)) + F.col("_prior") * weight) / (count + weight)
         rows = (
-            with_cell(rows, resolution, "_cell").join(learnt, "_cell", "left")
-            .withColumn(name, F.coalesce((F.col("_graves") + prior * weight) / (F.col("_n") + weight), prior))
-            .withColumn(f"{name}_n", F.coalesce("_n", F.lit(0)))
+            with_cell(rows, resolution, "_cell").join(table, "_cell", "left")
+            .withColumns({name: smoothed, f"{name}_n": count})
             .drop("_cell", "_graves", "_n")
         )
-    return rows
+    return rows.drop("_prior")
 
 
 @dataclass(frozen=True)
@@ -182,29 +182,28 @@ class Encoder:
         """Learn fills, scales and categories; with ``drop_first`` the first category is the reference."""
         found = {r["name"]: r["value"] for r in medians(train, numeric).collect()}
         fills = {c: found.get(c, 0.0) for c in numeric}
-        filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c) for c in numeric])
-        spread = filled.agg(
-            *[f(c).alias(f"{n}_{c}") for c in numeric for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]
+        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in numeric}
+        stats = train.agg(
+            *[f(v).alias(f"{n}_{c}") for c, v in filled.items() for n, f in (("mean", F.avg), ("sd", F.stddev_pop))],
+            *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in categorical],
         ).first()
-
         counts = category_counts(train, categorical).limit(MAX_CATEGORIES + 1).collect()
         if len(counts) > MAX_CATEGORIES:
             raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(categorical)}")
-        missing = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in categorical]).first()
         most, rare, labels = {}, {}, {}
         for c in categorical:
             sizes = {r["value"]: r["rows"] for r in counts if r["name"] == c}
             most[c] = min(sizes, key=lambda v: (-sizes[v], v)) if sizes else None
             if sizes:
-                sizes[most[c]] += missing[c]
+                sizes[most[c]] += stats[f"missing_{c}"]
             rare[c] = sorted(v for v, n in sizes.items() if n < min_rows)
             kept = sorted(set(sizes) - set(rare[c])) + ([INFREQUENT] if rare[c] else [])
             kept = kept[1:] if drop_first else kept
             if kept:
                 labels[c] = kept
         plain = cls(
-            tuple(numeric), fills, {c: spread[f"mean_{c}"] for c in numeric},
-            {c: spread[f"sd_{c}"] or 1.0 for c in numeric}, most, rare, labels,
+            tuple(numeric), fills, {c: stats[f"mean_{c}"] for c in numeric},
+            {c: stats[f"sd_{c}"] or 1.0 for c in numeric}, most, rare, labels,
         )
         # A category outside the list has the index after the last one, which is encoded as all zeros.
         stages = [

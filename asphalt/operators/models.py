@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,14 +11,15 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asphalt.operators.features import (
-    Encoder, capped_sample, history_columns, with_class_weight, zone_history,
+    Encoder, capped_sample, class_weights, history_columns, model_table, zone_history,
 )
 from asphalt.operators.metrics import evaluate
 from asphalt.schema import INFRA, NUMERIC_CONTROLS, TARGET, ModelChoice
+from asphalt.session import spread
 
 # Algorithm names of the run file, the hyper-parameters each takes
 # there with the Spark name, and the published defaults.
@@ -96,23 +97,33 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[*INFRA, "controls"], outputCol="features")
 
 
+def training_rows(train: DataFrame, place_history: bool = False) -> DataFrame:
+    """The columns a fit needs, spread over the cores and kept: a fit reads them many times."""
+    extra = history_columns() if place_history else []
+    return spread(model_table(train, extra)).persist()
+
+
 def fit(train: DataFrame, choice: ModelChoice, encoder: Encoder | None = None) -> SeverityModel:
-    """Fit one algorithm on the training rows."""
+    """Fit one algorithm; ``train`` is best given as ``training_rows``."""
     check_choice(choice.algorithm, choice.params)
-    numeric = NUMERIC_CONTROLS + (history_columns() if choice.place_history else [])
-    encoder = encoder or Encoder.fit(train, numeric)
-    weighted = with_class_weight(train) if choice.balanced else train.withColumn("weight", F.lit(1.0))
-    stats = weighted.agg(F.sum("weight").alias("total"), F.avg(TARGET).alias("prior")).first()
+    encoder = encoder or Encoder.fit(train, numeric_features(choice))
+    weights = {r[TARGET]: (r["n"], r["weight"]) for r in class_weights(train).collect()}
+    rows = sum(n for n, _ in weights.values())
+    prior = weights.get(1, (0, 0.0))[0] / rows
     if choice.algorithm == FLOOR:
-        return SeverityModel(FLOOR, encoder, None, float(stats["prior"]))
-    classifier = make_classifier(choice.algorithm, choice.params, stats["total"], choice.seed)
-    rows = _assembler().transform(encoder.transform(weighted)).select("features", TARGET, "weight")
-    # Iterative solvers read the encoded rows many times.
-    rows = rows.persist()
-    try:
-        return SeverityModel(choice.algorithm, encoder, classifier.fit(rows), float(stats["prior"]))
-    finally:
-        rows.unpersist()
+        return SeverityModel(FLOOR, encoder, None, prior)
+    weight = F.lit(1.0)
+    if choice.balanced:
+        for label, (_, w) in weights.items():
+            weight = F.when(F.col(TARGET) == label, w).otherwise(weight)
+    # Both weightings add up to the number of rows.
+    classifier = make_classifier(choice.algorithm, choice.params, rows, choice.seed)
+    encoded = _assembler().transform(encoder.transform(train.withColumn("weight", weight)))
+    return SeverityModel(choice.algorithm, encoder, classifier.fit(encoded.select("features", TARGET, "weight")), prior)
+
+
+def numeric_features(choice: ModelChoice) -> list[str]:
+    return NUMERIC_CONTROLS + (history_columns() if choice.place_history else [])
 
 
 def split_for(df: DataFrame, choice: ModelChoice, test_from: int, state: str | None) -> tuple[DataFrame, DataFrame]:
@@ -141,8 +152,12 @@ def compare(
     The table also has the ratio to the floor and marks the best by average
     precision, the floor left out. There is one row per algorithm.
     """
-    encoder = Encoder.fit(train)
-    fitted = {name: fit(train, choice, encoder) for name, choice in choices.items()}
+    rows = training_rows(train)
+    try:
+        encoder = Encoder.fit(rows)
+        fitted = {name: fit(rows, choice, encoder) for name, choice in choices.items()}
+    finally:
+        rows.unpersist()
     tables = [
         evaluate(scored_rows(model, test)).withColumn("model", F.lit(name))
         .withColumn("is_floor", F.lit(model.algorithm == FLOOR))
@@ -165,8 +180,6 @@ def floor_quality(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 def importances(models: Mapping[str, SeverityModel], elements: Sequence[str] = INFRA) -> DataFrame:
     """Weight of each flag in each fitted model: (method, element, value)."""
-    from pyspark.sql import SparkSession
-
     rows = []
     for method, model in models.items():
         weights = _weights(model)
@@ -175,7 +188,7 @@ def importances(models: Mapping[str, SeverityModel], elements: Sequence[str] = I
     return SparkSession.active().createDataFrame(rows, "method string, element string, value double")
 
 
-def _weights(model: SeverityModel) -> Callable | Sequence[float]:
+def _weights(model: SeverityModel) -> Sequence[float]:
     fitted = model.classifier
     if hasattr(fitted, "featureImportances"):
         return fitted.featureImportances.toArray()

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asphalt.session import checkpoint_ready
+from asphalt.session import materialise
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
@@ -22,8 +22,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
     ``order`` must not tie between rows: collapse equal keys first, which also
     keeps a key held by many rows from filling one range.
     """
-    checkpoint_ready(df.sparkSession)
-    ranged = df.repartitionByRange(*order).checkpoint()
+    ranged = materialise(df.repartitionByRange(*order))
     ranged = ranged.withColumns({"_range": F.spark_partition_id(), **{f"_v_{n}": c for n, c in sums.items()}})
 
     # One row per range: its size is the number of partitions, not of rows.

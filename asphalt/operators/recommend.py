@@ -127,14 +127,15 @@ def per_year(plan: DataFrame, years: DataFrame) -> DataFrame:
     )
 
 
+def element_name(code: Column) -> Column:
+    return label_of(code, labels.ELEMENT_NAMES)
+
+
 def reason() -> Column:
     """Sentence that explains a recommendation, from the unrounded columns."""
     def shown(value: Column) -> Column:
         return F.bround(value, 1).cast("string")
 
-    def name(code: Column) -> Column:
-        return label_of(code, labels.ELEMENT_NAMES)
-
     # The sentences of the interactive plan.
     diffuse = "aucun défaut d'infrastructure ne domine dans cette zone"
     equipped = "aléa « %s » mais les mesures efficaces sont déjà en place"
@@ -144,9 +145,9 @@ def reason() -> Column:
     )
     return (
         F.when(F.col("dominant") == labels.DIFFUSE, diffuse)
-        .when(F.col("measure").isNull(), F.format_string(equipped, name(F.col("dominant"))))
+        .when(F.col("measure").isNull(), F.format_string(equipped, element_name(F.col("dominant"))))
         .otherwise(F.format_string(
-            missing, name(F.col("dominant")), shown(F.col("lift")), name(F.col("measure")),
+            missing, element_name(F.col("dominant")), shown(F.col("lift")), element_name(F.col("measure")),
             shown(F.abs("measure_delta") * 100),
         ))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from asphalt.operators.ordering import quantiles, tie_ranks
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
+from asphalt.session import materialise
 
 
 def period_burdens(
@@ -54,6 +55,7 @@ def rank_correlation(df: DataFrame, left: str, right: str) -> DataFrame:
     pairs = df.where(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(
         F.col(left).alias("l"), F.col(right).alias("r")
     ).agg(F.count("*").alias("w"))
+    pairs = materialise(pairs)
     left_ranks = tie_ranks(pairs, "l", "w").withColumnRenamed("avg_rank", "lr")
     right_ranks = tie_ranks(pairs, "r", "w").withColumnRenamed("avg_rank", "rr")
     n = pairs.agg(F.sum("w").alias("n")).scalar()
@@ -86,6 +88,7 @@ def stability(burdens: DataFrame) -> Correlation:
 
 def still_on_top(burdens: DataFrame, top: int, fraction: float = 0.95) -> DataFrame:
     """How many of the first ``top`` cells of the early period reach the top of the late one."""
+    burdens = materialise(burdens)
     threshold = quantiles(burdens, ["late"], fraction).select("value").scalar()
     first = burdens.where(F.col("early").isNotNull()).orderBy(F.desc("early"), "cell").limit(top)
     return first.withColumn("threshold", threshold).agg(
@@ -103,10 +106,10 @@ def backtest(zone_years: DataFrame, top: int, past_until: int, future_from: int)
     there is no past zone or no later severe accident.
     """
     past, future = F.col("year") <= past_until, F.col("year") >= future_from
-    cells = zone_years.groupBy("cell").agg(
+    cells = materialise(zone_years.groupBy("cell").agg(
         F.sum(F.when(past, F.col("charge"))).alias("past_charge"),
         F.sum(F.when(future, F.col("graves"))).alias("future_graves"),
-    )
+    ))
     named = cells.where(F.col("past_charge").isNotNull()).orderBy(F.desc("past_charge"), "cell").limit(top)
     captured = named.agg(F.sum("future_graves").alias("captured")).scalar()
     return (

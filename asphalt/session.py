@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
@@ -25,6 +28,31 @@ def checkpoint_ready(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute a table once that several later steps read.
+
+    Meant for aggregates that are far smaller than the accidents they come
+    from: without it each reader would scan the accidents again. The copy is in
+    the shared checkpoint folder, so it survives the loss of an executor.
+    """
+    checkpoint_ready(df.sparkSession)
+    return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a materialised table after counting it; a larger one is joined by shuffle."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input comes in fewer pieces than there are cores.
+
+    Large inputs have more pieces than cores and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_session(cores: int | str = "*", name: str = "asphalt", **settings: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
