@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asphalt.operators.features import Encoder
+from asphalt.operators.features import Encoder, assemble
 from asphalt.operators.profile import flag_patterns, long_format
 from asphalt.operators.scalars import with_row
 from asphalt.schema import DEPLOYABLE, INFRA, NUMERIC_CONTROLS, TARGET
@@ -157,9 +156,8 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     span = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in candidates]).first()
     varying, numeric = ([c for c in group if span[c]] for group in (elements, NUMERIC_CONTROLS))
     encoder = Encoder.fit(train, numeric, min_rows=1, drop_first=True)
-    assembler = VectorAssembler(inputCols=[*varying, "controls"], outputCol="features")
     # The reweighted fits read the encoded rows once per iteration.
-    rows = assembler.transform(encoder.transform(train)).select("features", TARGET).persist()
+    rows = assemble(encoder.transform(train), varying).select("features", TARGET).persist()
     try:
         model = GeneralizedLinearRegression(
             family="binomial", link="logit", labelCol=TARGET, maxIter=100, tol=1e-8

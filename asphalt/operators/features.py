@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +13,11 @@ from asphalt.functions import hexgrid
 from asphalt.operators.ordering import quantiles
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
-from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, NUMERIC_CONTROLS, TARGET
+from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, INFRA, NUMERIC_CONTROLS, TARGET
 from asphalt.session import broadcast_if_small, materialise
 
 INFREQUENT = "_infrequent"
-MAX_CATEGORIES = 4000
+MAX_CATEGORIES = 1000
 HISTORY_RESOLUTIONS = (7, 5)
 
 
@@ -160,9 +159,10 @@ def zone_history(
 
 @dataclass(frozen=True)
 class Encoder:
-    """Turns the modelling table into ``controls``, a vector of encoded controls.
+    """Turns the modelling table into ``controls``, an array of encoded controls.
 
-    Flags stay plain columns, so that they can be switched before scoring.
+    Flags stay plain columns, so that they can be switched before scoring. The
+    encoding is made of column expressions, which compile into the scan.
     """
 
     numeric: tuple[str, ...]
@@ -172,7 +172,6 @@ class Encoder:
     modes: dict[str, str | None]
     rare: dict[str, list[str]]
     labels: dict[str, list[str]]
-    vectors: PipelineModel | None = None
 
     @classmethod
     def fit(
@@ -198,28 +197,15 @@ class Encoder:
                 sizes[most[c]] += stats[f"missing_{c}"]
             rare[c] = sorted(v for v, n in sizes.items() if n < min_rows)
             kept = sorted(set(sizes) - set(rare[c])) + ([INFREQUENT] if rare[c] else [])
-            kept = kept[1:] if drop_first else kept
-            if kept:
-                labels[c] = kept
-        plain = cls(
+            labels[c] = kept[1:] if drop_first else kept
+        return cls(
             tuple(numeric), fills, {c: stats[f"mean_{c}"] for c in numeric},
             {c: stats[f"sd_{c}"] or 1.0 for c in numeric}, most, rare, labels,
         )
-        # A category outside the list has the index after the last one, which is encoded as all zeros.
-        stages = [
-            StringIndexerModel.from_labels(values, inputCol=f"_cat_{c}", outputCol=f"_idx_{c}", handleInvalid="keep")
-            for c, values in labels.items()
-        ]
-        if labels:
-            stages.append(OneHotEncoder(
-                inputCols=[f"_idx_{c}" for c in labels], outputCols=[f"_hot_{c}" for c in labels], dropLast=True,
-            ))
-        stages.append(VectorAssembler(
-            inputCols=[f"_num_{c}" for c in numeric] + [f"_hot_{c}" for c in labels], outputCol="controls",
-        ))
-        return replace(plain, vectors=Pipeline(stages=stages).fit(plain._columns(train)))
-
-    def _columns(self, df: DataFrame) -> DataFrame:
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``controls``; a category that training did not have is encoded as all zeros."""
+
         def scaled(c: str) -> Column:
             return (F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c])) - self.means[c]) / self.deviations[c]
 
@@ -227,14 +213,24 @@ class Encoder:
             value = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
             return F.when(value.isin(self.rare[c]), INFREQUENT).otherwise(value) if self.rare[c] else value
 
-        return df.withColumns({
-            **{f"_num_{c}": scaled(c) for c in self.numeric}, **{f"_cat_{c}": category(c) for c in self.labels},
-        })
+        def hot(c: str) -> Column:
+            """One array element per category, written as a loop to keep the compiled code short."""
+            return F.transform(
+                F.array(*[F.lit(v) for v in self.labels[c]]),
+                lambda v: F.coalesce((v == F.col(f"_cat_{c}")).cast("double"), F.lit(0.0)),
+            )
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        hidden = [f"_{kind}_{c}" for kind in ("cat", "idx", "hot") for c in self.labels]
-        return self.vectors.transform(self._columns(df)).drop(*hidden, *[f"_num_{c}" for c in self.numeric])
+        used = [c for c, values in self.labels.items() if values]
+        named = df.withColumns({f"_cat_{c}": category(c) for c in used})
+        parts = [F.array(*[scaled(c) for c in self.numeric]), *[hot(c) for c in used]]
+        return named.withColumn("controls", F.concat(*parts)).drop(*[f"_cat_{c}" for c in used])
 
     def names(self) -> list[str]:
         """Name of each position of ``controls``."""
         return [*self.numeric, *[f"{c}={v}" for c, values in self.labels.items() for v in values]]
+
+
+def assemble(df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
+    """Flags and encoded controls as the vector ``features``."""
+    values = F.concat(F.array(*[F.col(f).cast("double") for f in flags]), F.col("controls"))
+    return df.withColumn("features", array_to_vector(values))

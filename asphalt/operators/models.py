@@ -9,13 +9,12 @@ from functools import reduce
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asphalt.operators.features import (
-    Encoder, capped_sample, class_weights, history_columns, model_table, zone_history,
+    Encoder, assemble, capped_sample, class_weights, history_columns, model_table, zone_history,
 )
 from asphalt.operators.metrics import evaluate
 from asphalt.schema import INFRA, NUMERIC_CONTROLS, TARGET, ModelChoice
@@ -83,8 +82,7 @@ class SeverityModel:
     def score(self, prepared: DataFrame) -> DataFrame:
         if self.classifier is None:
             return prepared.withColumn("score", F.lit(self.prior))
-        assembled = _assembler().transform(prepared)
-        scored = self.classifier.transform(assembled)
+        scored = self.classifier.transform(assemble(prepared))
         return scored.withColumn("score", vector_to_array("probability")[1]).drop(
             "features", "controls", "rawPrediction", "probability", "prediction"
         )
@@ -93,10 +91,6 @@ class SeverityModel:
         return [*INFRA, *self.encoder.names()]
 
 
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=[*INFRA, "controls"], outputCol="features")
-
-
 def training_rows(train: DataFrame, place_history: bool = False) -> DataFrame:
     """The columns a fit needs, spread over the cores and kept: a fit reads them many times."""
     extra = history_columns() if place_history else []
@@ -118,7 +112,7 @@ def fit(train: DataFrame, choice: ModelChoice, encoder: Encoder | None = None) -
             weight = F.when(F.col(TARGET) == label, w).otherwise(weight)
     # Both weightings add up to the number of rows.
     classifier = make_classifier(choice.algorithm, choice.params, rows, choice.seed)
-    encoded = _assembler().transform(encoder.transform(train.withColumn("weight", weight)))
+    encoded = assemble(encoder.transform(train.withColumn("weight", weight)))
     return SeverityModel(choice.algorithm, encoder, classifier.fit(encoded.select("features", TARGET, "weight")), prior)
 
 

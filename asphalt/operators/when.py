@@ -40,33 +40,44 @@ def peak_hour(hourly: DataFrame) -> DataFrame:
     )
 
 
-def with_national(df: DataFrame, dimension: str, national: str = NATIONAL) -> DataFrame:
-    """Counts per (state, value) and for the whole country.
+def grouped_counts(df: DataFrame, *dimensions: str) -> DataFrame:
+    """Accidents and severe accidents per state and dimension values."""
+    return df.groupBy("state", *dimensions).agg(
+        F.count("*").alias("n"), F.sum("grave").cast("long").alias("graves")
+    )
+
+
+def totals_of(counts: DataFrame, dimension: str, national: str = NATIONAL) -> DataFrame:
+    """Totals per (state, value) and for the whole country, from counted groups.
 
     A missing state is a group of its own and is not taken for the country.
+    Both levels run over the counted groups, not over the accidents.
     """
-    counted = df.groupBy("state", dimension).agg(
-        F.count("*").alias("n"), F.sum("grave").cast("long").alias("graves")
-    )
-    # The second level runs over the counted groups, not over the accidents.
     return (
-        counted.groupingSets([["state", dimension], [dimension]], "state", dimension)
-        .agg(F.sum("n").alias("n"), F.sum("graves").alias("graves"), F.grouping("state").alias("is_total"))
+        counts.groupingSets([["state", dimension], [dimension]], "state", dimension)
+        .agg(
+            F.sum("n").alias("n"), F.sum("graves").cast("long").alias("graves"),
+            F.grouping("state").alias("is_total"),
+        )
         .withColumn("state", F.when(F.col("is_total") == 1, national).otherwise(F.col("state")))
         .drop("is_total")
     )
 
 
-def cube(df: DataFrame, dimension: str) -> DataFrame:
-    """(state or country, value) with accidents and severe share."""
-    return with_national(df, dimension).select(
+def cube_of(counts: DataFrame, dimension: str) -> DataFrame:
+    return totals_of(counts, dimension).select(
         "state", dimension, "n", (F.col("graves") / F.col("n")).alias("part_grave")
     )
 
 
+def cube(df: DataFrame, dimension: str) -> DataFrame:
+    """(state or country, value) with accidents and severe share."""
+    return cube_of(grouped_counts(df, dimension), dimension)
+
+
 def year_trend(df: DataFrame) -> DataFrame:
     """(state or country, year) with accidents and severe accidents."""
-    return with_national(df, "year")
+    return totals_of(grouped_counts(df, "year"), "year")
 
 
 def for_territory(cubes: DataFrame, territories: DataFrame, national: str = NATIONAL) -> DataFrame:

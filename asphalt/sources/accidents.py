@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from asphalt.schema import raw_schema
 
@@ -12,9 +13,10 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(raw_schema()).csv(path)
 
 
-def read_prepared(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_prepared(spark: SparkSession, folder: str, table: str, schema: StructType | None = None) -> DataFrame:
     """A prepared table; a filter on its partition column reads only those folders."""
-    return spark.read.parquet(f"{folder}/{table}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{table}")
 
 
 def road_segments(spark: SparkSession, path: str) -> DataFrame:
