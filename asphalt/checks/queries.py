@@ -259,11 +259,7 @@ def quand_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def hex_bin(spark: SparkSession, sf: str) -> DataFrame:
-    df = clean_table(spark, sf)
-    return effects.stack([
-        zones.with_cell(df, r).groupBy("cell").agg(F.count("*").alias("n"), F.sum("severity").alias("charge"))
-        for r in (8, 7, 5)
-    ])
+    return zones.bins(clean_table(spark, sf), (8, 7, 5))
 
 
 @query

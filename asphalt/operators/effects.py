@@ -160,7 +160,7 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     rows = assemble(encoder.transform(train), varying).select("features", TARGET).persist()
     try:
         model = GeneralizedLinearRegression(
-            family="binomial", link="logit", labelCol=TARGET, maxIter=100, tol=1e-8
+            family="binomial", link="logit", labelCol=TARGET, maxIter=25, tol=1e-6
         ).fit(rows)
         errors = model.summary.coefficientStandardErrors
     finally:

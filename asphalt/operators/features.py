@@ -36,9 +36,9 @@ def capped_sample(df: DataFrame, max_rows: int | None, seed: int = 42) -> DataFr
 def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42, by: str = "state") -> DataFrame:
     """Exactly ``cap`` rows of each group, drawn by a repeatable hash of ``key``.
 
-    Rows are counted by group and hash slice first. Slices below the cut are
-    kept whole, and only the slice the cut falls in is ordered, so that no
-    group, however large, is sorted in one task.
+    Rows are counted by group and hash slice first. What lies beyond the slice
+    the cut falls in is dropped before anything moves, and the rest is ordered
+    by slice, so that no group, however large, is sorted in one task.
     """
     draw = F.xxhash64(*key, F.lit(seed))
     hashed = df.withColumns({"_draw": draw, "_slice": F.shiftright(draw, 52)})
@@ -50,15 +50,16 @@ def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42,
         sizes.where((F.col("_before") < cap) & (F.col("_before") + F.col("_rows") >= cap))
         .select(F.col(by).alias("_group"), F.col("_slice").alias("_cut"), (F.lit(cap) - F.col("_before")).alias("_room"))
     )
+    # One row per group that has to be cut.
+    cut = broadcast_if_small(materialise(cut))
     placed = hashed.join(cut, F.col(by).eqNullSafe(F.col("_group")), "left")
-    whole = placed.where(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut"))).select(*df.columns)
+    kept = placed.where(F.col("_cut").isNull() | (F.col("_slice") <= F.col("_cut")))
     order = Window.partitionBy(by, "_slice").orderBy("_draw")
-    part = (
-        placed.where(F.col("_slice") == F.col("_cut"))
-        .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= F.col("_room")).select(*df.columns)
+    return (
+        kept.withColumn("_place", F.row_number().over(order))
+        .where(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut")) | (F.col("_place") <= F.col("_room")))
+        .select(*df.columns)
     )
-    return whole.unionByName(part)
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -97,7 +98,9 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def pool_rare(df: DataFrame, column: str, min_rows: int = 20, reference: DataFrame | None = None) -> DataFrame:
     """Replace categories with fewer than ``min_rows`` rows by a common one."""
     counts = category_counts(df if reference is None else reference, [column])
-    rare = counts.where(F.col("rows") < min_rows).select(F.col("value").alias("_rare"))
+    rare = broadcast_if_small(materialise(
+        counts.where(F.col("rows") < min_rows).select(F.col("value").alias("_rare"))
+    ))
     pooled = df.join(rare, F.col(column).cast("string") == F.col("_rare"), "left")
     return pooled.withColumn(
         column, F.when(F.col("_rare").isNotNull(), INFREQUENT).otherwise(F.col(column).cast("string"))

@@ -17,8 +17,8 @@ from asphalt.operators.features import (
     Encoder, assemble, capped_sample, class_weights, history_columns, model_table, zone_history,
 )
 from asphalt.operators.metrics import evaluate
-from asphalt.schema import INFRA, NUMERIC_CONTROLS, TARGET, ModelChoice
-from asphalt.session import spread
+from asphalt.schema import FEATURES, INFRA, NUMERIC_CONTROLS, TARGET, ModelChoice
+from asphalt.session import keep_spread
 
 # Algorithm names of the run file, the hyper-parameters each takes
 # there with the Spark name, and the published defaults.
@@ -94,7 +94,7 @@ class SeverityModel:
 def training_rows(train: DataFrame, place_history: bool = False) -> DataFrame:
     """The columns a fit needs, spread over the cores and kept: a fit reads them many times."""
     extra = history_columns() if place_history else []
-    return spread(model_table(train, extra)).persist()
+    return keep_spread(model_table(train, extra))
 
 
 def fit(train: DataFrame, choice: ModelChoice, encoder: Encoder | None = None) -> SeverityModel:
@@ -152,11 +152,16 @@ def compare(
         fitted = {name: fit(rows, choice, encoder) for name, choice in choices.items()}
     finally:
         rows.unpersist()
-    tables = [
-        evaluate(scored_rows(model, test)).withColumn("model", F.lit(name))
-        .withColumn("is_floor", F.lit(model.algorithm == FLOOR))
-        for name, model in fitted.items()
-    ]
+    # All models read the same encoded test rows; each evaluation ends in a small table.
+    prepared = encoder.transform(test.select(*FEATURES, TARGET)).persist()
+    try:
+        tables = [
+            evaluate(model.score(prepared).select("score", F.col(TARGET).alias("label")))
+            .withColumn("model", F.lit(name)).withColumn("is_floor", F.lit(model.algorithm == FLOOR))
+            for name, model in fitted.items()
+        ]
+    finally:
+        prepared.unpersist()
     table = reduce(DataFrame.unionByName, tables)
     best = table.where(~F.col("is_floor")).agg(F.max_by("model", "pr_auc").alias("best")).scalar()
     return (

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asphalt.schema import INFRA
+from asphalt.session import materialise
 
 
 
@@ -32,7 +33,7 @@ def missing_rate(df: DataFrame) -> DataFrame:
 
 def coverage(df: DataFrame, top: int = 15, leaders: int = 3) -> DataFrame:
     """Largest states by volume, and the share of the table the leaders hold."""
-    by_state = df.groupBy("state").agg(F.count("*").alias("n"))
+    by_state = materialise(df.groupBy("state").agg(F.count("*").alias("n")))
     total = by_state.agg(F.sum("n").alias("total")).scalar()
     leading = (
         by_state.orderBy(F.desc("n"), "state").limit(leaders).agg(F.sum("n").alias("held")).scalar()

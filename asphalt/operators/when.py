@@ -47,6 +47,12 @@ def grouped_counts(df: DataFrame, *dimensions: str) -> DataFrame:
     )
 
 
+def shares_of(counts: DataFrame, dimension: str) -> DataFrame:
+    """Accidents and severe share for each value of a dimension, from counted groups."""
+    sums = counts.groupBy(dimension).agg(F.sum("n").alias("n"), F.sum("graves").alias("graves"))
+    return sums.select(dimension, "n", (F.col("graves") / F.col("n")).alias("part_grave"))
+
+
 def totals_of(counts: DataFrame, dimension: str, national: str = NATIONAL) -> DataFrame:
     """Totals per (state, value) and for the whole country, from counted groups.
 

@@ -23,6 +23,15 @@ def with_cell(df: DataFrame, resolution: int = 8, name: str = "cell") -> DataFra
     return df.withColumn(name, hexgrid.cell(F.col("start_lat"), F.col("start_lng"), resolution))
 
 
+def bins(df: DataFrame, resolutions: Sequence[int]) -> DataFrame:
+    """Accidents and burden per cell at several resolutions, in one scan."""
+    lat, lng = F.col("start_lat"), F.col("start_lng")
+    cells = F.explode(F.array(*[hexgrid.cell(lat, lng, r) for r in resolutions]))
+    return df.select(cells.alias("cell"), "severity").groupBy("cell").agg(
+        F.count("*").alias("n"), F.sum("severity").alias("charge")
+    )
+
+
 def zone_table(df: DataFrame, resolution: int = 8, keys: Sequence[str] = ("state",)) -> DataFrame:
     """One row per zone: accidents, mean severity, burden and both kinds of flag totals.
 

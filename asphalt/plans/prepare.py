@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from asphalt.operators import cleaning, features, when, zones
 from asphalt.schema import PREPARED_COLUMNS, Thresholds
 from asphalt.session import materialise
-from asphalt.sources.accidents import read_prepared, scan_csv
+from asphalt.sources.accidents import is_prepared, read_prepared, scan_csv
 from asphalt.sources.results import write_prepared
 
 # Fixed value: rows kept per state in the published sample.
@@ -28,9 +28,11 @@ def prepare(raw: DataFrame, folder: str, cap: int = CAP_PER_STATE, limits: Thres
     accidents = read_prepared(raw.sparkSession, folder, "accidents", cleaned.schema)
     placed = accidents.where(F.col("state") != "")
 
-    key = [c for c in ("id", "start_time", "start_lat", "start_lng") if c in accidents.columns]
-    sample = features.stratified_cap(accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS])), cap, key)
-    write_prepared(sample.select(*PREPARED_COLUMNS), folder, "accidents_sample", keep=True)
+    # An existing sample is kept, so that a model trained on it stays reproducible.
+    if not is_prepared(raw.sparkSession, folder, "accidents_sample"):
+        key = [c for c in ("id", "start_time", "start_lat", "start_lng") if c in accidents.columns]
+        sample = features.stratified_cap(accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS])), cap, key)
+        write_prepared(sample.select(*PREPARED_COLUMNS), folder, "accidents_sample")
 
     zone_columns = ["state", "cell", "n_accidents", "avg_severity", "charge"]
     table = zones.zone_table(placed, limits.resolution)

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from asphalt import labels
 from asphalt.operators import cleaning, effects, metrics, models, quality, recommend, when, zones
 from asphalt.plans.decide import recommended_zones
-from asphalt.schema import ModelChoice, Thresholds
+from asphalt.schema import PREPARED_COLUMNS, ModelChoice, Thresholds
 from asphalt.session import materialise
-from asphalt.sources.accidents import road_segments, scan_csv
-from asphalt.sources.results import write_csv, write_geojson, write_summary
+from asphalt.sources.accidents import read_prepared, road_segments, scan_csv
+from asphalt.sources.results import write_csv, write_geojson, write_prepared, write_summary
 
 ANALYSES = ("quand", "ou", "quoi", "synthese")
 
@@ -99,9 +99,10 @@ class Run:
         write_csv(df, self.config.folder, self.config.prefix + name)
 
     def when(self) -> dict:
-        hourly = materialise(when.by_dimension(self.accidents, "hour"))
+        counts = materialise(when.grouped_counts(self.accidents, "hour", "weather_bucket"))
+        hourly = when.shares_of(counts, "hour")
         self._csv(hourly.orderBy("hour"), "quand_heure.csv")
-        self._csv(when.by_dimension(self.accidents, "weather_bucket").orderBy(F.desc("n")), "quand_meteo.csv")
+        self._csv(when.shares_of(counts, "weather_bucket").orderBy(F.desc("n")), "quand_meteo.csv")
         self._csv(when.by_event(self.accidents), "quand_evenement.csv")
         peak = when.peak_hour(hourly).first()
         return {"heure_max_grave": peak["peak_hour"], "pct_max": peak["pct_max"]}
@@ -188,12 +189,11 @@ def _digits(value: float | None, digits: int) -> float | None:
 
 def run(spark: SparkSession, config: RunConfig) -> dict:
     raw = cleaning.normalise_names(scan_csv(spark, config.csv))
-    # Every part reads the clean table, and a text file is slow to parse.
-    accidents = cleaning.clean(raw, config.limits.severe_from).persist()
-    try:
-        return Run(accidents, config).all()
-    finally:
-        accidents.unpersist()
+    cleaned = cleaning.clean(raw, config.limits.severe_from).select("start_time", *PREPARED_COLUMNS)
+    # Text is parsed once. The written table gives every part its columns and the territory its folder.
+    table = config.prefix + "accidents"
+    write_prepared(cleaned, config.folder, table, by="state")
+    return Run(read_prepared(spark, config.folder, table, cleaned.schema), config).all()
 
 
 def main() -> None:

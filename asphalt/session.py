@@ -44,13 +44,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input comes in fewer pieces than there are cores.
+def keep_spread(df: DataFrame) -> DataFrame:
+    """Persist rows that are read many times, over all cores.
 
-    Large inputs have more pieces than cores and are left where they are.
+    Only an input in fewer pieces than there are cores is repartitioned; a
+    large one has more and stays where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    kept = df.persist()
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept
+    kept.unpersist()
+    return df.repartition(cores).persist()
 
 
 def local_session(cores: int | str = "*", name: str = "asphalt", **settings: str) -> SparkSession:

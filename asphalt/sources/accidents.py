@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -19,6 +20,14 @@ def read_prepared(spark: SparkSession, folder: str, table: str, schema: StructTy
     return reader.parquet(f"{folder}/{table}")
 
 
+def is_prepared(spark: SparkSession, folder: str, table: str) -> bool:
+    try:
+        read_prepared(spark, folder, table)
+    except AnalysisException:
+        return False
+    return True
+
+
 def road_segments(spark: SparkSession, path: str) -> DataFrame:
     """Road segments: ``u``, ``v`` (end nodes), ``start_lat``, ``start_lng``, ``length_m``."""
     return spark.read.parquet(path).select("u", "v", "start_lat", "start_lng", "length_m")

@@ -10,17 +10,16 @@ from pyspark.sql import functions as F
 from asphalt.functions import hexgrid
 
 
-def write_prepared(df: DataFrame, folder: str, table: str, by: str | None = None, keep: bool = False) -> None:
-    """Prepared Parquet table; with ``keep`` an existing one is left as it is.
+def write_prepared(df: DataFrame, folder: str, table: str, by: str | None = None) -> None:
+    """Prepared Parquet table.
 
     With ``by`` each value gets its own folder. Rows are gathered by a rebalance
     that splits large values, so one busy value is not written by one task.
     """
-    mode = "ignore" if keep else "overwrite"
     if by is None:
-        df.write.mode(mode).parquet(f"{folder}/{table}")
+        df.write.mode("overwrite").parquet(f"{folder}/{table}")
     else:
-        df.hint("rebalance", by).write.mode(mode).partitionBy(by).parquet(f"{folder}/{table}")
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(f"{folder}/{table}")
 
 
 def write_csv(df: DataFrame, folder: str, name: str) -> None:

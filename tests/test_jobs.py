@@ -64,7 +64,7 @@ def test_run_follows_its_switches(spark, csv, tmp_path):
     summary = run(spark, RunConfig.from_mapping(config(csv, folder, quand=True)))
     assert set(summary["analyses"]) == {"quand"}
     assert {p.rsplit("/", 1)[1] for p in glob.glob(folder + "/*")} == {
-        "p_quand_heure.csv", "p_quand_meteo.csv", "p_quand_evenement.csv", "p_resume.json"}
+        "p_accidents", "p_quand_heure.csv", "p_quand_meteo.csv", "p_quand_evenement.csv", "p_resume.json"}
 
 
 def test_synthesis_brings_in_zones_and_model(spark, csv, tmp_path):
