@@ -382,10 +382,11 @@ def capped_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def impute_median(spark: SparkSession, sf: str) -> DataFrame:
     df = clean_table(spark, sf)
-    filled = features.impute_median(df, WEATHER_NUMERIC)
+    found = materialise(features.medians(df, WEATHER_NUMERIC))
+    filled = features.impute_median(df, WEATHER_NUMERIC, found)
     means = filled.agg(*[F.avg(c).alias(c) for c in WEATHER_NUMERIC])
     after = profile.long_format(means, WEATHER_NUMERIC, "name", "mean_after")
-    return rounded(features.medians(df, WEATHER_NUMERIC).join(F.broadcast(after), "name"))
+    return rounded(found.join(F.broadcast(after), "name"))
 
 
 @query

@@ -9,10 +9,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asphalt.functions import hexgrid
 from asphalt.operators.ordering import quantiles
 from asphalt.operators.scalars import with_row
-from asphalt.operators.zones import with_cell
+from asphalt.operators.zones import with_cell, with_cells
 from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, INFRA, NUMERIC_CONTROLS, TARGET
 from asphalt.session import broadcast_if_small, materialise
 
@@ -66,10 +65,10 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return quantiles(df, columns, 0.5)
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], reference: DataFrame | None = None) -> DataFrame:
-    """Replace missing numbers by the exact median of ``reference``."""
-    found = {r["name"]: r["value"] for r in medians(df if reference is None else reference, columns).collect()}
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(found.get(c))) for c in columns})
+def impute_median(df: DataFrame, columns: Sequence[str], found: DataFrame | None = None) -> DataFrame:
+    """Replace missing numbers by the exact median, of ``df`` or as ``found`` elsewhere."""
+    fills = {r["name"]: r["value"] for r in (medians(df, columns) if found is None else found).collect()}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fills.get(c))) for c in columns})
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -80,9 +79,10 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def impute_mode(df: DataFrame, columns: Sequence[str], reference: DataFrame | None = None) -> DataFrame:
-    found = {r["name"]: r["value"] for r in modes(df if reference is None else reference, columns).collect()}
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(found.get(c))) for c in columns})
+def impute_mode(df: DataFrame, columns: Sequence[str], found: DataFrame | None = None) -> DataFrame:
+    """Replace missing categories by the most frequent one, of ``df`` or as ``found`` elsewhere."""
+    fills = {r["name"]: r["value"] for r in (modes(df, columns) if found is None else found).collect()}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(fills.get(c))) for c in columns})
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -139,11 +139,8 @@ def zone_history(
 
     A place without training rows gets the overall rate and a count of 0.
     """
-    lat, lng = F.col("start_lat"), F.col("start_lng")
-    cells = F.explode(F.array(*[hexgrid.cell(lat, lng, r) for r in resolutions]))
-    # Names of cells start with their resolution, so one table holds all resolutions.
     learnt = materialise(
-        train.select(cells.alias("_cell"), TARGET).groupBy("_cell")
+        with_cells(train, resolutions, "_cell").groupBy("_cell")
         .agg(F.sum(TARGET).alias("_graves"), F.count("*").alias("_n"))
     )
     prior = learnt.agg(F.sum("_graves") / F.sum("_n")).scalar()

@@ -23,7 +23,10 @@ def target_rate(df: DataFrame) -> DataFrame:
 
 def missing_rate(df: DataFrame) -> DataFrame:
     """Percent of missing values for each column that has any, in one scan."""
-    rates = df.agg(*[(F.avg(F.col(f"`{c}`").isNull().cast("double")) * 100).alias(c) for c in df.columns])
+    present = [F.count(F.col(f"`{c}`")) for c in df.columns]
+    rates = df.agg(*[
+        ((F.count("*") - n) * 100.0 / F.greatest(F.count("*"), F.lit(1))).alias(c) for c, n in zip(df.columns, present)
+    ])
     return (
         long_format(rates, df.columns, "column", "pct_missing")
         .where(F.col("pct_missing") > 0)

@@ -23,11 +23,21 @@ def with_cell(df: DataFrame, resolution: int = 8, name: str = "cell") -> DataFra
     return df.withColumn(name, hexgrid.cell(F.col("start_lat"), F.col("start_lng"), resolution))
 
 
+def with_cells(df: DataFrame, resolutions: Sequence[int], name: str = "cell") -> DataFrame:
+    """Repeat each row once per resolution with the cell it falls in.
+
+    Cell names start with their resolution, so one column holds them all. The
+    cells are columns first: inside the explode they would be compiled without
+    sharing their common parts.
+    """
+    lat, lng = F.col("start_lat"), F.col("start_lng")
+    columns = {f"_cell_{r}": hexgrid.cell(lat, lng, r) for r in resolutions}
+    return df.withColumns(columns).withColumn(name, F.explode(F.array(*columns))).drop(*columns)
+
+
 def bins(df: DataFrame, resolutions: Sequence[int]) -> DataFrame:
     """Accidents and burden per cell at several resolutions, in one scan."""
-    lat, lng = F.col("start_lat"), F.col("start_lng")
-    cells = F.explode(F.array(*[hexgrid.cell(lat, lng, r) for r in resolutions]))
-    return df.select(cells.alias("cell"), "severity").groupBy("cell").agg(
+    return with_cells(df, resolutions).groupBy("cell").agg(
         F.count("*").alias("n"), F.sum("severity").alias("charge")
     )
 

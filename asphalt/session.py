@@ -20,7 +20,7 @@ def checkpoint_ready(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
