@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from asphalt.llm import near_dedup
+from asphalt.llm import mixture, near_dedup, sharding, toxicity
+from asphalt.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +23,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_temperature_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixture.mixed(table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "tokens", "epoch", "turn", "block")
+
+
+ORACLE["op3_temperature_mixing"] = mixture.ORACLE
+
+
+@query
+def op8_two_pass_shuffle(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.sharded_digest(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity.score").alias("score"),
+        toxicity.rejected(F.col("toxicity.score")).cast("int").alias("predicted"),
+        F.col("toxicity.words").alias("words"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
