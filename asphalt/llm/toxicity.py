@@ -6,9 +6,8 @@ each position lists the letters it may stand for, each with a channel cost. The
 Viterbi path through the lattice under a character trigram model of the corpus
 is the restored text, which is then scored.
 
-Scores come from the share of toxic documents among those that hold a word or
-one of its openings, drawn towards the overall share by ``PRIOR_DOCS``
-documents, so that only well supported words count.
+The classifier is a logistic model over words and over the number of words that
+share an opening, so it also learns families of insults that grow new endings.
 """
 
 from __future__ import annotations
@@ -21,16 +20,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asphalt.llm.folds import bounded_share, held_out, kept_share
+from asphalt.session import materialise
 
 # Documents whose label the fit reads, at most about this many: bounds the word statistics.
 MAX_LABELLED = 20_000
-PRIOR_DOCS = 6.0
-MIN_DOCS = 4
-OPENINGS = (4, 5, 6)
+MIN_DOCS = 4  # toxic documents that support a feature
+LIFT = 2.0  # times the overall share of toxic documents
+RIDGE = 2e-5
+OPENINGS = (4, 5, 6, 7, 8)
 STRONG = 0.5
 SYMBOLS = 28  # boundary, a to z, any other letter
 CACHE = 400_000
@@ -171,17 +174,40 @@ def restored_words(text: str | None, model: list, cache: dict) -> set[str]:
     return words
 
 
-def features(word: str) -> list[str]:
-    """The word itself and its openings, marked as such."""
-    return [word, *(word[:n] + "*" for n in OPENINGS if len(word) >= n)]
+def openings(word: str) -> list[str]:
+    return [word[:n] + "*" for n in OPENINGS if len(word) > n]
+
+
+def features(words: set[str], known: set[str] | None = None) -> set[str]:
+    """What the classifier sees: words, and how many words share an opening, as a number and against all words.
+
+    With ``known`` only these words and openings are looked at.
+    """
+    if known is None:
+        found, groups = set(words), Counter(o for w in words for o in openings(w))
+    else:
+        found, groups = words & known, Counter(o for w in words for o in openings(w) if o in known)
+    size = len(words)
+    for opening, n in groups.items():
+        found.add(f"{opening}{min(n, 4)}")
+        found.add(f"{opening}~{min(6, (1000 * n // size).bit_length())}")
+    return found
+
+
+def _base(feature: str) -> str:
+    return feature[: feature.index("*") + 1] if "*" in feature else feature
 
 
 @dataclass
 class ToxicityModel:
     letters: list
-    share: float  # of toxic documents
+    intercept: float
     weights: dict[str, float] = field(default_factory=dict)
 
+    @property
+    def known(self) -> set[str]:
+        return {_base(f) for f in self.weights}
+
 
 def _letters(docs: DataFrame, text_column: str) -> list:
     """Trigram model over all texts; at most ``SYMBOLS ** 3`` sums reach the driver."""
@@ -203,78 +229,101 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label: str = "toxic",
     max_labelled: int = MAX_LABELLED, seed: int = 9,
 ) -> ToxicityModel:
-    """Character model over all texts, word weights over labelled rows of the learning fold.
+    """Character model over all texts, logistic model over labelled rows of the learning fold.
 
     Only labels of ids outside the held-out fold are read, about ``max_labelled``
     of them by a hash of the id. An id labelled twice counts as toxic if one
-    label says so. Texts that repeat count once per label.
+    label says so. Texts that repeat count once per label. Features that too
+    few toxic texts support are left out. Without both labels every score is
+    the smoothed share of toxic texts.
     """
     letters = _letters(docs, text_column)
     known = labels.select(F.col(id_column).alias("doc_id"), F.col(label).alias("toxic")).dropna().where(
         ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(kept_share(F.col("doc_id"), bounded_share(known, max_labelled), seed))
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).join(
+        F.broadcast(known), "doc_id")  # bounded by max_labelled
+    texts = texts.groupBy(F.xxhash64("text").alias("same"), F.col("toxic")).agg(F.first("text").alias("text"))
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
+        for batch in batches:
+            yield pd.DataFrame({
+                "toxic": batch["toxic"], "words": [sorted(restored_words(t, letters, cache)) for t in batch["text"]]})
+
+    sample = materialise(texts.select("toxic", "text").mapInPandas(read, "toxic int, words array<string>"))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen, bad = Counter(), Counter()
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                own = {f for w in restored_words(text, letters, cache) for f in features(w)} | {""}
+            for words, toxic in zip(batch["words"], batch["toxic"]):
+                own = features(set(words))
                 seen.update(own)
                 if toxic:
                     bad.update(own)
-            yield pd.DataFrame({"feature": list(seen), "docs": list(seen.values()), "bad": [bad[f] for f in seen]})
-
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).join(
-        F.broadcast(known), "doc_id")  # bounded by max_labelled
-    texts = texts.groupBy(F.xxhash64("text").alias("same"), F.col("toxic")).agg(F.first("text").alias("text"))
-    sums = texts.select("text", "toxic").mapInPandas(counted, "feature string, docs long, bad long").groupBy(
-        "feature").agg(F.sum("docs").alias("docs"), F.sum("bad").alias("bad"))
-    rows = sums.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") * 4 >= F.col("docs")) | (F.col("feature") == "")).collect()
-    docs_seen, docs_bad = next(((r["docs"], r["bad"]) for r in rows if not r["feature"]), (0, 0))
-    share = (docs_bad + 0.5) / (docs_seen + 10)
-    model = ToxicityModel(letters, share)
-    # An opening says more than its most frequent word only if other words support it.
-    single: Counter = Counter()
-    for r in rows:
-        for opening in features(r["feature"])[1:] if r["feature"][-1:] != "*" else []:
-            single[opening] = max(single[opening], r["bad"])
-    for r in rows:
-        weight = (r["bad"] + PRIOR_DOCS * share) / (r["docs"] + PRIOR_DOCS)
-        if r["feature"] and weight > share and r["bad"] - single[r["feature"]] >= MIN_DOCS:
-            model.weights[r["feature"]] = weight
+            yield pd.DataFrame({"feature": list(bad), "docs": [seen[f] for f in bad], "bad": list(bad.values())})
+            rest = [f for f in seen if f not in bad]
+            yield pd.DataFrame({"feature": rest, "docs": [seen[f] for f in rest], "bad": [0] * len(rest)})
+
+    totals = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = (totals[1] + 0.5) / (totals[0] + 10)
+    model = ToxicityModel(letters, math.log(share / (1 - share)))
+    if not 0 < totals[1] < totals[0]:
+        return model
+    sums = sample.mapInPandas(counted, "feature string, docs long, bad long").groupBy("feature").agg(
+        F.sum("docs").alias("docs"), F.sum("bad").alias("bad"))
+    useful = sums.where((F.col("bad") >= MIN_DOCS) & (F.col("bad") >= LIFT * share * F.col("docs")))
+    bases = {_base(r["feature"]) for r in useful.select("feature").collect()}  # bounded by max_labelled texts
+    if not bases:
+        return model
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({
+                "label": batch["toxic"].astype(float), "found": [sorted(features(set(w), bases)) for w in batch["words"]]})
+
+    rows = materialise(sample.mapInPandas(told, "label double, found array<string>"))
+    seen = rows.select(F.explode("found").alias("f")).groupBy("f").count().where(F.col("count") >= MIN_DOCS)
+    names = sorted(r["f"] for r in seen.collect())
+    vectors = CountVectorizerModel.from_vocabulary(
+        names, inputCol="found", outputCol="features").transform(rows)
+    fitted = LogisticRegression(regParam=RIDGE, maxIter=60, standardization=False).fit(vectors)
+    model.intercept = float(fitted.intercept)
+    model.weights = {f: float(w) for f, w in zip(names, fitted.coefficients.toArray()) if w}
     return model
 
 
-def score_text(text: str | None, model: ToxicityModel, cache: dict) -> tuple[float, list[str]]:
-    """Score and the restored words that carry it, strongest first."""
-    weights, found, most = model.weights, [], model.share
-    for word in restored_words(text, model.letters, cache):
-        own = max((weights.get(f, 0.0) for f in features(word)), default=0.0)
-        if own >= STRONG:
-            found.append((-own, word))
-        most = max(most, own)
-    if not found:
-        return most, []
-    found.sort()
-    return 1.0 - math.prod(1.0 + own for own, _ in found), [word for _, word in found]
+class Scorer:
+    """Scores texts, remembering what it made of the words."""
+
+    def __init__(self, model: ToxicityModel):
+        self.model, self.known, self.cache = model, model.known, {}
+
+    def score(self, text: str | None) -> tuple[float, list[str]]:
+        """Score, and the restored words that raise it."""
+        words = restored_words(text, self.model.letters, self.cache)
+        weights = self.model.weights
+        found = features(words, self.known)
+        total = self.model.intercept + sum(weights.get(f, 0.0) for f in sorted(found))
+        raising = {_base(f) for f in found if weights.get(f, 0.0) > 0.5}
+        shown = sorted(w for w in words if w in raising or any(o in raising for o in openings(w))) if raising else []
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, total)))), shown
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
     """Add ``toxicity`` (score, words) to every row.
 
-    ``score`` is from 0 to 1: one minus the product of what the strong words
-    leave, else the largest weight, else the overall share (also for null and
-    empty texts). A column named ``toxicity`` is replaced, others stay; repeated
+    ``score`` is from 0 to 1; null and empty texts get what the model says of no
+    words at all. A column named ``toxicity`` is replaced, others stay; repeated
     rows get equal scores.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see fit
 
     @F.pandas_udf("score double, words array<string>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
+        scorer = Scorer(shared.value)
         for texts in batches:
-            rows = [score_text(t, shared.value, cache) for t in texts]
+            rows = [scorer.score(t) for t in texts]
             yield pd.DataFrame({"score": [r[0] for r in rows], "words": [r[1] for r in rows]})
 
     return docs.withColumn("toxicity", scored(F.col(text_column)))
