@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asphalt.llm import decontaminate, mixture, near_dedup, sharding, toxicity
+from asphalt.llm import decontaminate, fingerprints, mixture, near_dedup, sharding, toxicity
 from asphalt.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_scaled_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf, "documents"))
+
+
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")

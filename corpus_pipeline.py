@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from asphalt.llm import decontaminate, mixture, near_dedup, sharding, toxicity
@@ -19,10 +19,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.
+
+    Of rows that repeat an id and its text one stays. Rows without an id stay, as nothing names their group.
+    """
     groups = near_dedup.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    kept = groups.where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept_docs = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    spread = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    same = Window.partitionBy("doc_id", F.xxhash64("text"), spread).orderBy("doc_id")
+    return kept_docs.select("*", F.row_number().over(same).alias("__copy")).where("__copy = 1").drop("__copy")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
