@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asphalt.llm import decontaminate, fingerprints, mixture, near_dedup, sharding, toxicity
+from asphalt.llm import chat, decontaminate, fingerprints, line_dedup, mixture, near_dedup, sharding, toxicity
 from asphalt.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,23 @@ def op3_temperature_mixing(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE["op3_temperature_mixing"] = mixture.ORACLE
 
 
+@query
+def op5_line_windows(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup.deduplicated(table(spark, sf, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "kept_text")
+
+
+ORACLE["op5_line_windows"] = line_dedup.ORACLE
+
+
+@query
+def op6_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.preference_pairs(chat.adjacent_pairs(table(spark, sf, "conversations")))
+
+
+ORACLE["op6_preference_pairs"] = chat.ORACLE
+
+
 @query
 def op8_two_pass_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded_digest(table(spark, sf, "documents").select("doc_id", "text"))
