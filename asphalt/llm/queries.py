@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asphalt.llm import chat, decontaminate, fingerprints, line_dedup, mixture, near_dedup, sharding, toxicity
+from asphalt.llm import chat, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, sharding, toxicity
 from asphalt.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,15 @@ def op3_temperature_mixing(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE["op3_temperature_mixing"] = mixture.ORACLE
 
 
+@query
+def op4_cross_entropy_difference(spark: SparkSession, sf: str) -> DataFrame:
+    good = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf, "documents"), good)
+
+
+ORACLE["op4_cross_entropy_difference"] = lm_scoring.ORACLE
+
+
 @query
 def op5_line_windows(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = line_dedup.deduplicated(table(spark, sf, "documents").select("doc_id", "text"))
@@ -60,6 +69,15 @@ def op6_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE["op6_preference_pairs"] = chat.ORACLE
 
 
+@query
+def op7_language_spans(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    labelled = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs))
+    return labelled.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"), F.col("language.spans").alias("spans"))
+
+
 @query
 def op8_two_pass_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.sharded_digest(table(spark, sf, "documents").select("doc_id", "text"))
