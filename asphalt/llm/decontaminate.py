@@ -1,12 +1,12 @@
 """Benchmark decontamination: rare word n-grams as seeds, alignment as the proof.
 
 Every document is read once for the word n-grams that it shares with a test
-item. What it finds is counted over all documents, and the rare n-grams become
-the seeds: all below a share of the documents, and of every stretch of an item
-its rarest one, so that a passage which very many documents copy keeps its
-seeds too. The text around the seeds of an item is then aligned with the item
-by Smith-Waterman on words, so copies with replaced, added or dropped words
-score by what they share. The benchmark is worked through in blocks, so all
+item. What it finds is counted over all documents, which tells rare n-grams from
+common ones. A rare one is a seed by itself; common ones are if a document has
+two of one item, so a passage that very many documents copy is found as well.
+The text around the seeds of an item is then aligned with the item by
+Smith-Waterman on words, so copies with replaced, added or dropped words score
+by what they share. The benchmark is worked through in blocks, so all
 that tasks hold of it is bounded; no pairs are made that share no seed.
 """
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from asphalt.session import materialise
 
 SEED_WORDS = 4
-STRETCH = 5  # consecutive n-grams of which the rarest is a seed
-RARE_SHARE = 1e-3
+RARE_SHARE = 1e-3  # of the documents may hold an n-gram that is a seed by itself, or
+RARE_FLOOR = 10  # so many, if that is more
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 BLOCK_ITEMS = 20_000
@@ -122,34 +122,38 @@ def _found(docs: DataFrame, block: Block) -> DataFrame:
     return docs.withColumn("found", found(F.col("text"))).where(F.col("found").isNotNull())
 
 
-def seeds(block: Block, counts: dict[str, int], documents: int) -> dict[str, list[int]]:
-    """Seeds of a block's items: n-gram -> items."""
-    rare = max(1, int(RARE_SHARE * documents))
-    chosen: dict[str, set[int]] = defaultdict(set)
-    for item, words in block.items.items():
-        own = grams(words)
-        for at in range(max(1, len(own) - STRETCH + 1)):
-            rarest = min(own[at:at + STRETCH], key=lambda g: (counts.get(g, 0), g))
-            chosen[rarest].add(item)
-        for g in own:
-            if counts.get(g, 0) <= rare:
-                chosen[g].add(item)
-    return {g: sorted(found) for g, found in chosen.items()}
+def seeded(found: list[str], holders: dict[str, list[int]], common: set[str], least: dict[int, int]) -> dict[int, set[str]]:
+    """Items that a document's n-grams give reason to align: item -> shared n-grams.
+
+    One rare n-gram is reason enough. Common ones count together: a passage that
+    very many documents copy makes its n-grams common, but a copy has several.
+    """
+    shared: dict[int, set[str]] = defaultdict(set)
+    for g in found:
+        for item in holders[g]:
+            shared[item].add(g)
+    return {i: own for i, own in shared.items() if not own <= common or len(own) >= least[i]}
 
 
-def matches(text: str, block_items: dict[int, list[str]], seeded: dict[str, list[int]], least: float) -> list[tuple]:
+def matches(text: str, items: dict[int, list[str]], wanted: dict[int, set[str]], least: float) -> list[tuple]:
     """Aligned items of one text: (item, score, first word, last word + 1), the best passage of each item."""
+    if not wanted:
+        return []
     words = words_of(text.lower())
+    holders: dict[str, list[int]] = defaultdict(list)
+    for item, own in wanted.items():
+        for g in own:
+            holders[g].append(item)
     spots: dict[int, list[int]] = defaultdict(list)
-    for n in {g.count(" ") + 1 for g in seeded}:
+    for n in {g.count(" ") + 1 for g in holders}:
         for at, g in enumerate(zip(*(words[i:] for i in range(n)))):
-            for item in seeded.get(" ".join(g), ()):
+            for item in holders.get(" ".join(g), ()):
                 spots[item].append(at)
     ids: dict[str, int] = {}
-    coded = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64) if spots else None
+    coded = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64)
     result = []
     for item, places in sorted(spots.items()):
-        own = block_items[item]
+        own = items[item]
         target = np.array([ids.get(w, -1) for w in own], dtype=np.int64)
         reach, best = 2 * len(own), (0.0, 0, 0)
         stretches: list[list[int]] = []
@@ -188,18 +192,25 @@ def contaminated(
     for block in blocks(benchmark, item_column, item_text, block_items):
         documents = rows.count() if documents is None else documents
         candidates = materialise(_found(rows, block))
-        counts = {r["g"]: r["n"] for r in candidates.select(F.explode("found").alias("g")).groupBy("g").agg(
-            F.count("*").alias("n")).collect()}  # the block's n-grams at most
-        seeded = seeds(block, counts, documents)
-        shared = spark.sparkContext.broadcast((block.items, seeded))  # bounded by BLOCK_WORDS
+        counts = candidates.select(F.explode("found").alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+        rare = max(RARE_FLOOR, int(RARE_SHARE * documents))
+        common = {r["g"] for r in counts.where(F.col("n") > rare).collect()}  # the block's n-grams at most
+        holders: dict[str, list] = defaultdict(list)
+        least = {}
+        for item, words in block.items.items():
+            own = set(grams(words))
+            least[item] = min(2, len(own))
+            for g in own:
+                holders[g].append(item)
+        shared = spark.sparkContext.broadcast((block.items, dict(holders), common, least))  # bounded by BLOCK_WORDS
 
         @F.pandas_udf(f"array<struct<item_id: {item_kind}, score: double, first_word: long, last_word: long>>")
         def aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            items, wanted = shared.value
+            items, *known = shared.value
             for texts, found in batches:
                 yield pd.Series([
-                    [dict(zip(("item_id", "score", "first_word", "last_word"), m)) for m in matches(t, items, own, min_score)]
-                    for t, own in zip(texts, ({g: wanted[g] for g in f if g in wanted} for f in found))
+                    [dict(zip(("item_id", "score", "first_word", "last_word"), m))
+                     for m in matches(t, items, seeded(f, *known), min_score)] for t, f in zip(texts, found)
                 ], dtype=object)
 
         hits = candidates.select("doc_id", F.explode(aligned("text", "found")).alias("m")).select("doc_id", "m.*")
