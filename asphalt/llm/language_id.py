@@ -28,7 +28,7 @@ SWITCH = 10.0
 SMOOTHING = 0.5
 SCRIPT_SHARE = 0.01  # of a language's letters that a script needs to count as used
 NO_CANDIDATE = -30.0
-CACHE = 400_000
+CACHE = 200_000
 UNKNOWN = "und"
 
 # First and last code point of the letters of a script.

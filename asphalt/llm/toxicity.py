@@ -36,7 +36,8 @@ RIDGE = 2e-5
 OPENINGS = (4, 5, 6, 7, 8)
 STRONG = 0.5
 SYMBOLS = 28  # boundary, a to z, any other letter
-CACHE = 400_000
+CACHE = 150_000
+CHUNK = 500  # documents whose features are counted together
 
 # What a sign may stand for.
 LOOKALIKES = {
@@ -255,15 +256,15 @@ def fit(
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen, bad = Counter(), Counter()
-            for words, toxic in zip(batch["words"], batch["toxic"]):
-                own = features(set(words))
-                seen.update(own)
-                if toxic:
-                    bad.update(own)
-            yield pd.DataFrame({"feature": list(bad), "docs": [seen[f] for f in bad], "bad": list(bad.values())})
-            rest = [f for f in seen if f not in bad]
-            yield pd.DataFrame({"feature": rest, "docs": [seen[f] for f in rest], "bad": [0] * len(rest)})
+            for start in range(0, len(batch), CHUNK):
+                part = batch.iloc[start:start + CHUNK]
+                seen, bad = Counter(), Counter()
+                for words, toxic in zip(part["words"], part["toxic"]):
+                    own = features(set(words))
+                    seen.update(own)
+                    if toxic:
+                        bad.update(own)
+                yield pd.DataFrame({"feature": list(seen), "docs": list(seen.values()), "bad": [bad[f] for f in seen]})
 
     totals = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     share = (totals[1] + 0.5) / (totals[0] + 10)
