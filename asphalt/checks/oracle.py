@@ -29,7 +29,10 @@ def cleaned(name: str, source: str, night: bool = True) -> str:
       WHERE severity IS NOT NULL)"""
 
 
-CLEAN = cleaned("acc", "incidents")
+CLEAN_RAW = """kept AS (SELECT * EXCLUDE (""" + ", ".join(INFRA) + """), """ + ", ".join(
+    f"COALESCE(CAST({e} AS INT), 0) AS {e}" for e in INFRA) + """ FROM raw_incidents
+  WHERE severity IS NOT NULL AND start_lat IS NOT NULL AND start_lng IS NOT NULL)"""
+CLEAN = f"{CLEAN_RAW},\n" + cleaned("acc", "kept")
 TIMED = cleaned("timed", "incidents_ts", night=False)
 
 
@@ -132,7 +135,32 @@ LABELS = {
 CASE_LABEL = "CASE measure " + " ".join(f"WHEN '{m}' THEN '{t}'" for m, t in LABELS.items()) + " END"
 
 
-def recommended(source: str, lift: str) -> str:
+PLAN_TEXTS = {
+    "diffuse": "investiguer facteur humain (vitesse / contrôle)", "equipped": "déjà équipé — revoir géométrie / abords",
+    "railway": "sécuriser le passage à niveau (barrières/feux)", "measures": CASE_LABEL,
+}
+SCREEN_TEXTS = {
+    "diffuse": "Investiguer facteur humain (vitesse/contrôles)", "equipped": "Déjà équipé - étude géométrie/abords",
+    "railway": "Sécuriser le passage à niveau",
+    "measures": "CASE measure WHEN 'traffic_signal' THEN 'Installer des feux' WHEN 'crossing' THEN 'Sécuriser un passage piéton'"
+                " WHEN 'stop' THEN 'Poser stop / cédez-le-passage' WHEN 'traffic_calming' THEN"
+                " 'Modération de trafic (ralentisseurs)' END",
+}
+NAMES = """names AS (SELECT * FROM (VALUES ('junction', 'carrefour'), ('crossing', 'passage piéton'), ('stop', 'stop'),
+        ('traffic_signal', 'feux'), ('railway', 'passage à niveau'), ('station', 'station'), ('roundabout', 'rond-point'),
+        ('bump', 'dos d''âne'), ('give_way', 'cédez-le-passage'), ('no_exit', 'impasse'),
+        ('traffic_calming', 'modération trafic'), ('amenity', 'équipement public')) AS t(code, fr))"""
+REASON = """CASE
+      WHEN dominant = 'diffus' THEN 'aucun défaut d''infrastructure ne domine dans cette zone'
+      WHEN measure IS NULL THEN 'aléa « ' || hn.fr || ' » mais les mesures efficaces sont déjà en place'
+      ELSE 'aléa dominant « ' || hn.fr || ' » (×' || CAST(round_even(lift, 1) AS VARCHAR) || ' vs moyenne) ; « ' || mn.fr ||
+        ' » absent alors qu''il réduit la gravité de ' || CAST(round_even(ABS(measure_delta) * 100, 1) AS VARCHAR) ||
+        ' pts dans ce contexte' END"""
+NAMED = "reco LEFT JOIN names hn ON hn.code = dominant LEFT JOIN names mn ON mn.code = measure"
+YEARS = "(SELECT GREATEST(COUNT(DISTINCT (year, month)) / 12.0E0, 1E-9) FROM acc WHERE year IS NOT NULL)"
+
+
+def recommended(source: str, lift: str, texts: dict[str, str] = PLAN_TEXTS) -> str:
     """Recommendation for the zones of ``source``, which has one row per cell."""
     present = "CASE c.measure " + " ".join(f"WHEN '{m}' THEN {presence(m)}" for m in DEPLOYABLE) + " END"
     order = "CASE c.measure " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(DEPLOYABLE)) + " END"
@@ -141,10 +169,10 @@ def recommended(source: str, lift: str) -> str:
         FROM {source} z JOIN {lift} h ON z.cell = h.cell JOIN cond c ON c.hazard = h.dominant
         WHERE c.delta < 0 AND {present} < {T.presence_min}) WHERE rn = 1),
       reco AS (SELECT z.*, h.dominant, h.lift, p.measure, p.delta AS measure_delta, {EQUIPMENT} AS equip_present,
-        CASE WHEN h.dominant = 'diffus' THEN 'investiguer facteur humain (vitesse / contrôle)'
-          WHEN p.measure IS NULL THEN 'déjà équipé — revoir géométrie / abords'
-          WHEN h.dominant = 'railway' THEN 'sécuriser le passage à niveau (barrières/feux)'
-          ELSE {CASE_LABEL} END AS amenagement,
+        CASE WHEN h.dominant = 'diffus' THEN '{texts["diffuse"]}'
+          WHEN p.measure IS NULL THEN '{texts["equipped"]}'
+          WHEN h.dominant = 'railway' THEN '{texts["railway"]}'
+          ELSE {texts["measures"]} END AS amenagement,
         COALESCE(ABS(p.delta) * z.n_accidents, 0.0E0) AS impact_graves_evites
         FROM {source} z JOIN {lift} h ON z.cell = h.cell LEFT JOIN picked p ON z.cell = p.cell)"""
 
@@ -159,12 +187,12 @@ PLAN_CHAIN = [
       dominant, round_even(lift, 2) AS lift, equip_present, amenagement,
       round_even(impact_graves_evites, 1) AS impact_graves_evites FROM reco)""",
 ]
-PLAN_VIEWS = ("incidents", "road_segments")
+PLAN_VIEWS = ("raw_incidents", "road_segments")
 BURDENS = f"""early AS (SELECT cell, SUM(severity) AS v FROM cells WHERE year BETWEEN {T.early[0]} AND {T.early[1]} GROUP BY cell),
 late AS (SELECT cell, SUM(severity) AS v FROM cells WHERE year BETWEEN {T.late[0]} AND {T.late[1]} GROUP BY cell)"""
 
 
-def with_clauses(select: str, *clauses: str, views: tuple[str, ...] = ("incidents",)) -> str:
+def with_clauses(select: str, *clauses: str, views: tuple[str, ...] = ("raw_incidents",)) -> str:
     return "WITH " + ",\n".join([*duckdb_clauses(*views), *clauses]) + "\n" + select
 
 
@@ -199,11 +227,6 @@ RAW_PRESENT = with_clauses(
     union([f"SELECT '{c}' AS \"column\", COUNT({c}) AS n_present FROM raw_incidents" for c in RAW_NAMES]),
     views=("raw_incidents",))
 
-CLEAN_RAW = """kept AS (SELECT * EXCLUDE (""" + ", ".join(INFRA) + """), """ + ", ".join(
-    f"COALESCE(CAST({e} AS INT), 0) AS {e}" for e in INFRA) + """ FROM raw_incidents
-  WHERE severity IS NOT NULL AND start_lat IS NOT NULL AND start_lng IS NOT NULL)"""
-
-
 def sweep_row(threshold: float) -> str:
     return f"""SELECT {threshold!r}E0 AS threshold, COUNT(*) FILTER (score < {threshold!r}E0 AND label = 0) AS tn,
       COUNT(*) FILTER (score >= {threshold!r}E0 AND label = 0) AS fp,
@@ -290,6 +313,31 @@ def filled(column: str) -> str:
     return f"AVG(COALESCE({column}, (SELECT median({column}) FROM acc)))"
 
 
+DRAW = "('0x' || substr(md5('42|' || id), 1, 8))::BIGINT"
+
+
+def encoded_parts() -> list[str]:
+    """Fills, scales and categories of the training rows, and the pooled category of each row."""
+    parts = []
+    for c in P.ENCODED:
+        text = f"CAST({c} AS VARCHAR)"
+        parts.append(f"mode_{c} AS (SELECT {text} AS v FROM train WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)")
+        parts.append(f"size_{c} AS (SELECT COALESCE({text}, (SELECT v FROM mode_{c})) AS v, COUNT(*) AS n FROM train GROUP BY 1)")
+    stats = ", ".join(
+        f"AVG(COALESCE({c}, (SELECT median({c}) FROM train))) AS m_{c},"
+        f" stddev_pop(COALESCE({c}, (SELECT median({c}) FROM train))) AS s_{c}, (SELECT median({c}) FROM train) AS f_{c}"
+        for c in NUMERIC_CONTROLS)
+    return [*parts, f"scales AS (SELECT {stats} FROM train)"]
+
+
+ENCODED_PARTS = encoded_parts()
+ENCODED_ROWS = "SELECT id, " + ", ".join([
+    *[r6(f"(COALESCE({c}, f_{c}) - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END", c) for c in NUMERIC_CONTROLS],
+    *[f"CASE WHEN z_{c}.n < {P.RARE_BELOW} THEN '_infrequent' ELSE z_{c}.v END AS {c}" for c in P.ENCODED],
+]) + " FROM acc CROSS JOIN scales " + " ".join(
+    f"LEFT JOIN size_{c} z_{c} ON z_{c}.v = COALESCE(CAST(acc.{c} AS VARCHAR), (SELECT v FROM mode_{c}))" for c in P.ENCODED
+) + " WHERE year IS NOT NULL"
+
 ORACLE = {
     "scan_csv": RAW_PRESENT,
     "normalised_schema": RAW_PRESENT,
@@ -302,7 +350,7 @@ ORACLE = {
     "keyword_bucket": with_clauses(
         "SELECT weather_condition, weather_bucket, COUNT(*) AS n FROM (SELECT weather_condition, weather_bucket FROM acc"
         " UNION ALL SELECT weather_condition, weather_bucket FROM timed) GROUP BY ALL",
-        CLEAN, TIMED, views=("incidents", "incidents_ts")),
+        CLEAN, TIMED, views=("raw_incidents", "incidents_ts")),
     "event_window": on_clean(
         "SELECT CAST(m AS INT) AS month, CAST(d AS INT) AS day, event, COUNT(*) AS n FROM ev GROUP BY ALL", EVENTS),
     "territory": on_clean(
@@ -348,7 +396,7 @@ ORACLE = {
         " FROM asked t JOIN q ON q.state = CASE WHEN t.known THEN t.territory ELSE 'US' END",
         CLEAN, TIMED, f"q AS ({cube('month', SHARE)})",
         "asked AS (SELECT state AS territory, state IN (SELECT state FROM q) AS known"
-        " FROM (SELECT state FROM acc UNION SELECT state FROM timed))", views=("incidents", "incidents_ts")),
+        " FROM (SELECT state FROM acc UNION SELECT state FROM timed))", views=("raw_incidents", "incidents_ts")),
     "hex_bin": on_clean(
         union([f"SELECT cell, COUNT(*) AS n, CAST(SUM(severity) AS BIGINT) AS charge FROM c{r} GROUP BY cell" for r in (8, 7, 5)]),
         *[hexed(f"c{r}", "acc", r) for r in (8, 7, 5)]),
@@ -398,8 +446,12 @@ ORACLE = {
         f" {r6('(l.v - (SELECT MIN(v) FROM late)) / (SELECT MAX(v) - MIN(v) FROM late)', 'late')}"
         " FROM early e JOIN late l ON e.cell = l.cell", CLEAN, CELLS, BURDENS),
     "temporal_stability": with_clauses(
-        f"SELECT COUNT(*) AS n, {r6('corr(a, b)', 'rho')} FROM (SELECT {avg_rank('ev')} AS a, {avg_rank('lv')} AS b"
-        " FROM (SELECT e.v AS ev, l.v AS lv FROM early e JOIN late l ON e.cell = l.cell))", CLEAN, CELLS, BURDENS),
+        f"SELECT n, {r6('rho')}, CASE WHEN rho IS NULL OR n <= 2 THEN NULL WHEN 1 - rho * rho <= 1E-12 THEN 0.0E0 ELSE"
+        " ROUND(((((1.061405429E0 * u - 1.453152027E0) * u + 1.421413741E0) * u - 0.284496736E0) * u + 0.254829592E0) * u"
+        " * exp(-x * x), 6) + 0.0E0"
+        " END AS p_value FROM (SELECT *, 1 / (1 + 0.3275911E0 * x) AS u FROM (SELECT *, abs(rho) * sqrt((n - 2) / (1 - rho * rho) / 2) AS x"
+        f" FROM (SELECT COUNT(*) AS n, corr(a, b) AS rho FROM (SELECT {avg_rank('ev')} AS a, {avg_rank('lv')} AS b"
+        " FROM (SELECT e.v AS ev, l.v AS lv FROM early e JOIN late l ON e.cell = l.cell)))))", CLEAN, CELLS, BURDENS),
     "top_kept": with_clauses(
         f"SELECT COUNT(*) AS early_top, COUNT(*) FILTER (l.v >= t) AS kept, {r6('MAX(t)', 'late_threshold')} FROM"
         f" (SELECT * FROM early ORDER BY v DESC, cell LIMIT {T.top_zones}) e LEFT JOIN late l ON e.cell = l.cell,"
@@ -412,27 +464,42 @@ ORACLE = {
         f" (SELECT SUM(grave) AS c FROM cells WHERE year >= {P.BACKTEST[1]} AND cell IN (SELECT cell FROM (SELECT cell,"
         f" SUM(severity) AS s FROM cells WHERE year <= {P.BACKTEST[0]} GROUP BY cell ORDER BY s DESC, cell LIMIT {T.top_zones})))",
         CLEAN, CELLS),
-    "stratified_cap": on_clean(f"SELECT state, LEAST(COUNT(*), {P.CAP_PER_STATE}) AS n FROM acc GROUP BY state"),
+    "stratified_cap": on_clean(
+        f"SELECT id, state FROM (SELECT id, state, ROW_NUMBER() OVER (PARTITION BY state ORDER BY {DRAW}, id) AS rn FROM acc)"
+        f" WHERE rn <= {P.CAP_PER_STATE}"),
+    "capped_sample": on_clean(
+        f"SELECT id, state FROM acc, (SELECT COUNT(*) AS n FROM acc) WHERE n <= {P.CAP_ROWS}"
+        f" OR {DRAW} < floor({P.CAP_ROWS}.0E0 / n * 4294967296)"),
+    "encode_controls": on_clean(ENCODED_ROWS, TRAIN, *ENCODED_PARTS),
+    "sinks": on_clean(
+        "SELECT 'prepared' AS sink, (SELECT COUNT(*) FROM acc) AS n UNION ALL SELECT 'summary', (SELECT COUNT(*) FROM acc)"
+        " UNION ALL SELECT 'csv', (SELECT COUNT(DISTINCT severity) FROM acc) UNION ALL SELECT 'sample', (SELECT"
+        f" CAST(SUM(LEAST(n, {P.CAP_PER_STATE})) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM acc GROUP BY state))"),
+    "fit_invariants": "SELECT unnest(['above the floor', 'junction raises severity', 'signals lower severity']) AS claim, 1 AS ok",
+    "element_concordance": on_clean(
+        f"SELECT element, {r6('delta')}, {r6('o', 'odds_ratio')}, CASE WHEN (o > 1) = (delta > 0) THEN '✓' ELSE '✗' END AS agrees FROM ("
+        + union([
+            f"SELECT '{e}' AS element, AVG({probability(**{e: 1})} - {probability(**{e: 0})}) AS delta,"
+            f" {'NULL' if e in P.WITHOUT_ODDS else f'exp({P.COEFFICIENTS[e]!r}E0)'} AS o FROM test" for e in INFRA]) + ")", TEST),
     "impute_median": on_clean(union([
         f"SELECT '{c}' AS name, {r6(f'median({c})', 'value')}, {r6(filled(c), 'mean_after')} FROM acc" for c in WEATHER_NUMERIC])),
     "impute_mode": on_clean(union([
         f"SELECT '{c}' AS name, value, COUNT(*) AS \"rows\" FROM (SELECT COALESCE({c}, (SELECT {c} FROM acc WHERE {c} IS NOT NULL"
         f" GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)) AS value FROM acc) GROUP BY value"
         for c in ("sunrise_sunset", "weather_condition")])),
-    "standardise": on_clean("SELECT " + ", ".join(
-        r6(f"({c} - m_{c}) / s_{c}", c) for c in ("humidity_pct", "visibility_mi", "wind_speed_mph", "pressure_in"))
+    "standardise": on_clean("SELECT id, " + ", ".join(
+        r6(f"({c} - m_{c}) / s_{c}", c) for c in WEATHER_NUMERIC)
         + " FROM acc, (SELECT " + ", ".join(
             f"AVG({c}) AS m_{c}, stddev_pop({c}) AS s_{c}"
-            for c in ("humidity_pct", "visibility_mi", "wind_speed_mph", "pressure_in")) + " FROM acc)"),
+            for c in WEATHER_NUMERIC) + " FROM acc)"),
     "rare_pooling": on_clean(
-        f"SELECT CASE WHEN n < {P.RARE_BELOW} THEN '_infrequent' ELSE w END AS weather_condition, CAST(SUM(n) AS BIGINT) AS n"
-        " FROM (SELECT weather_condition AS w, COUNT(*) AS n FROM acc WHERE weather_condition IS NOT NULL GROUP BY 1) GROUP BY 1"),
+        f"SELECT CASE WHEN n < {P.RARE_BELOW} AND w IS NOT NULL THEN '_infrequent' ELSE w END AS weather_condition, CAST(SUM(n) AS BIGINT) AS n"
+        " FROM (SELECT weather_condition AS w, COUNT(*) AS n FROM acc GROUP BY 1) GROUP BY 1"),
     "class_weights": on_clean(
         f"SELECT grave, COUNT(*) AS n, {r6('SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*))', 'weight')}"
         " FROM train GROUP BY grave", TRAIN),
     "zone_history": with_clauses(
-        f"SELECT DISTINCT start_lat, start_lng, {history_columns(7)}, {history_columns(5)} FROM (SELECT * REPLACE"
-        f" ({r6('start_lat')}, {r6('start_lng')}) FROM both_cells WHERE year >= {T.test_from}) t"
+        f"SELECT id, {history_columns(7)}, {history_columns(5)} FROM (SELECT * FROM both_cells WHERE year IS NOT NULL) t"
         " LEFT JOIN learnt7 l7 ON t.cell7 = l7.cell7 LEFT JOIN learnt5 l5 ON t.cell5 = l5.cell5",
         CLEAN, hexed("c7", "acc", 7, "cell7"), hexed("both_cells", "c7", 5, "cell5"),
         f"train AS (SELECT * FROM both_cells WHERE year < {T.test_from})", history(7), history(5)),
@@ -467,7 +534,7 @@ ORACLE = {
         " WHEN s < 0 THEN 'protective' END AS direction FROM (" + union([
             f"SELECT '{c}' AS feature, AVG(({c} - (SELECT AVG({c}) FROM train)) * {w!r}E0) AS s,"
             f" AVG(ABS(({c} - (SELECT AVG({c}) FROM train)) * {w!r}E0)) AS a FROM test" for c, w in P.COEFFICIENTS.items()])
-        + ") ORDER BY a DESC, feature LIMIT 12", TRAIN, TEST),
+        + ")", TRAIN, TEST),
     "method_ranks": on_clean(f"SELECT method, element, {r6('rank')} FROM mranks", TRAIN, TEST, METHODS),
     "rank_convergence": on_clean(union([
         f"SELECT '{a}' AS method_a, '{b}' AS method_b, {r6('corr(x.rank, y.rank)', 'rho')} FROM mranks x JOIN mranks y"
@@ -486,25 +553,20 @@ ORACLE = {
         lifted("hazard", "zones", "severity"), TEST, DELTAS, CONDITIONAL, recommended("zones", "hazard")),
     "priority_zones": on_plan("SELECT * FROM plan"),
     "plan_annual": on_plan(
-        "SELECT rank, cell, impact_graves_evites, round_even(impact_graves_evites / (SELECT GREATEST(COUNT(DISTINCT (year, month))"
-        " / 12.0E0, 1E-9) FROM acc WHERE year IS NOT NULL), 1) AS impact_par_an FROM plan"),
+        f"SELECT rank, cell, impact_graves_evites, round_even(impact_graves_evites / {YEARS}, 1) AS impact_par_an FROM plan"),
     "span_years": on_clean(
         f"SELECT {r6('GREATEST(COUNT(DISTINCT year * 100 + month) / 12.0E0, 1E-9)', 'years')} FROM acc WHERE year IS NOT NULL"),
     "plan_recap": on_plan(
         "SELECT amenagement, COUNT(*) AS zones, round_even(SUM(impact_graves_evites), 0) AS impact FROM plan GROUP BY amenagement"),
-    "plan_reason": on_plan("""SELECT rank, cell, CASE
-      WHEN dominant = 'diffus' THEN 'aucun défaut d''infrastructure ne domine dans cette zone'
-      WHEN measure IS NULL THEN 'aléa « ' || hn.fr || ' » mais les mesures efficaces sont déjà en place'
-      ELSE 'aléa dominant « ' || hn.fr || ' » (×' || CAST(round_even(lift, 1) AS VARCHAR) || ' vs moyenne) ; « ' || mn.fr ||
-        ' » absent alors qu''il réduit la gravité de ' || CAST(round_even(ABS(measure_delta) * 100, 1) AS VARCHAR) ||
-        ' pts dans ce contexte' END AS reason
-      FROM reco LEFT JOIN names hn ON hn.code = dominant LEFT JOIN names mn ON mn.code = measure""").replace(
-        "\nSELECT rank", """,
-      names AS (SELECT * FROM (VALUES ('junction', 'carrefour'), ('crossing', 'passage piéton'), ('stop', 'stop'),
-        ('traffic_signal', 'feux'), ('railway', 'passage à niveau'), ('station', 'station'), ('roundabout', 'rond-point'),
-        ('bump', 'dos d''âne'), ('give_way', 'cédez-le-passage'), ('no_exit', 'impasse'),
-        ('traffic_calming', 'modération trafic'), ('amenity', 'équipement public')) AS t(code, fr))
-      SELECT rank"""),
+    "plan_reason": with_clauses(
+        f"SELECT rank, cell, {REASON} AS reason FROM {NAMED}", *PLAN_CHAIN, NAMES, views=PLAN_VIEWS),
+    "screen_plan": on_zones(
+        "SELECT rang, cell, accidents, gravite_moy, alea_dominant, recommandation, justification, impact_graves_evites,"
+        f" round_even(impact_graves_evites / {YEARS}, 1) AS impact_par_an FROM (SELECT rank AS rang, cell, n_accidents AS accidents,"
+        " round_even(avg_severity, 2) AS gravite_moy, COALESCE(hn.fr, dominant) AS alea_dominant,"
+        f" amenagement AS recommandation, {REASON} AS justification,"
+        f" round_even(impact_graves_evites, 1) AS impact_graves_evites FROM {NAMED})",
+        TOP, lifted("hazard", "zones", "count"), TEST, DELTAS, CONDITIONAL, recommended("top", "hazard", SCREEN_TEXTS), NAMES),
     "dq_checks": with_clauses(
         "SELECT 0 AS target_not_binary, (SELECT COUNT(*) FROM kept WHERE start_lat IS NULL OR start_lng IS NULL) AS no_position,"
         " (SELECT COUNT(*) FROM kept WHERE severity IS NULL) AS no_severity, "
@@ -523,6 +585,6 @@ ORACLE = {
         " COUNT(*) FILTER (ABS(charge - n_accidents * avg_severity) > 0.01 * n_accidents + 5) AS charge_unlike_mean,"
         " COUNT(*) FILTER (impact_graves_evites < 0) AS impact_negative,"
         " COUNT(*) FILTER (NOT regexp_full_match(cell, '[0-9]+:-?[0-9]+:-?[0-9]+')) AS cell_invalid,"
-        " CASE WHEN COUNT(DISTINCT amenagement) >= 2 THEN 0 ELSE 1 END AS actions_alike,"
+        " CASE WHEN COUNT(DISTINCT amenagement) >= 3 THEN 0 ELSE 1 END AS actions_alike,"
         " (SELECT COUNT(*) FROM zones) AS zones FROM plan"),
 }

@@ -7,6 +7,12 @@ BACKTEST = (1998, 1999)
 STATE = "S3"
 RARE_BELOW = 50
 CAP_PER_STATE = 1000
+CAP_ROWS = 10_000
+ENCODED = ["weather_condition", "state", "is_night"]
+WITHOUT_ODDS = ("bump", "no_exit")
+# Hyper-parameters of the fits: the published defaults.
+FOREST: dict = {}
+BOOSTING: dict = {}
 SWEEP = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7]
 THRESHOLD = 0.3
 

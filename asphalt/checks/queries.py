@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,11 @@ from asphalt.operators import (
     cleaning, effects, exposure, features, metrics, models, profile, quality, recommend, validation, when, zones,
 )
 from asphalt.plans import decide
-from asphalt.schema import INFRA, TARGET, WEATHER_NUMERIC, ModelChoice
+from asphalt.plans.prepare import prepare
+from asphalt.schema import INFRA, NUMERIC_CONTROLS, TARGET, WEATHER_NUMERIC, ModelChoice
 from asphalt.session import checkpoint_ready, materialise
-from asphalt.sources.accidents import scan_csv
+from asphalt.sources.accidents import read_prepared, scan_csv
+from asphalt.sources.results import write_csv, write_prepared, write_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,11 +42,24 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns(doubles) if doubles else df
 
 
+@contextmanager
+def shared_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared checkpoint folder that is removed after use."""
+    checkpoint_ready(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/query-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # --- inputs -------------------------------------------------------------------
 
 
 def clean_table(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean(load(spark, sf, "incidents"), P.STAND_IN.severe_from)
+    """Clean accidents, from raw ones with every kind of gap."""
+    return cleaning.clean(cleaning.normalise_names(load_raw(spark, sf)), P.STAND_IN.severe_from)
 
 
 def timed_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,12 +124,34 @@ def written_plan(spark: SparkSession, sf: str, table: DataFrame | None = None) -
 @query
 def scan_csv_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The raw table written as CSV to shared storage and scanned back."""
-    checkpoint_ready(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/raw-{uuid.uuid4().hex}"
-    load_raw(spark, sf).write.option("header", True).csv(folder)
-    df = cleaning.normalise_names(scan_csv(spark, folder))
-    present = df.agg(*[F.count(c).alias(c) for c in df.columns])
-    return profile.long_format(present, df.columns, "column", "n_present")
+    with shared_folder(spark) as folder:
+        load_raw(spark, sf).write.option("header", True).csv(folder)
+        df = cleaning.normalise_names(scan_csv(spark, folder))
+        present = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        return materialise(profile.long_format(present, df.columns, "column", "n_present"))
+
+
+@query
+def sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that come back from each kind of output, and from a table that is kept because it is there."""
+    accidents = clean_table(spark, sf)
+    with shared_folder(spark) as folder:
+        write_prepared(accidents.select("id", "state", "severity"), folder, "accidents", by="state")
+        back = read_prepared(spark, folder, "accidents")
+        counts = when.by_dimension(back.withColumn("grave", F.lit(0)), "severity")
+        write_csv(counts, folder, "counts.csv")
+        write_summary(spark, {"rows": back.count()}, folder, "summary.json")
+        prepare(load_raw(spark, sf), f"{folder}/tables", cap=P.CAP_PER_STATE)
+        prepare(load_raw(spark, sf), f"{folder}/tables", cap=1)  # finds the sample and keeps it
+        quality.require(quality.clean_violations(accidents))
+        found = {
+            "prepared": back, "csv": spark.read.option("header", True).csv(f"{folder}/counts.csv"),
+            "summary": spark.read.schema("rows long").json(f"{folder}/summary.json"),
+            "sample": read_prepared(spark, f"{folder}/tables", "accidents_sample"),
+        }
+        sizes = [df.agg((F.sum("rows") if name == "summary" else F.count("*")).alias("n")).withColumn("sink", F.lit(name))
+                 for name, df in found.items()]
+        return materialise(effects.stack(sizes))
 
 
 @query
@@ -165,13 +204,10 @@ def states(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def temporal_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = split(spark, sf)
-    sides = [
-        side.agg(F.count("*").alias("n"), F.sum(TARGET).alias("graves"), F.min("year").alias("first_year"),
-                 F.max("year").alias("last_year")).withColumn("part", F.lit(name))
-        for name, side in (("train", train), ("test", test))
-    ]
-    return effects.stack(sides)
+    parts = clean_table(spark, sf).withColumn("part", cleaning.part_of(P.STAND_IN.test_from))
+    return parts.where(F.col("part").isNotNull()).groupBy("part").agg(
+        F.count("*").alias("n"), F.sum(TARGET).alias("graves"), F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"))
 
 
 @query
@@ -349,7 +385,7 @@ def period_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def temporal_stability(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(validation.rank_correlation(burdens(spark, sf), "early", "late"))
+    return rounded(validation.stability(burdens(spark, sf)))
 
 
 @query
@@ -368,15 +404,12 @@ def backtest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stratified_cap(spark: SparkSession, sf: str) -> DataFrame:
-    key = ["l_orderkey", "l_linenumber", "start_time", "start_lat", "start_lng", "l_quantity"]
-    drawn = features.stratified_cap(clean_table(spark, sf), P.CAP_PER_STATE, key)
-    return drawn.groupBy("state").agg(F.count("*").alias("n"))
+    return features.stratified_cap(clean_table(spark, sf), P.CAP_PER_STATE, ["id"]).select("id", "state")
 
 
 @query
 def capped_sample(spark: SparkSession, sf: str) -> DataFrame:
-    drawn = features.capped_sample(clean_table(spark, sf), 10_000)
-    return drawn.groupBy("state").agg(F.count("*").alias("n"))
+    return features.capped_sample(clean_table(spark, sf), P.CAP_ROWS, ["id"]).select("id", "state")
 
 
 @query
@@ -397,14 +430,12 @@ def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def standardise(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["humidity_pct", "visibility_mi", "wind_speed_mph", "pressure_in"]
-    return rounded(features.standardise(clean_table(spark, sf), columns).select(*columns))
+    return rounded(features.standardise(clean_table(spark, sf), WEATHER_NUMERIC).select("id", *WEATHER_NUMERIC))
 
 
 @query
 def rare_pooling(spark: SparkSession, sf: str) -> DataFrame:
-    pooled = features.pool_rare(
-        clean_table(spark, sf).where(F.col("weather_condition").isNotNull()), "weather_condition", P.RARE_BELOW)
+    pooled = features.pool_rare(clean_table(spark, sf), "weather_condition", P.RARE_BELOW)
     return pooled.groupBy("weather_condition").agg(F.count("*").alias("n"))
 
 
@@ -416,8 +447,19 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def zone_history(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split(spark, sf)
-    learnt = features.zone_history(test, train, weight=P.STAND_IN.history_weight)
-    return rounded(learnt.select("start_lat", "start_lng", *features.history_columns()).distinct())
+    learnt = features.zone_history(train.unionByName(test), train, weight=P.STAND_IN.history_weight)
+    return rounded(learnt.select("id", *features.history_columns()))
+
+
+@query
+def encode_controls(spark: SparkSession, sf: str) -> DataFrame:
+    """What the models see of the controls of every row, learnt on the training rows."""
+    train, test = split(spark, sf)
+    train = materialise(train.select("id", *NUMERIC_CONTROLS, *P.ENCODED))
+    encoder = features.Encoder.fit(train, NUMERIC_CONTROLS, P.ENCODED, P.RARE_BELOW)
+    rows = encoder.transform(train.unionByName(test.select(*train.columns)))
+    shown = [F.get(F.array(*[F.lit(v) for v in encoder.labels[c]]), F.col(f"_k_{c}").cast("int")).alias(c) for c in encoder.used]
+    return rounded(rows.select("id", *[F.col(f"_x_{c}").alias(c) for c in NUMERIC_CONTROLS], *shown))
 
 
 # --- scores -------------------------------------------------------------------
@@ -494,6 +536,14 @@ def effect_concordance(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(effects.pair_concordance(conditional(spark, sf), raw))
 
 
+@query
+def element_concordance(spark: SparkSession, sf: str) -> DataFrame:
+    """Odds ratios of the fixed score against adjusted effects, two elements without odds."""
+    odds = spark.createDataFrame(
+        [(e, math.exp(P.COEFFICIENTS[e])) for e in INFRA if e not in P.WITHOUT_ODDS], "element string, odds_ratio double")
+    return rounded(effects.concordance(odds, effects.adjusted_effects(split(spark, sf)[1], fixed_score)))
+
+
 @query
 def linear_attribution(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split(spark, sf)
@@ -592,6 +642,11 @@ def plan_reason(spark: SparkSession, sf: str) -> DataFrame:
     return recommended(spark, sf).select("rank", "cell", recommend.reason().alias("reason"))
 
 
+@query
+def screen_plan(spark: SparkSession, sf: str) -> DataFrame:
+    return decide.screen_plan(shared_zones(spark, sf), conditional(spark, sf), clean_table(spark, sf), P.STAND_IN)
+
+
 # --- quality ------------------------------------------------------------------
 
 
@@ -607,14 +662,13 @@ def dq_checks(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def leak_checks(spark: SparkSession, sf: str) -> DataFrame:
     train, test = split(spark, sf)
-    return quality.leak_violations(clean_table(spark, sf), train, test, P.STAND_IN.test_from).withColumn(
-        "train_rows", train.agg(F.count("*")).scalar())
+    return quality.leak_violations(clean_table(spark, sf), train, test, P.STAND_IN.test_from)
 
 
 @query
 def plan_checks(spark: SparkSession, sf: str) -> DataFrame:
     table = shared_zones(spark, sf)
-    return quality.plan_violations(written_plan(spark, sf, table), distinct_actions=2).withColumn(
+    return quality.plan_violations(written_plan(spark, sf, table), P.STAND_IN.distinct_actions).withColumn(
         "zones", table.agg(F.count("*")).scalar())
 
 
@@ -651,12 +705,24 @@ def fit_tree(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _quality(spark, sf, "random_forest", n_estimators=20, max_depth=8)
+    return _quality(spark, sf, "random_forest", **P.FOREST)
 
 
 @query
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _quality(spark, sf, "hist_gradient_boosting", max_iter=10)
+    return _quality(spark, sf, "hist_gradient_boosting", **P.BOOSTING)
+
+
+@query
+def fit_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """A fitted model is above the floor and finds the planted signs."""
+    model, test = _fitted(spark, sf, "logistic")
+    quality_row = metrics.evaluate(models.scored_rows(model, test)).select((F.col("pr_auc") > F.col("baseline")).cast("int").alias("ok"))
+    deltas = effects.adjusted_effects(model.prepare(test), model.score)
+    signs = {"junction raises severity": ("junction", F.col("delta") > 0), "signals lower severity": ("traffic_signal", F.col("delta") < 0)}
+    found = [deltas.where(F.col("element") == e).select(F.lit(name).alias("claim"), test_.cast("int").alias("ok"))
+             for name, (e, test_) in signs.items()]
+    return effects.stack([quality_row.select(F.lit("above the floor").alias("claim"), "ok"), *found])
 
 
 @query
@@ -666,21 +732,20 @@ def fit_with_history(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.reliability(metrics.evaluate(models.scored_rows(_fit(train, choice), test)))
 
 
-_SMALL = {
+_CHOICES = {
     "floor": ModelChoice("dummy"), "logistic": ModelChoice("logistic"), "tree": ModelChoice("tree"),
-    "forest": ModelChoice("random_forest", {"n_estimators": 10, "max_depth": 6}),
-    "boosting": ModelChoice("hist_gradient_boosting", {"max_iter": 5}),
+    "forest": ModelChoice("random_forest", P.FOREST), "boosting": ModelChoice("hist_gradient_boosting", P.BOOSTING),
 }
 
 
 @query
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return models.compare(*split(spark, sf), _SMALL)[0]
+    return models.compare(*split(spark, sf), _CHOICES)[0]
 
 
 @query
 def gcomp(spark: SparkSession, sf: str) -> DataFrame:
-    model, test = _fitted(spark, sf, "hist_gradient_boosting", max_iter=5)
+    model, test = _fitted(spark, sf, "hist_gradient_boosting", **P.BOOSTING)
     return effects.adjusted_effects(model.prepare(test), model.score)
 
 
@@ -699,13 +764,19 @@ def importances(spark: SparkSession, sf: str) -> DataFrame:
     try:
         encoder = features.Encoder.fit(rows)
         return models.importances({
-            name: models.fit(rows, choice, encoder)
-            for name, choice in _SMALL.items() if name in ("logistic", "tree", "forest")
+            name: models.fit(rows, choice, encoder) for name, choice in _CHOICES.items() if name != "floor"
         })
     finally:
         rows.unpersist()
 
 
+@query
+def method_convergence(spark: SparkSession, sf: str) -> DataFrame:
+    """Rank correlation of the fitted methods over the elements."""
+    values = importances(spark, sf)
+    return effects.rank_convergence(effects.importance_ranks(values), [n for n in _CHOICES if n != "floor"])
+
+
 @query
 def importance_ranks(spark: SparkSession, sf: str) -> DataFrame:
     return effects.importance_ranks(importances(spark, sf))

@@ -19,6 +19,13 @@ def logistic(value: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-value))
 
 
-def share(part: Column, whole: Column) -> Column:
-    """``part / whole`` with an empty whole counted as one."""
-    return part / F.greatest(whole, F.lit(1))
+def normal_tails(t: Column) -> Column:
+    """Probability beyond -t and t of the normal curve, by a rational approximation good to seven digits."""
+    # The coefficients of the published approximation.
+    coefficients = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
+    x = t / F.sqrt(F.lit(2.0))
+    u = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
+    series = F.lit(0.0)
+    for c in reversed(coefficients):
+        series = (series + F.lit(c)) * u
+    return series * F.exp(-x * x)

@@ -55,20 +55,3 @@ ELEMENT_NAMES = {
     "no_exit": "impasse", "traffic_calming": "modération trafic",
     "amenity": "équipement public",
 }
-
-STATE_NAMES = {
-    "AL": "Alabama", "AR": "Arkansas", "AZ": "Arizona", "CA": "Californie",
-    "CO": "Colorado", "CT": "Connecticut", "DC": "District de Columbia",
-    "DE": "Delaware", "FL": "Floride", "GA": "Géorgie", "IA": "Iowa",
-    "ID": "Idaho", "IL": "Illinois", "IN": "Indiana", "KS": "Kansas",
-    "KY": "Kentucky", "LA": "Louisiane", "MA": "Massachusetts", "MD": "Maryland",
-    "ME": "Maine", "MI": "Michigan", "MN": "Minnesota", "MO": "Missouri",
-    "MS": "Mississippi", "MT": "Montana", "NC": "Caroline du Nord",
-    "ND": "Dakota du Nord", "NE": "Nebraska", "NH": "New Hampshire",
-    "NJ": "New Jersey", "NM": "Nouveau-Mexique", "NV": "Nevada",
-    "NY": "New York", "OH": "Ohio", "OK": "Oklahoma", "OR": "Oregon",
-    "PA": "Pennsylvanie", "RI": "Rhode Island", "SC": "Caroline du Sud",
-    "SD": "Dakota du Sud", "TN": "Tennessee", "TX": "Texas", "UT": "Utah",
-    "VA": "Virginie", "VT": "Vermont", "WA": "État de Washington",
-    "WI": "Wisconsin", "WV": "Virginie-Occidentale", "WY": "Wyoming",
-}

@@ -44,10 +44,11 @@ def states(df: DataFrame) -> DataFrame:
     return df.where(F.col("state") != "").select("state").distinct()
 
 
+def part_of(test_from: int) -> Column:
+    """The part a row belongs to: train before a year, test from it on, none without a date."""
+    return F.when(F.col("year") < test_from, "train").when(F.col("year") >= test_from, "test")
+
+
 def temporal_split(df: DataFrame, test_from: int) -> tuple[DataFrame, DataFrame]:
     """Train before a year, test from it on; an undated row is in neither."""
     return df.where(F.col("year") < test_from), df.where(F.col("year") >= test_from)
-
-
-def period(df: DataFrame, first: int, last: int) -> DataFrame:
-    return df.where(F.col("year").between(first, last))

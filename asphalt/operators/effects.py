@@ -14,7 +14,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asphalt.operators.features import Encoder, assemble
+from asphalt.operators.features import Encoder
 from asphalt.operators.profile import flag_patterns, long_format
 from asphalt.operators.scalars import with_row
 from asphalt.schema import DEPLOYABLE, INFRA, NUMERIC_CONTROLS, TARGET
@@ -40,7 +40,7 @@ def switched(df: DataFrame, elements: Sequence[str]) -> DataFrame:
     })
 
 
-def _score_patterns(df: DataFrame, scorer: Scorer, elements: Sequence[str]) -> DataFrame:
+def score_patterns(df: DataFrame, scorer: Scorer, elements: Sequence[str] = INFRA) -> DataFrame:
     """Total score per combination of observed flags and switch: a bounded number of rows."""
     scored = scorer(switched(df, elements))
     return scored.groupBy("_was", "_switch").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
@@ -56,7 +56,11 @@ def _signed_score(position: Column, flag: Column) -> Column:
 
 def adjusted_effects(df: DataFrame, scorer: Scorer, elements: Sequence[str] = INFRA) -> DataFrame:
     """Mean change of the predicted severe probability, element on minus off."""
-    patterns = _score_patterns(df, scorer, elements)
+    return adjusted_of(score_patterns(df, scorer, elements), elements)
+
+
+def adjusted_of(patterns: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
+    """Adjusted effects from scores per pattern of the same elements."""
     item = F.explode(F.array(*[
         F.struct(F.lit(e).alias("element"), F.lit(i).alias("position"), F.col(f"_was.{e}").alias("flag"))
         for i, e in enumerate(elements)
@@ -77,10 +81,17 @@ def conditional_effects(
     All pairs come out of one scan. A hazard with fewer than ``min_rows`` rows
     has an unknown effect. The result has one row per (hazard, measure).
     """
-    patterns = _score_patterns(df, scorer, measures)
+    return conditional_of(score_patterns(df, scorer, measures), min_rows, hazards, measures, measures)
+
+
+def conditional_of(
+    patterns: DataFrame, min_rows: int, hazards: Sequence[str] = INFRA, measures: Sequence[str] = DEPLOYABLE,
+    elements: Sequence[str] = INFRA,
+) -> DataFrame:
+    """Conditional effects from scores per pattern; ``elements`` are those that the patterns switch."""
     item = F.explode(F.array(*[
         F.struct(
-            F.lit(h).alias("hazard"), F.lit(p).alias("measure"), F.lit(list(measures).index(p)).alias("position"),
+            F.lit(h).alias("hazard"), F.lit(p).alias("measure"), F.lit(list(elements).index(p)).alias("position"),
             F.col(f"_was.{h}").alias("carried"), F.col(f"_was.{p}").alias("flag"),
         )
         for h, p in pairs(hazards, measures)
@@ -137,9 +148,9 @@ def pair_concordance(adjusted: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def concordance(odds: DataFrame, effects: DataFrame) -> DataFrame:
-    """Do odds ratio and adjusted effect point the same way? One row per element."""
-    joined = odds.select("element", "odds_ratio").join(
-        F.broadcast(effects.select("element", "delta")), "element", "left"
+    """Do odds ratio and adjusted effect point the same way? One row per element, also of those without odds."""
+    joined = effects.select("element", "delta").join(
+        F.broadcast(odds.select("element", "odds_ratio")), "element", "left"
     )
     same = (F.col("odds_ratio") > 1) == (F.col("delta") > 0)
     return joined.withColumn("agrees", F.when(F.coalesce(same, F.lit(False)), "✓").otherwise("✗"))
@@ -149,7 +160,7 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     """Adjusted odds ratio of each element with its 95 % interval, on all training rows.
 
     Unweighted and without a penalty. A column that never varies is left out, as
-    it has no ratio.
+    it has no ratio. Once the encoded rows are kept, ``train`` itself is released.
     """
     spark = train.sparkSession
     candidates = [*elements, *NUMERIC_CONTROLS]
@@ -157,7 +168,9 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     varying, numeric = ([c for c in group if span[c]] for group in (elements, NUMERIC_CONTROLS))
     encoder = Encoder.fit(train, numeric, min_rows=1, drop_first=True)
     # The reweighted fits read the encoded rows once per iteration.
-    rows = assemble(encoder.transform(train), varying).select("features", TARGET).persist()
+    rows = encoder.spread(encoder.transform(train), varying).select("features", TARGET).persist()
+    rows.count()
+    train.unpersist()
     try:
         model = GeneralizedLinearRegression(
             family="binomial", link="logit", labelCol=TARGET, maxIter=25, tol=1e-6
@@ -176,28 +189,29 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
 
 
 def linear_attribution(
-    df: DataFrame, background: DataFrame, coefficients: Mapping[str, float], top: int = 12
+    df: DataFrame, background: DataFrame, coefficients: Mapping[str, float], top: int | None = None
 ) -> DataFrame:
-    """Shapley values of a linear score: signed mean, mean size and direction per feature.
+    """Shapley values of a linear score: signed mean, mean size and direction per feature, or of the ``top`` ones.
 
     For independent features the value is the weight times the distance to the
     background mean, in log-odds, exact for every row.
     """
     names = list(coefficients)
     means = background.agg(*[F.avg(n).alias(n) for n in names])
-    values = {n: (F.col(n) - F.col(f"_means.{n}")) * float(coefficients[n]) for n in names}
+    parts = {n: (F.col(n) - F.col(f"_means.{n}")) * float(coefficients[n]) for n in names}
     summary = with_row(df, means, "_means").agg(*[
-        F.struct(F.avg(v).alias("signed"), F.avg(F.abs(v)).alias("size")).alias(n) for n, v in values.items()
+        F.struct(F.avg(v).alias("signed"), F.avg(F.abs(v)).alias("size")).alias(n) for n, v in parts.items()
     ])
-    return (
+    values = (
         long_format(summary, names, "feature", "v")
         .select("feature", F.col("v.signed").alias("mean_signed"), F.col("v.size").alias("mean_abs"))
         .withColumn(
             "direction",
             F.when(F.col("mean_signed") > 0, "aggravating").when(F.col("mean_signed") < 0, "protective"),
         )
-        .orderBy(F.desc("mean_abs"), "feature").limit(top)
+        .orderBy(F.desc("mean_abs"), "feature")
     )
+    return values if top is None else values.limit(top)
 
 
 def importance_ranks(values: DataFrame) -> DataFrame:

@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from asphalt import labels
 from asphalt.functions import hexgrid
 from asphalt.operators.ordering import quantiles, tie_ranks
-from asphalt.session import BROADCAST_ROWS, materialise
+from asphalt.session import broadcast_if_small, materialise
 
 
-def segments_in(segments: DataFrame, zones: DataFrame, top: int, resolution: int = 8) -> DataFrame:
-    """Segments of a priority list of at most ``top`` zones.
-
-    The list is broadcast only while its known bound is small.
-    """
+def segments_in(segments: DataFrame, zones: DataFrame, resolution: int = 8) -> DataFrame:
+    """Segments of a priority list, which is broadcast only while it is small."""
     placed = segments.withColumn("cell", hexgrid.cell(F.col("start_lat"), F.col("start_lng"), resolution))
-    cells = zones.select("cell").distinct()
-    return placed.join(F.broadcast(cells) if top <= BROADCAST_ROWS else cells, "cell", "left_semi")
+    cells = materialise(zones.select("cell").distinct())
+    return placed.join(broadcast_if_small(cells), "cell", "left_semi")
 
 
 def road_exposure(segments: DataFrame, resolution: int = 8) -> DataFrame:
@@ -50,17 +47,10 @@ def with_exposure(zones: DataFrame, roads: DataFrame) -> DataFrame:
     })
 
 
-def with_zone_type(zones: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Tell a concentrated black spot from an extended network by the median intensity.
-
-    ``at_most`` is the known size of a priority list; without it the median is
-    taken over a distributed order.
-    """
+def with_zone_type(zones: DataFrame) -> DataFrame:
+    """Tell a concentrated black spot from an extended network by the median intensity."""
     zones = materialise(zones)
-    if at_most is not None and at_most <= BROADCAST_ROWS:
-        median = zones.agg(F.median("acc_per_km")).scalar()
-    else:
-        median = quantiles(zones, ["acc_per_km"], 0.5).select("value").scalar()
+    median = quantiles(zones, ["acc_per_km"], 0.5).select("value").scalar()
     intensity = F.col("acc_per_km")
     return zones.withColumn("_median", median).withColumn(
         "type_zone",
@@ -72,10 +62,16 @@ def with_zone_type(zones: DataFrame, at_most: int | None = None) -> DataFrame:
 
 
 def rank_movement(zones: DataFrame) -> DataFrame:
-    """Places gained by a zone when its burden is divided by its street length."""
+    """Places gained by a zone when its burden is divided by its street length.
+
+    Most zones share a few small burdens. The rank tables have one row per
+    value, so they are broadcast while small; beyond that adaptive execution
+    splits the busy values of the joins.
+    """
     known = materialise(zones.where(F.col("street_km") > 0))
-    by_charge = tie_ranks(known, "charge").withColumnRenamed("avg_rank", "rank_charge")
-    by_density = tie_ranks(known, "charge_per_km").withColumnRenamed("avg_rank", "rank_per_km")
+    by_charge = broadcast_if_small(materialise(tie_ranks(known, "charge").withColumnRenamed("avg_rank", "rank_charge")))
+    by_density = broadcast_if_small(materialise(
+        tie_ranks(known, "charge_per_km").withColumnRenamed("avg_rank", "rank_per_km")))
     return (
         known.join(by_charge, "charge").join(by_density, "charge_per_km")
         .withColumn("movement", F.col("rank_charge") - F.col("rank_per_km"))

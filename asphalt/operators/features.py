@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from asphalt.operators.ordering import quantiles
@@ -16,7 +18,6 @@ from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, INFRA, NUMERIC_CONTRO
 from asphalt.session import broadcast_if_small, materialise
 
 INFREQUENT = "_infrequent"
-MAX_CATEGORIES = 1000
 HISTORY_RESOLUTIONS = (7, 5)
 
 
@@ -24,12 +25,18 @@ def model_table(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return df.select(*FEATURES, TARGET, "year", *extra)
 
 
-def capped_sample(df: DataFrame, max_rows: int | None, seed: int = 42) -> DataFrame:
-    """At most about ``max_rows`` rows drawn evenly; everything without a cap."""
+def drawn(key: Sequence[str], seed: int) -> Column:
+    """A seeded draw of 32 bits for each row: the same in every layout, and other SQL engines can compute it."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("long")
+
+
+def capped_sample(df: DataFrame, max_rows: int | None, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """About ``max_rows`` rows drawn evenly by a hash of ``key``; everything without a cap."""
     if max_rows is None:
         return df
     rows = df.count()
-    return df if rows <= max_rows else df.sample(False, max_rows / rows, seed)
+    return df if rows <= max_rows else df.where(drawn(key, seed) < int(max_rows / rows * 2**32))
 
 
 def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42, by: str = "state") -> DataFrame:
@@ -39,8 +46,8 @@ def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42,
     the cut falls in is dropped before anything moves, and the rest is ordered
     by slice, so that no group, however large, is sorted in one task.
     """
-    draw = F.xxhash64(*key, F.lit(seed))
-    hashed = df.withColumns({"_draw": draw, "_slice": F.shiftright(draw, 52)})
+    draw = drawn(key, seed)
+    hashed = df.withColumns({"_draw": draw, "_slice": F.shiftright(draw, 20)})
     sizes = hashed.groupBy(by, "_slice").agg(F.count("*").alias("_rows"))
     # At most 4096 slices per group.
     before = Window.partitionBy(by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -53,7 +60,7 @@ def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42,
     cut = broadcast_if_small(materialise(cut))
     placed = hashed.join(cut, F.col(by).eqNullSafe(F.col("_group")), "left")
     kept = placed.where(F.col("_cut").isNull() | (F.col("_slice") <= F.col("_cut")))
-    order = Window.partitionBy(by, "_slice").orderBy("_draw")
+    order = Window.partitionBy(by, "_slice").orderBy("_draw", *key)
     return (
         kept.withColumn("_place", F.row_number().over(order))
         .where(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut")) | (F.col("_place") <= F.col("_room")))
@@ -159,10 +166,11 @@ def zone_history(
 
 @dataclass(frozen=True)
 class Encoder:
-    """Turns the modelling table into ``controls``, an array of encoded controls.
+    """Encodes the controls: scaled numbers ``_x_<name>``, categories as positions ``_k_<name>``.
 
     Flags stay plain columns, so that they can be switched before scoring. The
-    encoding is made of column expressions, which compile into the scan.
+    encoding is made of column expressions, which compile into the scan. The
+    position after the last label stands for what training did not have.
     """
 
     numeric: tuple[str, ...]
@@ -181,56 +189,97 @@ class Encoder:
         """Learn fills, scales and categories; with ``drop_first`` the first category is the reference."""
         found = {r["name"]: r["value"] for r in medians(train, numeric).collect()}
         fills = {c: found.get(c, 0.0) for c in numeric}
-        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in numeric}
+        numbers = {c: F.col(c).cast("double") for c in numeric}
         stats = train.agg(
-            *[f(v).alias(f"{n}_{c}") for c, v in filled.items() for n, f in (("mean", F.avg), ("sd", F.stddev_pop))],
+            F.count("*").alias("rows"),
+            *[f(v).alias(f"{n}_{c}") for c, v in numbers.items()
+              for n, f in (("n", F.count), ("mean", F.avg), ("var", F.var_pop))],
             *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in categorical],
         ).first()
-        counts = category_counts(train, categorical).limit(MAX_CATEGORIES + 1).collect()
-        if len(counts) > MAX_CATEGORIES:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories in {list(categorical)}")
-        most, rare, labels = {}, {}, {}
+        means, deviations = {}, {}
+        for c in numeric:
+            means[c], deviations[c] = _with_fill(
+                stats["rows"], stats[f"n_{c}"], stats[f"mean_{c}"] or 0.0, stats[f"var_{c}"] or 0.0, fills[c])
+        most = {r["name"]: r["value"] for r in modes(train, categorical).collect()}
+        counted = category_counts(train, categorical)
+        filled = F.col("rows")
+        for c in categorical:  # missing values count for the most frequent category
+            is_most = (F.col("name") == c) & (F.col("value") == F.lit(most.get(c)))
+            filled = filled + F.when(is_most, stats[f"missing_{c}"]).otherwise(0)
+        rare, labels = {c: [] for c in categorical}, {c: [] for c in categorical}
+        for r in counted.select("name", "value", (filled >= min_rows).alias("kept")).collect():
+            (labels if r["kept"] else rare)[r["name"]].append(r["value"])
         for c in categorical:
-            sizes = {r["value"]: r["rows"] for r in counts if r["name"] == c}
-            most[c] = min(sizes, key=lambda v: (-sizes[v], v)) if sizes else None
-            if sizes:
-                sizes[most[c]] += stats[f"missing_{c}"]
-            rare[c] = sorted(v for v, n in sizes.items() if n < min_rows)
-            kept = sorted(set(sizes) - set(rare[c])) + ([INFREQUENT] if rare[c] else [])
+            kept = sorted(labels[c]) + ([INFREQUENT] if rare[c] else [])
             labels[c] = kept[1:] if drop_first else kept
         return cls(
-            tuple(numeric), fills, {c: stats[f"mean_{c}"] for c in numeric},
-            {c: stats[f"sd_{c}"] or 1.0 for c in numeric}, most, rare, labels,
+            tuple(numeric), fills, means, deviations, {c: most.get(c) for c in categorical},
+            {c: sorted(v) for c, v in rare.items()}, labels,
         )
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``controls``; a category that training did not have is encoded as all zeros."""
-
-        def scaled(c: str) -> Column:
-            return (F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c])) - self.means[c]) / self.deviations[c]
+    def category(self, c: str) -> Column:
+        """The category of a row with missing values filled and rare ones pooled."""
+        value = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+        return F.when(value.isin(self.rare[c]), INFREQUENT).otherwise(value) if self.rare[c] else value
 
-        def category(c: str) -> Column:
-            value = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
-            return F.when(value.isin(self.rare[c]), INFREQUENT).otherwise(value) if self.rare[c] else value
-
-        def hot(c: str) -> Column:
-            """One array element per category, written as a loop to keep the compiled code short."""
-            return F.transform(
-                F.array(*[F.lit(v) for v in self.labels[c]]),
-                lambda v: F.coalesce((v == F.col(f"_cat_{c}")).cast("double"), F.lit(0.0)),
-            )
-
-        used = [c for c, values in self.labels.items() if values]
-        named = df.withColumns({f"_cat_{c}": category(c) for c in used})
-        parts = [F.array(*[scaled(c) for c in self.numeric]), *[hot(c) for c in used]]
-        return named.withColumn("controls", F.concat(*parts)).drop(*[f"_cat_{c}" for c in used])
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the encoded columns."""
+        scaled = {
+            f"_x_{c}": (F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c])) - self.means[c]) / self.deviations[c]
+            for c in self.numeric
+        }
+        places = {}
+        for c in self.used:
+            known = F.create_map(*[F.lit(part) for i, v in enumerate(self.labels[c]) for part in (v, float(i))])
+            places[f"_k_{c}"] = F.coalesce(F.try_element_at(known, self.category(c)), F.lit(float(len(self.labels[c]))))
+        return df.withColumns({**scaled, **places})
+
+    @property
+    def used(self) -> list[str]:
+        return [c for c, values in self.labels.items() if values]
+
+    @property
+    def columns(self) -> list[str]:
+        """The encoded columns."""
+        return [*[f"_x_{c}" for c in self.numeric], *[f"_k_{c}" for c in self.used]]
 
     def names(self) -> list[str]:
-        """Name of each position of ``controls``."""
+        """Name of each position after the flags, categories one by one."""
         return [*self.numeric, *[f"{c}={v}" for c, values in self.labels.items() for v in values]]
 
-
-def assemble(df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
-    """Flags and encoded controls as the vector ``features``."""
-    values = F.concat(F.array(*[F.col(f).cast("double") for f in flags]), F.col("controls"))
-    return df.withColumn("features", array_to_vector(values))
+    @cached_property
+    def one_hot(self) -> OneHotEncoderModel:
+        """Positions to sparse vectors; the position after the last label is all zeros."""
+        sizes = SparkSession.active().createDataFrame([tuple(float(len(self.labels[c])) for c in self.used)], [f"_k_{c}" for c in self.used])
+        return OneHotEncoder(inputCols=sizes.columns, outputCols=[f"_v_{c}" for c in self.used], dropLast=True).fit(sizes)
+
+    def spread(self, df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
+        """Flags and controls as the sparse vector ``features``, one position a category."""
+        named = [*flags, *[f"_x_{c}" for c in self.numeric]]
+        hot = self.one_hot.transform(df) if self.used else df
+        return _assembled(hot, [*named, *[f"_v_{c}" for c in self.used]]).drop(
+            *self.columns, *[f"_v_{c}" for c in self.used])
+
+    def grouped(self, df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
+        """Flags and controls as the vector ``features``, one position a control; trees split categories by themselves."""
+        for c in self.used:
+            values = [*self.labels[c], "_unseen"]
+            df = df.withMetadata(f"_k_{c}", {"ml_attr": {"type": "nominal", "name": f"_k_{c}", "vals": values}})
+        return _assembled(df, [*flags, *self.columns]).drop(*self.columns)
+
+    @property
+    def largest(self) -> int:
+        """Positions of the control with most categories."""
+        return max((len(v) + 1 for v in self.labels.values()), default=1)
+
+
+def _with_fill(rows: int, n: int, mean: float, variance: float, fill: float) -> tuple[float, float]:
+    """Mean and deviation of ``rows`` values of which ``n`` are known and the rest are ``fill``."""
+    known = n / rows if rows else 0.0
+    middle = known * mean + (1 - known) * fill
+    spread = known * (variance + (mean - middle) ** 2) + (1 - known) * (fill - middle) ** 2
+    return middle, math.sqrt(spread) or 1.0
+
+
+def _assembled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)

@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asphalt.operators.ordering import running_totals
+from asphalt.session import materialise
+
+
+def kept_scores(scored: DataFrame) -> DataFrame:
+    """Scores and labels computed once, for figures that each read them."""
+    return materialise(scored.select("score", "label"))
 
 
 def score_table(scored: DataFrame) -> DataFrame:

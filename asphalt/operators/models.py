@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asphalt.operators.features import (
-    Encoder, assemble, capped_sample, class_weights, history_columns, model_table, zone_history,
+    Encoder, capped_sample, class_weights, history_columns, model_table, zone_history,
 )
 from asphalt.operators.metrics import evaluate
 from asphalt.schema import FEATURES, INFRA, NUMERIC_CONTROLS, TARGET, ModelChoice
-from asphalt.session import keep_spread
 
 # Algorithm names of the run file, the hyper-parameters each takes
 # there with the Spark name, and the published defaults.
@@ -36,6 +35,9 @@ ALGORITHMS = {
     ),
 }
 FLOOR = "dummy"
+LINEAR = "logistic"
+# Rows of a partition of the training table: fits don't depend on the number of cores.
+FIT_ROWS = 50_000
 
 
 def check_choice(algorithm: str, params: Mapping) -> dict:
@@ -49,11 +51,11 @@ def check_choice(algorithm: str, params: Mapping) -> dict:
     return {**defaults, **params}
 
 
-def make_classifier(algorithm: str, params: Mapping, total_weight: float, seed: int):
+def make_classifier(algorithm: str, params: Mapping, total_weight: float, seed: int, categories: int = 1):
     """Estimator of an algorithm; ``total_weight`` turns C into a regularisation per row."""
     chosen = check_choice(algorithm, params)
     columns = {"featuresCol": "features", "labelCol": TARGET, "weightCol": "weight"}
-    if algorithm == "logistic":
+    if algorithm == LINEAR:
         return LogisticRegression(
             maxIter=2000, tol=1e-6, regParam=1.0 / (chosen["C"] * total_weight), standardization=False, **columns
         )
@@ -63,7 +65,7 @@ def make_classifier(algorithm: str, params: Mapping, total_weight: float, seed:
         "tree": DecisionTreeClassifier, "random_forest": RandomForestClassifier,
         "hist_gradient_boosting": GBTClassifier,
     }[algorithm]
-    return kind(seed=seed, maxBins=255, maxMemoryInMB=1024, **settings, **columns)
+    return kind(seed=seed, maxBins=max(255, categories), maxMemoryInMB=1024, **settings, **columns)
 
 
 @dataclass(frozen=True)
@@ -82,19 +84,24 @@ class SeverityModel:
     def score(self, prepared: DataFrame) -> DataFrame:
         if self.classifier is None:
             return prepared.withColumn("score", F.lit(self.prior))
-        scored = self.classifier.transform(assemble(prepared))
+        scored = self.classifier.transform(_features(self.algorithm, self.encoder, prepared))
         return scored.withColumn("score", vector_to_array("probability")[1]).drop(
-            "features", "controls", "rawPrediction", "probability", "prediction"
+            "features", "rawPrediction", "probability", "prediction"
         )
 
-    def names(self) -> list[str]:
-        return [*INFRA, *self.encoder.names()]
+
+def _features(algorithm: str, encoder: Encoder, df: DataFrame) -> DataFrame:
+    return encoder.spread(df) if algorithm == LINEAR else encoder.grouped(df)
 
 
 def training_rows(train: DataFrame, place_history: bool = False) -> DataFrame:
-    """The columns a fit needs, spread over the cores and kept: a fit reads them many times."""
-    extra = history_columns() if place_history else []
-    return keep_spread(model_table(train, extra))
+    """The columns a fit needs, spread evenly and kept: a fit reads them many times.
+
+    The number of partitions follows from the number of rows.
+    """
+    rows = model_table(train, history_columns() if place_history else [])
+    partitions = max(8, -(-train.count() // FIT_ROWS))
+    return rows.repartition(partitions, F.xxhash64(*rows.columns)).persist()
 
 
 def fit(train: DataFrame, choice: ModelChoice, encoder: Encoder | None = None) -> SeverityModel:
@@ -111,8 +118,8 @@ def fit(train: DataFrame, choice: ModelChoice, encoder: Encoder | None = None) -
         for label, (_, w) in weights.items():
             weight = F.when(F.col(TARGET) == label, w).otherwise(weight)
     # Both weightings add up to the number of rows.
-    classifier = make_classifier(choice.algorithm, choice.params, rows, choice.seed)
-    encoded = assemble(encoder.transform(train.withColumn("weight", weight)))
+    classifier = make_classifier(choice.algorithm, choice.params, rows, choice.seed, encoder.largest)
+    encoded = _features(choice.algorithm, encoder, encoder.transform(train.withColumn("weight", weight)))
     return SeverityModel(choice.algorithm, encoder, classifier.fit(encoded.select("features", TARGET, "weight")), prior)
 
 
@@ -120,17 +127,22 @@ def numeric_features(choice: ModelChoice) -> list[str]:
     return NUMERIC_CONTROLS + (history_columns() if choice.place_history else [])
 
 
-def split_for(df: DataFrame, choice: ModelChoice, test_from: int, state: str | None) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of a choice: scope, year cut, optional cap and place history."""
+def split_for(
+    df: DataFrame, choice: ModelChoice, test_from: int, state: str | None, history_weight: float = 30.0
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a choice: scope, year cut, optional cap and place history.
+
+    A cap bounds the rows of the fit only: metrics and effects are measured on all test rows.
+    """
     scoped = df if choice.scope == "us" or state is None else df.where(F.col("state") == state)
     whole = scoped.where(F.col("year") < test_from)
     test = scoped.where(F.col("year") >= test_from)
-    cap = choice.max_rows
-    train = capped_sample(whole, cap, choice.seed)
-    test = capped_sample(test, None if cap is None else cap // 4, choice.seed)
+    key = [c for c in ("id", "start_time", "start_lat", "start_lng", *FEATURES) if c in df.columns]
+    train = capped_sample(whole, choice.max_rows, key, choice.seed)
     if choice.place_history:
         # History is learnt on all earlier rows, also those a cap leaves out.
-        train, test = zone_history(train, whole), zone_history(test, whole)
+        train = zone_history(train, whole, weight=history_weight)
+        test = zone_history(test, whole, weight=history_weight)
     return train, test
 
 
@@ -172,18 +184,12 @@ def compare(
     )
 
 
-def floor_quality(df: DataFrame, label: str = TARGET) -> DataFrame:
-    """Quality of a constant score: its average precision is the severe share."""
-    return df.agg(F.count("*").alias("n"), F.avg(label).alias("pr_auc")).withColumn("roc_auc", F.lit(0.5))
-
-
 def importances(models: Mapping[str, SeverityModel], elements: Sequence[str] = INFRA) -> DataFrame:
     """Weight of each flag in each fitted model: (method, element, value)."""
     rows = []
     for method, model in models.items():
         weights = _weights(model)
-        names = model.names()
-        rows += [(method, e, float(weights[names.index(e)])) for e in elements]
+        rows += [(method, e, float(weights[INFRA.index(e)])) for e in elements]  # the flags come first
     return SparkSession.active().createDataFrame(rows, "method string, element string, value double")
 
 

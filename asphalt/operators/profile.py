@@ -22,13 +22,23 @@ def target_rate(df: DataFrame) -> DataFrame:
 
 
 def missing_rate(df: DataFrame) -> DataFrame:
-    """Percent of missing values for each column that has any, in one scan."""
-    present = [F.count(F.col(f"`{c}`")) for c in df.columns]
-    rates = df.agg(*[
-        ((F.count("*") - n) * 100.0 / F.greatest(F.count("*"), F.lit(1))).alias(c) for c, n in zip(df.columns, present)
+    """Percent of missing values for each column that has any, in one scan.
+
+    Rows are counted per pattern of missing columns: one key and one counter a
+    row, where a counter a column would be too much code to compile. The few
+    patterns are then taken apart.
+    """
+    names = df.columns
+    pattern = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in names])
+    patterns = df.groupBy(pattern.alias("pattern")).agg(F.count("*").alias("n"))
+    items = F.array(*[
+        F.struct(F.lit(c).alias("column"), (F.substring("pattern", i + 1, 1) == "1").alias("missing"))
+        for i, c in enumerate(names)
     ])
+    missing = F.sum(F.when(F.col("item.missing"), F.col("n")).otherwise(0))
     return (
-        long_format(rates, df.columns, "column", "pct_missing")
+        patterns.select("n", F.explode(items).alias("item")).groupBy("item.column")
+        .agg((missing * 100.0 / F.sum("n")).alias("pct_missing"))
         .where(F.col("pct_missing") > 0)
         .orderBy(F.desc("pct_missing"), "column")
     )

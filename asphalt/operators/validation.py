@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asphalt.functions.scoring import normal_tails
 from asphalt.operators.ordering import quantiles, tie_ranks
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
@@ -68,22 +66,17 @@ def rank_correlation(df: DataFrame, left: str, right: str) -> DataFrame:
     return sums.select("n", F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")).alias("rho"))
 
 
-@dataclass(frozen=True)
-class Correlation:
-    n: int
-    rho: float
-    p_value: float
-
-
-def stability(burdens: DataFrame) -> Correlation:
-    """Correlation of the two periods with its two-sided p-value.
+def stability(burdens: DataFrame) -> DataFrame:
+    """Correlation of the two periods with its two-sided p-value: (n, rho, p_value).
 
     The t statistic is read on the normal curve: cells are counted in thousands.
+    Without a correlation or with two cells at most the p-value is unknown; a
+    perfect correlation has 0.
     """
-    row = rank_correlation(burdens, "early", "late").first()
-    slack = 1 - row["rho"] ** 2
-    t = math.inf if slack <= 0 else abs(row["rho"]) * math.sqrt((row["n"] - 2) / slack)
-    return Correlation(row["n"], row["rho"], math.erfc(t / math.sqrt(2)))
+    slack = F.lit(1.0) - F.col("rho") * F.col("rho")
+    t = F.abs("rho") * F.sqrt((F.col("n") - 2) / slack)
+    p = F.when(F.col("n") <= 2, None).when(slack <= 1e-12, 0.0).otherwise(normal_tails(t))
+    return rank_correlation(burdens, "early", "late").withColumn("p_value", F.when(F.col("rho").isNotNull(), p))
 
 
 def still_on_top(burdens: DataFrame, top: int, fraction: float = 0.95) -> DataFrame:

@@ -29,6 +29,21 @@ def by_event(df: DataFrame) -> DataFrame:
     )
 
 
+def event_counts(df: DataFrame, *dimensions: str) -> DataFrame:
+    """Accidents, severe accidents and total severity per calendar event and dimension values."""
+    return df.groupBy(event_window(F.col("start_time")).alias("event"), *dimensions).agg(
+        F.count("*").alias("n"), F.sum("grave").cast("long").alias("graves"), F.sum("severity").alias("charge"))
+
+
+def events_of(counts: DataFrame) -> DataFrame:
+    """The table of ``by_event`` from counted groups."""
+    sums = counts.groupBy("event").agg(F.sum("n").alias("n"), F.sum("graves").alias("graves"), F.sum("charge").alias("charge"))
+    return sums.select(
+        "event", "n", F.bround(F.col("graves") / F.col("n") * 100, 1).alias("part_grave"),
+        F.bround(F.col("charge") / F.col("n"), 3).alias("sev_moy"),
+    ).orderBy(F.desc("n"), "event")
+
+
 def peak_hour(hourly: DataFrame) -> DataFrame:
     """Hour with the largest severe share, the earliest one on a tie."""
     best = F.max_by(

@@ -7,21 +7,21 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asphalt.operators import cleaning, features, when, zones
 from asphalt.schema import PREPARED_COLUMNS, Thresholds
-from asphalt.session import materialise
+from asphalt.session import job_session, materialise
 from asphalt.sources.accidents import is_prepared, read_prepared, scan_csv
 from asphalt.sources.results import write_prepared
 
-# Fixed value: rows kept per state in the published sample.
-CAP_PER_STATE = 40_000
 
+def prepare(raw: DataFrame, folder: str, cap: int | None = None, limits: Thresholds = Thresholds()) -> None:
+    """Write the clean table, sample, zones, yearly zones and time tables of a raw accident table.
 
-def prepare(raw: DataFrame, folder: str, cap: int = CAP_PER_STATE, limits: Thresholds = Thresholds()) -> None:
-    """Write the clean table, sample, zones, yearly zones and time tables of a raw accident table."""
+    ``cap`` bounds the rows of each state in ``accidents_sample``, a table to fit models on; without it all are in.
+    """
     cleaned = cleaning.clean(cleaning.normalise_names(raw), limits.severe_from)
     # The text file is parsed once; everything below reads pruned columns of the written table.
     write_prepared(cleaned, folder, "accidents", by="state")
@@ -31,7 +31,8 @@ def prepare(raw: DataFrame, folder: str, cap: int = CAP_PER_STATE, limits: Thres
     # An existing sample is kept, so that a model trained on it stays reproducible.
     if not is_prepared(raw.sparkSession, folder, "accidents_sample"):
         key = [c for c in ("id", "start_time", "start_lat", "start_lng") if c in accidents.columns]
-        sample = features.stratified_cap(accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS])), cap, key)
+        sample = accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS]))
+        sample = sample if cap is None else features.stratified_cap(sample, cap, key)
         write_prepared(sample.select(*PREPARED_COLUMNS), folder, "accidents_sample")
 
     zone_columns = ["state", "cell", "n_accidents", "avg_severity", "charge"]
@@ -51,9 +52,9 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--csv", required=True)
     parser.add_argument("--out", required=True)
-    parser.add_argument("--cap", type=int, default=CAP_PER_STATE)
+    parser.add_argument("--cap", type=int, help="rows of each state in the sample")
     arguments = parser.parse_args()
-    spark = SparkSession.builder.appName("prepare").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = job_session("prepare")
     prepare(scan_csv(spark, arguments.csv), arguments.out, arguments.cap)
     spark.stop()
 

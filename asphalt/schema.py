@@ -85,6 +85,7 @@ class Thresholds:
     early: tuple[int, int] = (2016, 2019)
     late: tuple[int, int] = (2020, 2023)
     history_weight: float = 30.0
+    distinct_actions: int = 3
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+STRING_BYTES = 64
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
@@ -39,23 +40,22 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a materialised table after counting it; a larger one is joined by shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a materialised table whose counted rows are small; a larger one is joined by shuffle.
 
+    Rows are taken at the width of the table's types, strings at ``STRING_BYTES``.
+    """
+    width = 16 + sum(STRING_BYTES if f.dataType.typeName() in ("string", "binary") else 16 for f in df.schema)
+    most = max_bytes // width
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
-def keep_spread(df: DataFrame) -> DataFrame:
-    """Persist rows that are read many times, over all cores.
 
-    Only an input in fewer pieces than there are cores is repartitioned; a
-    large one has more and stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    kept = df.persist()
-    if kept.rdd.getNumPartitions() >= cores:
-        return kept
-    kept.unpersist()
-    return df.repartition(cores).persist()
+def job_session(name: str) -> SparkSession:
+    """The session of a submitted job; checkpoints go when they are no longer used."""
+    return (
+        SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
+    )
 
 
 def local_session(cores: int | str = "*", name: str = "asphalt", **settings: str) -> SparkSession:
@@ -66,6 +66,7 @@ def local_session(cores: int | str = "*", name: str = "asphalt", **settings: str
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from asphalt.checks import views
-from asphalt.operators import quality
+from asphalt.operators import features, models, quality
 from asphalt.plans.prepare import prepare
 from asphalt.plans.run import RunConfig, load_config, run
 from asphalt.sources.accidents import read_prepared, scan_csv
@@ -53,7 +53,8 @@ def config(csv, folder, **switches):
     return {
         "donnees": {"csv": csv, "territoire": "S3", "perimetre_entrainement": "us"},
         "sorties": {"dossier": folder, "prefixe": "p_"}, "analyses": switches,
-        "parametres": {"zones_prioritaires": 20, "min_effectif": 20, "lift_min": 1.1},
+        "parametres": {"zones_prioritaires": 20, "min_effectif": 20, "lift_min": 1.1, "actions_distinctes": 1,
+                       "periode_ancienne": [1995, 1997], "periode_recente": [1998, 2001]},
         "modele": {"algorithme": "logistic", "hyperparametres": {"C": 1.0}, "split_temporel": {"train_avant": 2000},
                    "effets": {"odds_ratios": False}},
     }
@@ -70,12 +71,15 @@ def test_run_follows_its_switches(spark, csv, tmp_path):
 def test_synthesis_brings_in_zones_and_model(spark, csv, tmp_path):
     folder, roads = str(tmp_path / "all"), str(tmp_path / "roads")
     views.load(spark, SMALL, "road_segments").write.parquet(roads)
-    raw = config(csv, folder, synthese=True, quoi=True)
+    raw = config(csv, folder, synthese=True, quoi=True, validation=True, profil=True)
     raw["donnees"]["troncons"] = roads
     path = tmp_path / "run.json"
     path.write_text(json.dumps(raw), encoding="utf-8")
     summary = run(spark, load_config(str(path)))
-    assert set(summary["analyses"]) == {"quoi", "synthese"}
+    assert set(summary["analyses"]) == {"quoi", "synthese", "validation"}
+    for name in ("profil_manquants", "profil_couverture", "validation_stabilite", "validation_retrospective", "synthese_ecran"):
+        assert spark.read.option("header", True).csv(f"{folder}/p_{name}.csv").count() > 0
+    assert spark.read.option("header", True).csv(f"{folder}/p_validation_exposition.csv").count() > 0
     plan = spark.read.option("header", True).option("inferSchema", True).csv(f"{folder}/p_synthese_recommandations.csv")
     assert plan.count() == summary["analyses"]["synthese"]["zones"] <= 20
     quality.require(quality.plan_violations(plan, distinct_actions=1))
@@ -86,6 +90,26 @@ def test_synthesis_brings_in_zones_and_model(spark, csv, tmp_path):
     assert not glob.glob(folder + "/p_ou_*")
 
 
+def test_run_file_switches_place_history_on(spark, csv, tmp_path, monkeypatch):
+    raw = config(csv, str(tmp_path / "with"), quoi=True)
+    raw["modele"] |= {"historique_lieu": True, "poids_historique": 10, "effets": {"odds_ratios": False, "g_computation": False}}
+    given = RunConfig.from_mapping(raw)
+    assert given.model.place_history and given.limits.history_weight == 10.0
+    fitted, fit = [], models.fit
+    monkeypatch.setattr(models, "fit", lambda rows, choice: fitted.append((rows.columns, choice)) or fit(rows, choice))
+    assert run(spark, given)["analyses"]["quoi"]["pr_auc"] > 0
+    columns, choice = fitted[0]
+    assert set(features.history_columns()) <= set(columns) and choice.place_history
+
+
+def test_unknown_settings_are_refused(csv, tmp_path):
+    raw = config(csv, str(tmp_path), quoi=True)
+    raw["parametres"]["seuil"] = 3
+    raw["modele"]["effets"]["tout"] = True
+    with pytest.raises(ValueError, match="effets.tout, parametres.seuil"):
+        RunConfig.from_mapping(raw)
+
+
 def test_unknown_algorithm_stops_before_reading(csv, tmp_path):
     raw = config(csv, str(tmp_path), quoi=True)
     raw["modele"]["algorithme"] = "svm"

@@ -68,8 +68,10 @@ def test_encoder_pools_rare_and_zeroes_unseen(spark):
     encoder = features.Encoder.fit(df, ["x"], ["c"])
     assert encoder.names() == ["x", "c=A", "c=B", "c=_infrequent"]
     new = spark.createDataFrame([("A", None), ("C", None), ("Z", None), (None, None)], "c string, x double")
-    values = [list(r["controls"]) for r in encoder.transform(new).collect()]
+    rows = encoder.transform(new)
+    values = [list(r["features"].toArray()) for r in encoder.spread(rows, []).collect()]
     assert [v[1:] for v in values] == [[1, 0, 0], [0, 0, 1], [0, 0, 0], [1, 0, 0]]
+    assert [r["features"].toArray()[1] for r in encoder.grouped(rows, []).collect()] == [0, 2, 3, 0]
     x = np.array([1.0] * 30 + [3.0] * 28 + [1.0] * 2)
     filled = np.where(np.arange(60) < 30, 1.0, 3.0)
     median = np.median([1.0] * 30 + [3.0] * 28)
@@ -119,8 +121,21 @@ def test_place_history_and_local_scope(spark, parts):
     assert "zone_hist7" in train.columns and train.count() == parts[0].count()
     local = models.split_for(df, ModelChoice(scope="territoire"), 2000, "S3")[0]
     assert {r[0] for r in local.select("state").distinct().collect()} == {"S3"}
-    capped = models.split_for(df, ModelChoice(max_rows=400), 2000, None)
-    assert capped[0].count() < 600 and capped[1].count() < 200
+    whole = models.split_for(df, ModelChoice(), 2000, None)[1]
+    train, test = models.split_for(df, ModelChoice(max_rows=400), 2000, None)
+    assert train.count() < 600 and test.count() == whole.count()
+    assert train.exceptAll(models.split_for(df.repartition(5), ModelChoice(max_rows=400), 2000, None)[0]).count() == 0
+
+
+def test_a_cap_leaves_effects_on_all_test_rows(spark, parts):
+    df = parts[0].unionByName(parts[1])
+    counts = []
+    for cap in (None, 300):
+        train, test = models.split_for(df, ModelChoice("logistic", max_rows=cap), 2000, None)
+        model = models.fit(models.training_rows(train), ModelChoice("logistic"))
+        found = effects.conditional_effects(model.prepare(test), model.score, 20)
+        counts.append({(r["hazard"], r["measure"]): r["n"] for r in found.collect()})
+    assert counts[0] == counts[1]
 
 
 def test_effects_match_brute_force(spark, parts):
@@ -174,7 +189,9 @@ def test_odds_ratios_match_newton(spark):
 def test_concordance_and_convergence(spark):
     odds = spark.createDataFrame([("a", 1.2), ("b", 0.8), ("c", 1.1)], "element string, odds_ratio double")
     deltas = spark.createDataFrame([("a", 0.1), ("b", 0.2)], "element string, delta double")
-    assert {r["element"]: r["agrees"] for r in effects.concordance(odds, deltas).collect()} == {"a": "✓", "b": "✗", "c": "✗"}
+    deltas = deltas.unionByName(spark.createDataFrame([("d", -0.1)], deltas.schema))
+    found = {r["element"]: (r["agrees"], r["odds_ratio"]) for r in effects.concordance(odds, deltas).collect()}
+    assert found == {"a": ("✓", 1.2), "b": ("✗", 0.8), "d": ("✗", None)}
     values = [(m, e, float(v)) for m, vs in (("x", (3, 2, 1)), ("y", (30, 20, 10)), ("z", (1, 1, 5)))
               for e, v in zip("abc", vs)]
     ranks = effects.importance_ranks(spark.createDataFrame(values, "method string, element string, value double"))

@@ -37,11 +37,10 @@ def test_exposure_labels(spark):
         {"cell": c, "n_accidents": n, "charge": 2 * n} for c, n in (("a", 10), ("b", 20), ("c", 30), ("d", 40), ("e", 50))])
     roads = spark.createDataFrame([("a", 1.0, 1), ("b", 1.0, 0), ("c", 1.0, 2), ("d", 0.0, 0)],
                                   "cell string, street_km double, n_intersections long")
-    for bound in (None, 50):
-        typed = exposure.with_zone_type(exposure.with_exposure(table, roads), bound)
-        found = {r["cell"]: r["type_zone"] for r in typed.collect()}
-        assert found == {"a": labels.ZONE_DIFFUSE, "b": labels.ZONE_CONCENTRATED, "c": labels.ZONE_CONCENTRATED,
-                         "d": labels.ZONE_UNKNOWN, "e": labels.ZONE_UNKNOWN}
+    typed = exposure.with_zone_type(exposure.with_exposure(table, roads))
+    found = {r["cell"]: r["type_zone"] for r in typed.collect()}
+    assert found == {"a": labels.ZONE_DIFFUSE, "b": labels.ZONE_CONCENTRATED, "c": labels.ZONE_CONCENTRATED,
+                     "d": labels.ZONE_UNKNOWN, "e": labels.ZONE_UNKNOWN}
     nothing = exposure.with_zone_type(exposure.with_exposure(table, roads.where("false")))
     assert {r["type_zone"] for r in nothing.collect()} == {labels.ZONE_NO_EXPOSURE}
 
@@ -102,3 +101,27 @@ def test_span_counts_known_months(spark):
     df = frames.accidents(spark, [{"month": m, "year": 2020} for m in (1, 1, 2, 3)] + [{"year": None}])
     assert recommend.observed_years(df).first()["years"] == 3 / 12
     assert recommend.observed_years(df.where("false")).first()["years"] == 1e-9
+
+
+def test_stability_is_unknown_without_a_correlation(spark):
+    from asphalt.operators import validation
+
+    def found(rows):
+        r = validation.stability(spark.createDataFrame(rows, "cell string, early long, late long")).first()
+        return r["rho"], r["p_value"]
+
+    assert found([("a", 1, 5), ("b", 1, 7), ("c", 1, 9)]) == (None, None)
+    assert found([("a", 1, None), ("b", None, 7)]) == (None, None)
+    assert found([("a", 1, 2), ("b", 2, 4)])[1] is None
+    assert found([(str(i), i, 2 * i) for i in range(9)])[1] == 0.0
+    rho, p = found([(str(i), i, (i * 7) % 11) for i in range(10)])
+    import math
+    assert p == pytest.approx(math.erfc(abs(rho) * math.sqrt(8 / (1 - rho * rho)) / math.sqrt(2)), abs=1e-6)
+
+
+def test_a_busy_value_is_joined_by_broadcast(spark):
+    rows = [(str(i), 5 if i < 90 else i, 1.0 + i % 3, 5.0 if i < 90 else float(i)) for i in range(100)]
+    table = spark.createDataFrame(rows, "cell string, charge long, street_km double, charge_per_km double")
+    moved = exposure.rank_movement(table)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and moved.count() == 100
