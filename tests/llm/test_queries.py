@@ -10,7 +10,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from asphalt.llm import decontaminate, near_dedup, queries as registered
 from tests.compare import connect, difference
-from tests.llm.frames import awkward, empty, table
+from tests.llm.frames import awkward, empty
 
 SMALL = "/root/testdata/sf0.001"
 
