@@ -5,7 +5,7 @@ from __future__ import annotations
 from asphalt.checks import parameters as P
 from asphalt.checks.views import duckdb_clauses
 from asphalt.schema import (
-    CATEGORICAL_CONTROLS, DEPLOYABLE, FEATURES, INFRA, NUMERIC_CONTROLS, RAW_COLUMNS, WEATHER_NUMERIC, normal_name,
+    DEPLOYABLE, FEATURES, INFRA, NUMERIC_CONTROLS, RAW_COLUMNS, WEATHER_NUMERIC, normal_name,
 )
 
 R, COS, SQRT3 = "6371007.2E0", "cos(radians(37.0E0))", "sqrt(3.0E0)"

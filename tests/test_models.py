@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asphalt.functions.scoring import linear_predictor, logistic
-from asphalt.operators import cleaning, effects, features, metrics, models, zones
+from asphalt.operators import cleaning, effects, features, metrics, models
 from asphalt.checks import views
 from asphalt.schema import INFRA, ModelChoice
 from tests import frames
