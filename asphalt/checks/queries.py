@@ -705,12 +705,12 @@ def fit_tree(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _quality(spark, sf, "random_forest", **P.FOREST)
+    return _quality(spark, sf, "random_forest")
 
 
 @query
 def fit_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _quality(spark, sf, "hist_gradient_boosting", **P.BOOSTING)
+    return _quality(spark, sf, "hist_gradient_boosting")
 
 
 @query
@@ -734,7 +734,8 @@ def fit_with_history(spark: SparkSession, sf: str) -> DataFrame:
 
 _CHOICES = {
     "floor": ModelChoice("dummy"), "logistic": ModelChoice("logistic"), "tree": ModelChoice("tree"),
-    "forest": ModelChoice("random_forest", P.FOREST), "boosting": ModelChoice("hist_gradient_boosting", P.BOOSTING),
+    "forest": ModelChoice("random_forest", P.COMPARED_FOREST),
+    "boosting": ModelChoice("hist_gradient_boosting", P.COMPARED_BOOSTING),
 }
 
 
@@ -745,7 +746,7 @@ def compare_models(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gcomp(spark: SparkSession, sf: str) -> DataFrame:
-    model, test = _fitted(spark, sf, "hist_gradient_boosting", **P.BOOSTING)
+    model, test = _fitted(spark, sf, "hist_gradient_boosting", **P.COMPARED_BOOSTING)
     return effects.adjusted_effects(model.prepare(test), model.score)
 
 
