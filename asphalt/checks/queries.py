@@ -551,16 +551,17 @@ def linear_attribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _method_values(spark: SparkSession, sf: str) -> DataFrame:
-    """Four measures of every element's weight, from whole tables."""
-    df = clean_table(spark, sf)
-    train, test = split(spark, sf)
+    """Four measures of every element's weight: three from totals per flag combination, one from scores."""
+    parted = clean_table(spark, sf).withColumn("part", cleaning.part_of(P.STAND_IN.test_from))
+    patterns = materialise(parted.groupBy(*INFRA, "part").agg(F.count("severity").alias("n"), F.sum("severity").alias("charge")))
+    train, test = (patterns.where(F.col("part") == part) for part in ("train", "test"))
     infra = {name: P.COEFFICIENTS[name] for name in INFRA}
-    presence = profile.long_format(df.agg(*[F.avg(e).alias(e) for e in INFRA]), INFRA, "element", "value")
+    shares = patterns.agg(*[(F.sum(F.col(e) * F.col("n")) / F.sum("n")).alias(e) for e in INFRA])
     parts = {
-        "raw": profile.infra_delta(df).select("element", F.abs("delta").alias("value")),
-        "adjusted": effects.adjusted_effects(test, fixed_score).select("element", F.abs("delta").alias("value")),
-        "presence": presence,
-        "attribution": effects.linear_attribution(test, train, infra).select(
+        "raw": profile.delta_of(patterns).select("element", F.abs("delta").alias("value")),
+        "adjusted": effects.adjusted_effects(split(spark, sf)[1], fixed_score).select("element", F.abs("delta").alias("value")),
+        "presence": profile.long_format(shares, INFRA, "element", "value"),
+        "attribution": effects.linear_attribution(test, train, infra, weight="n").select(
             F.col("feature").alias("element"), F.col("mean_abs").alias("value")),
     }
     return effects.stack([part.withColumn("method", F.lit(name)) for name, part in parts.items()])

@@ -189,18 +189,25 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
 
 
 def linear_attribution(
-    df: DataFrame, background: DataFrame, coefficients: Mapping[str, float], top: int | None = None
+    df: DataFrame, background: DataFrame, coefficients: Mapping[str, float], top: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Shapley values of a linear score: signed mean, mean size and direction per feature, or of the ``top`` ones.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     For independent features the value is the weight times the distance to the
     background mean, in log-odds, exact for every row.
     """
     names = list(coefficients)
-    means = background.agg(*[F.avg(n).alias(n) for n in names])
+
+    def mean(value: Column) -> Column:
+        return F.avg(value) if weight is None else F.sum(value * F.col(weight)) / F.sum(weight)
+
+    means = background.agg(*[mean(F.col(n)).alias(n) for n in names])
     parts = {n: (F.col(n) - F.col(f"_means.{n}")) * float(coefficients[n]) for n in names}
     summary = with_row(df, means, "_means").agg(*[
-        F.struct(F.avg(v).alias("signed"), F.avg(F.abs(v)).alias("size")).alias(n) for n, v in parts.items()
+        F.struct(mean(v).alias("signed"), mean(F.abs(v)).alias("size")).alias(n) for n, v in parts.items()
     ])
     values = (
         long_format(summary, names, "feature", "v")

@@ -75,6 +75,11 @@ def flag_patterns(df: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
 
 def infra_delta(df: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     """Mean severity with and without each element."""
+    return delta_of(flag_patterns(df, elements), elements)
+
+
+def delta_of(patterns: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
+    """The table of ``infra_delta`` from totals per flag combination."""
     item = F.explode(F.array(*[F.struct(F.lit(e).alias("element"), F.col(e).alias("flag")) for e in elements]))
 
     def mean(flag: int) -> Column:
@@ -84,7 +89,7 @@ def infra_delta(df: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
         )
 
     return (
-        flag_patterns(df, elements).select("n", "charge", item.alias("item"))
+        patterns.select("n", "charge", item.alias("item"))
         .groupBy("item.element").agg(mean(0).alias("sev_without"), mean(1).alias("sev_with"))
         .withColumn("delta", F.col("sev_with") - F.col("sev_without"))
         .where(F.col("delta").isNotNull())

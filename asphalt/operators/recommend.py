@@ -98,11 +98,12 @@ def recommend(
     }).drop("options", "_present", "_pick")
 
 
+# Columns of the published plan.
 PLAN_COLUMNS = [
     "rank", "cell", "n_accidents", "charge", "avg_severity", "street_km", "n_intersections",
     "charge_per_km", "type_zone", "dominant", "lift", "equip_present", "amenagement", "impact_graves_evites",
 ]
-# Decimals of the written plan, rounded half to even.
+# Decimals of the published plan, rounded half to even.
 PLAN_DECIMALS = {"avg_severity": 3, "lift": 2, "street_km": 2, "charge_per_km": 2, "impact_graves_evites": 1}
 
 
