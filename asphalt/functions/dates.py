@@ -19,7 +19,7 @@ def calendar_fields(moment: Column) -> dict[str, Column]:
 
 
 def event_window(moment: Column) -> Column:
-    """Name of the holiday period a moment falls in, on a month-day number such as 1224."""
+    """Name of the holiday period a moment falls in, on a month-day number such as 1224. The periods."""
     day = F.month(moment) * 100 + F.dayofmonth(moment)
     return (
         F.when((day >= 1224) | (day <= 102), labels.EVENT_YEAR_END)
