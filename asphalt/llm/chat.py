@@ -35,7 +35,8 @@ def preference_pairs(
     turn numbers are ordered by role and text. Turns are equal if role and text
     are, nulls too; a null role or text is rendered as empty. A pair with one
     side only has an empty common prefix and an empty completion on the other.
-    Two equal conversations are all prompt. Rows without a pair or a side are
+    Two equal conversations are all prompt. A pair becomes one row, so its turns
+    have to fit one as a text does. Rows without a pair or a side are
     left out, repeated rows are turns of their own; other columns are ignored.
     """
     rows = turns.select(
