@@ -185,14 +185,14 @@ def features(words: set[str], known: set[str] | None = None) -> set[str]:
     With ``known`` only these words and openings are looked at.
     """
     if known is None:
-        found, groups = set(words), Counter(o for w in words for o in openings(w))
-    else:
-        found, groups = words & known, Counter(o for w in words for o in openings(w) if o in known)
-    size = len(words)
-    for opening, n in groups.items():
-        found.add(f"{opening}{min(n, 4)}")
-        found.add(f"{opening}~{min(6, (1000 * n // size).bit_length())}")
-    return found
+        return set(words) | _grouped(Counter(o for w in words for o in openings(w)), len(words))
+    return words & known | _grouped(Counter(o for w in words for o in openings(w) if o in known), len(words))
+
+
+def _grouped(groups: Counter, size: int) -> set[str]:
+    """Features of openings that so many of a text's ``size`` words share."""
+    return {f for opening, n in groups.items() for f in (
+        f"{opening}{min(n, 4)}", f"{opening}~{min(6, (1000 * n // size).bit_length())}")}
 
 
 def _base(feature: str) -> str:
@@ -298,13 +298,28 @@ class Scorer:
     """Scores texts, remembering what it made of the words."""
 
     def __init__(self, model: ToxicityModel):
-        self.model, self.known, self.cache = model, model.known, {}
+        self.model, self.known, self.cache, self.bases = model, model.known, {}, {}
+
+    def _known(self, word: str) -> list[str]:
+        """The word and its openings as far as the model knows them."""
+        found = self.bases.get(word)
+        if found is None:
+            if len(self.bases) >= CACHE:
+                self.bases.clear()
+            found = self.bases[word] = [b for b in (word, *openings(word)) if b in self.known]
+        return found
+
+    def features(self, words: set[str]) -> set[str]:
+        """``features`` of the model's words and openings."""
+        bases = Counter(b for w in words for b in self._known(w))
+        return {b for b in bases if b[-1] != "*"} | _grouped(
+            Counter({b: n for b, n in bases.items() if b[-1] == "*"}), len(words))
 
     def score(self, text: str | None) -> tuple[float, list[str]]:
         """Score, and the restored words that raise it."""
         words = restored_words(text, self.model.letters, self.cache)
         weights = self.model.weights
-        found = features(words, self.known)
+        found = self.features(words)
         total = self.model.intercept + sum(weights.get(f, 0.0) for f in sorted(found))
         raising = {_base(f) for f in found if weights.get(f, 0.0) > 0.5}
         shown = sorted(w for w in words if w in raising or any(o in raising for o in openings(w))) if raising else []

@@ -75,6 +75,16 @@ def test_held_out_accuracy_and_disguised_words(spark):
     assert scores[1] >= 0.5 and scores[3] >= 0.5 and max(scores[2], scores[4], scores[5]) < 0.5 and scores[4] == scores[5]
 
 
+def test_remembered_words_give_the_same_features():
+    rng = random.Random(3)
+    known = {"onth", "onther*", "thon*", "er", "thonre*", "anon*"}
+    model = toxicity.ToxicityModel([], 0.0, {k + "1" if k[-1] == "*" else k: 1.0 for k in known})
+    scorer = toxicity.Scorer(model)
+    for n in range(1, 200, 3):
+        own = set(words(rng, n).split())
+        assert scorer.features(own) == toxicity.features(own, known)
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels, _ = corpus(spark, 200)
     flipped = labels.withColumn("toxic", F.when(folds.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
