@@ -62,7 +62,7 @@ def test_unknown_date_is_a_normal_period(spark):
 
 
 def test_label_of_unknown_code_is_the_code(spark):
-    df = spark.createDataFrame([("CA",), ("ZZ",), (None,)], "s string")
+    df = spark.createDataFrame([("traffic_signal",), ("ZZ",), (None,)], "s string")
     assert [r[0] for r in df.select(label_of(F.col("s"), labels.ELEMENT_NAMES)).collect()] == ["feux", "ZZ", None]
 
 
