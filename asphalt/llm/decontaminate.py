@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asphalt.llm.batches import text_batches
 from asphalt.session import materialise
 
 SEED_WORDS = 4
@@ -185,6 +186,7 @@ def contaminated(
     table on either side gives an empty result.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     item_kind = dict(benchmark.dtypes)[item_column]
     schema = f"doc_id {dict(docs.dtypes)[id_column]}, item_id {item_kind}, score double, first_word long, last_word long"

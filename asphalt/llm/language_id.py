@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from asphalt.llm.batches import text_batches
 from asphalt.llm.folds import held_out, kept_share
 
 # Documents of each language that the models are counted on, at most about this many.
@@ -88,6 +89,7 @@ def fit(
 
     Rows without a language, a text or an id, and ids of the held-out fold, are not learned from.
     """
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id"))).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
@@ -222,6 +224,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     language with most learning rows, score 0 and an ``und`` span. Repeated rows
     get equal results.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see fit
 
     @F.pandas_udf("lang string, score double, spans array<struct<lang: string, first: int, last: int>>")

@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asphalt.llm.batches import text_batches
 from asphalt.llm.components import components
 from asphalt.session import materialise
 
@@ -119,6 +120,7 @@ def near_duplicates(
     whose id is null stays; its group is null only if no member has an id.
     Other columns are ignored. An empty table gives an empty result.
     """
+    text_batches(docs.sparkSession)
     rows = materialise(docs.select(
         F.col(id_column).alias("doc_id"), fingerprint_column(F.col(text_column), words).alias("value")))
     values = materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))

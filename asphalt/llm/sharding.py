@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asphalt.llm.batches import text_batches
 from asphalt.llm.columns import packed, unpacked
 from asphalt.session import materialise
 
 SHARDS = 24
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 # Counts of so many buckets reach the driver at most; beyond, buckets grow.
 MAX_BUCKETS = 500_000
 RECORD_BYTES = 8
@@ -51,6 +52,7 @@ def shuffled_shards(
     table gives an empty result.
     """
     spark, names = docs.sparkSession, docs.columns
+    text_batches(spark)
     rows = docs.select(packed(docs).alias("row"), F.col(id_column).alias("id"), record_size(F.col(text_column)).alias("size"))
     total = rows.agg(F.sum("size")).first()[0] or 0
     buckets = int(min(max(1, -(-total // bucket_bytes)), MAX_BUCKETS))

@@ -25,6 +25,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from asphalt.llm.batches import text_batches
 from asphalt.llm.folds import bounded_share, held_out, kept_share
 from asphalt.session import materialise
 
@@ -238,6 +239,7 @@ def fit(
     few toxic texts support are left out. Without both labels every score is
     the smoothed share of toxic texts.
     """
+    text_batches(docs.sparkSession)
     letters = _letters(docs, text_column)
     known = labels.select(F.col(id_column).alias("doc_id"), F.col(label).alias("toxic")).dropna().where(
         ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -333,6 +335,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> D
     words at all. A column named ``toxicity`` is replaced, others stay; repeated
     rows get equal scores.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see fit
 
     @F.pandas_udf("score double, words array<string>")
