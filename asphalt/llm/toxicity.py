@@ -33,7 +33,7 @@ from asphalt.session import materialise
 MAX_LABELLED = 20_000
 MIN_DOCS = 4  # toxic documents that support a feature
 LIFT = 2.0  # times the overall share of toxic documents
-RIDGE = 2e-5
+RIDGE = 0.3  # strength of the pull of all weights to zero, against the sum over labelled texts
 OPENINGS = (4, 5, 6, 7, 8)
 STRONG = 0.5
 SYMBOLS = 28  # boundary, a to z, any other letter
@@ -290,7 +290,7 @@ def fit(
     names = sorted(r["f"] for r in seen.collect())
     vectors = CountVectorizerModel.from_vocabulary(
         names, inputCol="found", outputCol="features").transform(rows)
-    fitted = LogisticRegression(regParam=RIDGE, maxIter=60, standardization=False).fit(vectors)
+    fitted = LogisticRegression(regParam=RIDGE / totals[0], maxIter=60, standardization=False).fit(vectors)
     model.intercept = float(fitted.intercept)
     model.weights = {f: float(w) for f, w in zip(names, fitted.coefficients.toArray()) if w}
     return model
