@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from asphalt.llm import decontaminate, mixture, near_dedup, sharding, toxicity
 from asphalt.session import checkpoint_ready
 
+SIMILARITY = 0.8  # of five-word shingles make an edited copy
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject."""
@@ -23,7 +25,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of rows that repeat an id and its text one stays. Rows without an id stay, as nothing names their group.
     """
-    groups = near_dedup.near_duplicates(docs)
+    groups = near_dedup.near_duplicates(docs, similarity=SIMILARITY)
     kept = groups.where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     kept_docs = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
     spread = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())

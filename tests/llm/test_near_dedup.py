@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from asphalt.llm import near_dedup
 from asphalt.llm.components import components
 from tests.llm.frames import awkward, collected, empty, table, words
@@ -107,3 +108,49 @@ def test_copies_that_differ_in_case_and_space_group(spark):
     docs = table(spark, [(4, text), (9, text.upper().replace(" ", "\n")), (2, words(random.Random(2), 50))])
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
     assert got == {4: 4, 9: 4, 2: 2}
+
+
+def edited_docs():
+    """Texts with edited copies, and how they group: within two bits, or five bits and 0.8 of the five-word shingles."""
+    rng, rows = random.Random(8), []
+    for _ in range(40):
+        own = words(rng, 150).split()
+        rows.append(" ".join(own))
+        for _ in range(3):
+            copy = list(own)
+            for _ in range(rng.randint(1, 3)):
+                copy[rng.randrange(len(copy))] = words(rng, 1)
+            rows.append(" ".join(copy))
+    values = [plain_simhash(t) for t in rows]
+    sets = [{tuple(p[k:k + 5]) for k in range(len(p) - 4)} for p in map(str.split, rows)]
+    near = lambda i, j: (values[i] ^ values[j]).bit_count() <= 2 or (
+        (values[i] ^ values[j]).bit_count() <= 5 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if near(i, j) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return rows, root
+
+
+@pytest.mark.parametrize("short_list", [0, 2, 64])
+def test_edited_copies_group_if_asked_for(spark, short_list):
+    rows, want = edited_docs()
+    docs = table(spark, list(enumerate(rows)))
+    found = near_dedup.near_duplicates(docs, short_list=short_list, similarity=0.8).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(want))
+    narrow = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert len(set(want)) < len(set(narrow.values()))
+
+
+def test_the_stage_drops_edited_copies(spark):
+    rows, want = edited_docs()
+    kept = corpus_pipeline.near_dedup_stage(spark, table(spark, list(enumerate(rows))), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
+
+
+def test_edited_copies_of_awkward_and_empty_tables(spark):
+    got = near_dedup.near_duplicates(awkward(spark), similarity=0.8)
+    assert got.count() == awkward(spark).count() and got.columns == ["doc_id", "fingerprint", "component_id", "links"]
+    assert near_dedup.near_duplicates(empty(spark), similarity=0.8).collect() == []
