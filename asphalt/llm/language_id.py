@@ -136,14 +136,16 @@ def fit(
 def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best label of each word; a change between neighbours costs ``switch``. Ties keep the label, then the first.
 
-    If no stretch of words gains more than ``switch`` by any other label than
-    the best single one, staying with that one is optimal, as a path with other
-    labels pays at least one change for each of its stretches.
+    Staying with the best single label is optimal if no stretch of words gains
+    more than ``switch`` by another label, and no first and last stretch do
+    together: a path that has the best label somewhere pays at least one change
+    for each stretch of others, one without it pays for all but one of them.
     """
     best = int(scores.sum(axis=0).argmax())
     gains = np.cumsum(scores - scores[:, best:best + 1], axis=0)
     lowest = np.minimum.accumulate(np.vstack((np.zeros(scores.shape[1]), gains[:-1])), axis=0)
-    if (gains - lowest).max(initial=0.0) <= switch:
+    ends = gains[:-1].max(initial=0.0) + (gains[-1] - gains[:-1]).max(initial=0.0)
+    if (gains - lowest).max(initial=0.0) <= switch and ends <= switch:
         return np.full(len(scores), best)
     total, back = scores[0].tolist(), []
     labels = range(scores.shape[1])

@@ -34,6 +34,25 @@ def test_viterbi_against_all_paths(seed):
     assert worth(tuple(language_id.viterbi(scores, 3.0))) == pytest.approx(best)
 
 
+def best_worth(scores, switch):
+    worth = lambda p: sum(scores[i, k] for i, k in enumerate(p)) - switch * sum(a != b for a, b in zip(p, p[1:]))
+    return worth, max(worth(p) for p in product(range(scores.shape[1]), repeat=len(scores)))
+
+
+def test_two_languages_with_a_third_as_best_single_label():
+    scores = np.array([[-1.0, -20.0, -9.0], [-20.0, -1.0, -9.0]])
+    assert language_id.viterbi(scores, 10.0).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_viterbi_where_the_shortcut_is_close(seed):
+    rng = np.random.default_rng(seed)
+    scores = rng.normal(0, 4, (rng.integers(2, 6), 4))
+    scores[:, 3] = np.sort(scores[:, :3], axis=1)[:, 1]  # never the best word, often the best label
+    worth, best = best_worth(scores, 6.0)
+    assert worth(tuple(language_id.viterbi(scores, 6.0))) == pytest.approx(best)
+
+
 def test_held_out_accuracy(spark, model):
     rows = language_id.identify(learning(spark), model).where(folds.held_out(F.col("doc_id"))).select("lang", "language.*").collect()
     assert len(rows) > 50 and sum(r[0] == r[1] for r in rows) / len(rows) > 0.99
