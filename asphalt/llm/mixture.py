@@ -112,15 +112,25 @@ def source_plan(docs: DataFrame, target: Target, source_column: str = "source",
     rows = sorted(sums.limit(MAX_SOURCES + 1).collect(), key=lambda r: r["key"])
     if len(rows) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    _, weights, budget = solve([r["tokens"] for r in rows], target)
+    return planned([(r["key"], r["rows"], r["tokens"]) for r in rows], target)
+
+
+def planned(sources: list[tuple[str, int, int]], target: Target) -> list[tuple]:
+    """The plan for (key, rows, tokens) of the sources.
+
+    A weight may round to 0 beside very large sources; without a budget such a source goes through once all the same.
+    """
+    _, weights, budget = solve([tokens for _, _, tokens in sources], target)
     plan = []
-    for r, w in zip(rows, weights):
-        blocks = math.isqrt(r["rows"] - 1) + 1
-        if not r["tokens"]:
-            plan.append((r["key"], blocks, 0, w, 1, 0))
+    for (key, rows, tokens), w in zip(sources, weights):
+        blocks = math.isqrt(rows - 1) + 1
+        if not tokens:
+            plan.append((key, blocks, 0, w, 1, 0))
             continue
         granted = int(w * budget)
-        plan.append((r["key"], blocks, r["tokens"], w, granted // r["tokens"], granted % r["tokens"]))
+        if target.budget is None:
+            granted = max(granted, tokens)
+        plan.append((key, blocks, tokens, w, granted // tokens, granted % tokens))
     return plan
 
 

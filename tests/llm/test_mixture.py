@@ -87,3 +87,10 @@ def test_layout_changes_nothing(spark):
 
 def test_empty_table(spark):
     assert mixture.mixed(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("tokens", [(1, 5 * 10**9, 5 * 10**9), (10, 5 * 10**10, 5 * 10**10), (50, 2 * 10**11, 2 * 10**11)])
+def test_tiny_sources_beside_huge_ones_go_through_once(tokens):
+    plan = mixture.planned([(f"s{i}", 1, t) for i, t in enumerate(tokens)], mixture.Target())
+    assert all(whole >= 1 for *_, whole, _ in plan)
+    assert mixture.planned([("sa", 1, 1), ("sb", 1, 10**6)], mixture.Target(budget=10))[1][4] == 0
