@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asphalt.llm import chat, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, sharding, toxicity
+from asphalt.llm import (
+    chat, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, resampling, sharding, toxicity,
+)
 from asphalt.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +98,11 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op11_importance_resampling"] = resampling.ORACLE
