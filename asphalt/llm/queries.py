@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asphalt.llm import (
-    chat, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, resampling, sharding, toxicity,
+    chat, clustering, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, resampling, sharding, toxicity,
 )
 from asphalt.llm.folds import held_out
 
@@ -106,3 +106,11 @@ def op11_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLE["op11_importance_resampling"] = resampling.ORACLE
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return clustering.clustered(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+ORACLE["op12_centroid_clusters"] = clustering.ORACLE
