@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asphalt.llm import (
-    chat, clustering, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, resampling, sharding, toxicity,
+    chat, clustering, decontaminate, fingerprints, language_id, line_dedup, lm_scoring, mixture, near_dedup, personal_data, resampling,
+    sharding, toxicity,
 )
 from asphalt.llm.folds import held_out
 
@@ -114,3 +115,8 @@ def op12_centroid_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLE["op12_centroid_clusters"] = clustering.ORACLE
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data.span_digests(table(spark, sf, "documents").select("doc_id", "text"))

@@ -21,7 +21,7 @@ def documents(spark):
 
 def test_every_operator_has_one_query():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and len(corpus_pipeline.STAGES) == 5
 
 
@@ -52,7 +52,8 @@ def test_queries_carry_the_contract_columns(spark):
         "op1_scaled_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
         "op7_language_spans": "doc_id held_out lang_pred score", "op9_toxicity": "doc_id held_out score predicted",
         "op8_two_pass_shuffle": "doc_id size text_crc32 law shard slot grown_shard",
-        "op10_simhash_near_dedup": "doc_id fingerprint component_id",
+        "op10_simhash_near_dedup": "doc_id fingerprint component_id", "op11_importance_resampling": "doc_id n_features weight score rank",
+        "op13_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     }
     for name, columns in want.items():
         df = queries()[name](spark, SMALL)
