@@ -15,12 +15,9 @@ and every value one bit away. Values that share a pivot are within two bits of
 each other and any two within two bits share one, so this is exact as well; a
 pivot has 65 members at most.
 
-Edited copies differ in more bits. On request fingerprints within five bits are
-found as well and linked where their texts share enough five-word shingles.
-They agree in three bytes at least, so these entries hold three positional
-bytes (56 a fingerprint). Members of a long list are compared with a few pivots
-first, then all that these links leave in different groups with each other: no
-pair is given up, and pairs grow with the square only of what stays apart.
+Edited copies differ in more bits than any byte index could guarantee a match
+for. On request texts that share enough of their five-word shingles are linked
+as well (``edited_copies``).
 """
 
 from __future__ import annotations
@@ -35,23 +32,24 @@ from pyspark.sql import functions as F
 
 from asphalt.llm.batches import text_batches
 from asphalt.llm.components import components
-from asphalt.session import broadcast_if_small, materialise
+from asphalt.llm.edited_copies import edited_links, shingle_hashes, sketch_of
+from asphalt.session import materialise
 
 MAX_BITS = 2
 SHARED_BYTES = 8 - MAX_BITS
 SHORT_LIST = 64
-EDITED_BITS = 5
-EDITED_WORDS = 5
-PIVOTS = 4
 SEED = 42
 
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view(np.uint64)[:, 0]
 _STEP = 255  # sums of that many flags fit a lane of eight bits
 
 
-def simhash(text: str | None, words: int = 3) -> int:
-    """Fingerprint of one text as a signed long; 0 without words."""
-    parts = text.encode("utf-8", "replace").lower().split() if text else []
+def words_of(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+def simhash(parts: list[bytes], words: int = 3) -> int:
+    """Fingerprint of the words of a text as a signed long; 0 without words."""
     if not parts:
         return 0
     if len(parts) < words:
@@ -69,11 +67,25 @@ def simhash(text: str | None, words: int = 3) -> int:
 def fingerprint_column(text: Column, words: int = 3) -> Column:
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash(t, words) for t in texts], dtype="int64")
+        return pd.Series([simhash(words_of(t), words) for t in texts], dtype="int64")
 
     return fingerprint(text)
 
 
+def signature_column(text: Column, words: int = 3) -> Column:
+    """Fingerprint, number of distinct five-word shingles and their sketch."""
+    @F.pandas_udf("value long, size int, tokens array<long>")
+    def signature(texts: pd.Series) -> pd.DataFrame:
+        found = []
+        for t in texts:
+            parts = words_of(t)
+            hashes = shingle_hashes(parts)
+            found.append((simhash(parts, words), len(hashes), sketch_of(hashes)))
+        return pd.DataFrame(found, columns=["value", "size", "tokens"])
+
+    return signature(text)
+
+
 def _byte(value: Column, position: int) -> Column:
     return F.shiftrightunsigned(value, 8 * position).bitwiseAND(F.lit(255))
 
@@ -118,85 +130,6 @@ def linked(fingerprints: DataFrame, column: str, short_list: int = SHORT_LIST) -
     return pairs.unionByName(stars)
 
 
-def shingles_of(text: str) -> set[bytes]:
-    """Five-word shingles of a text; a shorter one is one shingle itself."""
-    parts = text.encode("utf-8", "replace").lower().split()
-    if len(parts) < EDITED_WORDS:
-        return {b" ".join(parts)} if parts else set()
-    return set(map(b" ".join, zip(*(parts[i:] for i in range(EDITED_WORDS)))))
-
-
-def similarity_column(left: Column, right: Column) -> Column:
-    """Shared part of the five-word shingles of two texts."""
-    @F.pandas_udf("double")
-    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        found, last, own = [], None, set()
-        for text, other in zip(a, b):
-            if text != last:
-                last, own = text, shingles_of(text)
-            others = shingles_of(other)
-            found.append(len(own & others) / max(1, len(own | others)))
-        return pd.Series(found, dtype="float64")
-
-    return jaccard(left, right)
-
-
-def edited_postings(fingerprints: DataFrame, column: str) -> DataFrame:
-    """Index entries (list, fingerprint) of three positional bytes: 56 of each fingerprint."""
-    own = [_byte(F.col(column), i) for i in range(8)]
-    entries = [
-        F.lit(n << 24).cast("long").bitwiseOR(F.shiftleft(own[i], 16)).bitwiseOR(F.shiftleft(own[j], 8)).bitwiseOR(own[k])
-        for n, (i, j, k) in enumerate(combinations(range(8), 3))
-    ]
-    return fingerprints.select(F.explode(F.array(*entries)).alias("list"), F.col(column))
-
-
-def _edited(pairs: DataFrame) -> DataFrame:
-    """Pairs in three to five bits, each once; those in fewer are linked without a look at the text."""
-    bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return pairs.where(bits.between(MAX_BITS + 1, EDITED_BITS)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _similar(pairs: DataFrame, docs: DataFrame, keys: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of fingerprints of which two texts share ``similarity`` of their shingles.
-
-    ``docs`` has (text), ``keys`` (key, value) with the hash of each text.
-    """
-    pairs = materialise(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("value")).distinct()
-    wanted = broadcast_if_small(materialise(keys.join(wanted, "value")))
-    texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("key"), "text").join(wanted, "key")
-    texts = materialise(texts.groupBy("value", "key").agg(F.first("text").alias("text")).drop("key"))
-    a, b = (texts.select(F.col("value").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return pairs.join(a, "a").join(b, "b").where(similarity_column(F.col("text_a"), F.col("text_b")) >= similarity).select("a", "b").distinct()
-
-
-def edited_links(docs: DataFrame, keys: DataFrame, links: DataFrame, similarity: float, short_list: int = SHORT_LIST) -> DataFrame:
-    """Links (a, b) that together with ``links`` connect all fingerprints within five bits whose texts are similar."""
-    entries = edited_postings(keys.select("value").distinct(), "value")
-    pivots = F.array_distinct(F.array(*[
-        F.min(F.struct(F.xxhash64("value", F.lit(i)), F.col("value").alias("value")))["value"] for i in range(PIVOTS)]))
-    lists = entries.groupBy("list").agg(F.count("*").alias("members"), pivots.alias("pivots")).where("members > 1")
-    listed = materialise(entries.join(lists, "list"))
-    short = listed.where(F.col("members") <= short_list).select("list", "value")
-    long = listed.where(F.col("members") > short_list)
-    pairs = short.withColumnRenamed("value", "a").join(short.withColumnRenamed("value", "b"), "list").where("a < b")
-    starred = long.select(F.col("value").alias("a"), F.explode("pivots").alias("b"))
-    found = materialise(_similar(_edited(pairs.select("a", "b").unionByName(starred)), docs, keys, similarity))
-    if long.isEmpty():
-        return found
-
-    roots = components(links.unionByName(found), "a", "b").withColumnRenamed("node", "value")
-    rooted = materialise(long.select("list", "value").join(roots, "value", "left").select(
-        "list", "value", F.coalesce("root", "value").alias("root")))
-    largest = rooted.groupBy("list", "root").agg(F.count("*").alias("n")).groupBy("list").agg(
-        F.max_by("root", "n").alias("largest"))
-    apart = rooted.join(largest, "list").where("root != largest").select("list", F.col("value").alias("a"), F.col("root").alias("a_root"))
-    rest = apart.join(rooted.withColumnRenamed("value", "b"), "list").where("a_root != root").select("a", "b")
-    return found.unionByName(_similar(_edited(rest), docs, keys, similarity))
-
-
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, short_list: int = SHORT_LIST,
     similarity: float | None = None,
@@ -210,24 +143,26 @@ def near_duplicates(
     whose id is null stays; its group is null only if no member has an id.
     Other columns are ignored. An empty table gives an empty result.
 
-    With ``similarity`` links also join fingerprints within five bits of which
-    two texts share that part of their five-word shingles.
+    With ``similarity`` links also join texts that share that part of their
+    five-word shingles.
     """
     text_batches(docs.sparkSession)
-    own = [] if similarity is None else [F.xxhash64(text_column).alias("key")]
-    rows = materialise(docs.select(
-        F.col(id_column).alias("doc_id"), fingerprint_column(F.col(text_column), words).alias("value"), *own))
+    text = F.col(text_column)
+    if similarity is None:
+        rows = materialise(docs.select(F.col(id_column).alias("doc_id"), fingerprint_column(text, words).alias("value")))
+    else:
+        signed = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("key"), signature_column(text, words).alias("s"))
+        rows = materialise(signed.select("doc_id", "key", "s.*"))
     values = materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
     links = linked(values.select("value"), "value", short_list)
     if similarity is not None:
-        links = materialise(links)
-        keys = rows.select("key", "value").distinct()
-        links = links.unionByName(edited_links(docs.select(F.col(text_column).alias("text")), keys, links, similarity, short_list))
+        sketches = materialise(rows.where("size > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("value", "size", "tokens")]))
+        links = edited_links(sketches, docs.select(F.xxhash64(text).alias("key"), text.alias("text")), links, similarity)
     roots = components(links, "a", "b")
     placed = values.join(roots.withColumnRenamed("node", "value"), "value", "left").withColumn(
         "root", F.coalesce("root", "value"))
     groups = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("rows").alias("size"))
     groups = placed.select("value", "root").join(groups, "root").select("value", "component_id", "size")
-    return rows.join(groups, "value").select(
+    return rows.select("doc_id", "value").join(groups, "value").select(
         "doc_id", F.lpad(F.lower(F.hex("value")), 16, "0").alias("fingerprint"), "component_id",
         (F.col("size") - 1).alias("links"))
