@@ -10,8 +10,12 @@ that share at least a given part of their sketches share one of the rarest
 hashes of each, as many as the other part and one more: only these are listed.
 So common passages stay out of the lists unless a text has little else.
 
-A list isn't paired. Its members are compared with its smallest one first;
-links merge, and then only members that still are in different groups meet.
+A sampled sketch has to allow for chance, so it takes more of the rarest than
+the similarity alone would ask for. Texts that come to common hashes that way
+are listed again by all their shingles, where no such allowance is needed.
+
+A list isn't paired. Its members are compared with the likeliest of a few
+pivots first, the same few for lists with the same members; links merge, and then only members that still are in different groups meet.
 Candidates whose sketches disagree too much go; the others are verified on all
 shingles. Shingles are compared by 32-bit hashes, two of which in a pair of
 400 shingles are equal by chance once in 25,000 pairs.
@@ -32,6 +36,9 @@ WORDS = 5
 SKETCH = 64
 # A sampled sketch shares less than this part of itself with that of a text alike to 0.8 about once in 20,000 pairs.
 SHARED = 0.6
+PIVOTS = 16  # of a long list
+COMMON = 64  # a hash that more texts share is left to the listing by all shingles
+ARRAY_BYTES = 2 << 20  # counted by the column type: arrays of numbers take some fifty times as much
 LOOSE = 0.2  # sketches may look less alike than the texts by so much
 SEED = 42
 _HALF = 1 << 63
@@ -78,24 +85,43 @@ def _likeness(a: Column, b: Column) -> Column:
     return shared / F.greatest(F.size(a) + F.size(b) - shared, F.lit(1.0))
 
 
-def listed(sketches: DataFrame, similarity: float) -> DataFrame:
-    """Lists of texts that share one of their rarest hashes: (token, key), with two members at least."""
+def listed(sketches: DataFrame, similarity: float, sampled: bool = True) -> DataFrame:
+    """Texts under their rarest hashes that other texts have too: (token, members, key).
+
+    ``members`` counts the texts that have the hash. Without ``sampled`` the
+    tokens are all shingles of a text.
+    """
     entries = sketches.select("key", "size", F.size("tokens").alias("of"), F.explode("tokens").alias("token"))
     counts = entries.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
     common = entries.join(counts, "token").groupBy("key", "size", "of").agg(
-        F.sort_array(F.collect_list(F.struct("members", "token"))).alias("common"))  # of one sketch
+        F.sort_array(F.collect_list(F.struct("members", "token"))).alias("common"))  # of one text
     # Hashes that no other text has are the rarest; they take their places without being listed.
-    part = F.when(F.col("size") <= SKETCH, F.lit(similarity)).otherwise(F.lit(SHARED * similarity / 0.8))
+    part = F.lit(similarity)
+    if sampled:
+        part = F.when(F.col("size") <= SKETCH, part).otherwise(F.lit(SHARED * similarity / 0.8))
     places = F.col("of") - F.ceil(F.col("of") * part - 1e-9).cast("int") + 1 - (F.col("of") - F.size("common"))
-    return common.where(places > 0).select("key", F.explode(F.slice("common", F.lit(1), places)).alias("c")).select("c.token", "key")
+    rarest = common.where(places > 0).select("key", F.explode(F.slice("common", F.lit(1), places)).alias("c"))
+    return rarest.select("c.token", "c.members", "key")
+
+
+def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Lists (token, key) that bring together any two texts that may be alike."""
+    first = materialise(listed(sketches, similarity))
+    crowded = broadcast_if_small(materialise(first.where(F.col("members") > COMMON).select("key").distinct()))
+    short = first.where(F.col("members") <= COMMON).select("token", "key")
+    whole = docs.join(crowded, "key", "left_semi").select("key", shingles_column(F.col("text")).cast("array<long>").alias("all"))
+    whole = materialise(whole.groupBy("key").agg(F.first("all").alias("tokens"))).withColumn("size", F.size("tokens"))
+    return short.unionByName(listed(whole, similarity, sampled=False).select("token", "key"))
 
 
 def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """Pairs that their sizes and sketches don't rule out: (a, b, likely)."""
-    own = sketches.select("key", "size", "tokens")
+    pairs = materialise(pairs.distinct())
+    asked = broadcast_if_small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
+    own = broadcast_if_small(materialise(sketches.join(asked, "key", "left_semi").select("key", "size", "tokens")), ARRAY_BYTES)
     a, b = (own.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     sizes = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-9
-    met = pairs.distinct().join(a, "a").join(b, "b").where(sizes).withColumn("limit", F.least(_limit(F.col("size_a")), _limit(F.col("size_b"))))
+    met = pairs.join(a, "a").join(b, "b").where(sizes).withColumn("limit", F.least(_limit(F.col("size_a")), _limit(F.col("size_b"))))
     below = [F.filter(f"tokens_{c}", lambda t: t < F.col("limit")) for c in "ab"]
     whole = F.greatest("size_a", "size_b") <= SKETCH
     likely = _likeness(*below)
@@ -109,7 +135,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
     open_pairs = pairs.where("NOT whole").select("a", "b")
     wanted = broadcast_if_small(materialise(open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
     texts = docs.join(wanted, "key", "left_semi").select("key", shingles_column(F.col("text")).alias("all"))
-    sets = materialise(texts.groupBy("key").agg(F.first("all").alias("all")))
+    sets = broadcast_if_small(materialise(texts.groupBy("key").agg(F.first("all").alias("all"))), ARRAY_BYTES)
     a, b = (sets.select(F.col("key").alias(c), F.col("all").alias(f"all_{c}")) for c in "ab")
     met = open_pairs.join(a, "a").join(b, "b").where(_likeness(F.col("all_a"), F.col("all_b")) >= similarity - 1e-9)
     return pairs.where("whole").select("a", "b").unionByName(met.select("a", "b"))
@@ -121,10 +147,12 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
     ``sketches`` has one row a text (key, value, size, tokens), ``docs`` the
     texts (key, text), repeated ones too.
     """
-    lists = listed(sketches, similarity)
-    stars = lists.groupBy("token").agg(F.min("key").alias("first"), F.count("*").alias("members")).where("members > 1")
-    lists = materialise(lists.join(stars, "token").select("token", "first", "key"))
-    starred = lists.where("first != key").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    lists = materialise(_all_listed(sketches, docs, similarity))
+    seeded = [F.min(F.struct(F.xxhash64("key", F.lit(i)), F.col("key").alias("key")))["key"] for i in range(PIVOTS)]
+    stars = lists.groupBy("token").agg(F.count("*").alias("members"), F.array_distinct(F.array(*seeded)).alias("pivots")).where("members > 1")
+    stars = stars.select("token", F.when(F.col("members") > PIVOTS, F.col("pivots")).otherwise(F.slice("pivots", 1, 1)).alias("pivots"))
+    lists = materialise(lists.join(stars, "token"))
+    starred = lists.select(F.explode("pivots").alias("a"), F.col("key").alias("b")).where("a != b")
     likeliest = _candidates(starred, sketches, similarity).groupBy("b").agg(
         F.max_by(F.struct("a", "whole"), F.struct("likely", "a")).alias("best")).select("best.a", "b", "best.whole")
     found = materialise(_verified(likeliest, docs, similarity))
