@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 from asphalt.checks import parameters as P
 from asphalt.checks.views import duckdb_clauses
 from asphalt.schema import (
@@ -338,6 +341,66 @@ ENCODED_ROWS = "SELECT id, " + ", ".join([
     f"LEFT JOIN size_{c} z_{c} ON z_{c}.v = COALESCE(CAST(acc.{c} AS VARCHAR), (SELECT v FROM mode_{c}))" for c in P.ENCODED
 ) + " WHERE year IS NOT NULL"
 
+def _known(tree, features: frozenset) -> str:
+    """Score of a tree that knows some features and averages the others out."""
+    if not hasattr(tree, "feature"):
+        return f"{tree.value!r}E0"
+    left, right = _known(tree.left, features), _known(tree.right, features)
+    if tree.feature not in features:
+        return f"(({tree.left.cover!r}E0 * {left} + {tree.right.cover!r}E0 * {right}) / {tree.left.cover + tree.right.cover!r}E0)"
+    condition = f"{tree.feature} <= {tree.at!r}" if tree.at is not None else f"{tree.feature} IN ({', '.join(map(repr, tree.categories))})"
+    return f"CASE WHEN {condition} THEN {left} ELSE {right} END"
+
+
+def tree_attribution(tree) -> str:
+    """Shapley values by all subsets of the tree's features."""
+    def names(node) -> set:
+        return {node.feature} | names(node.left) | names(node.right) if hasattr(node, "feature") else set()
+
+    used = sorted(names(tree))
+    subsets = [frozenset(c) for k in range(len(used) + 1) for c in combinations(used, k)]
+    number = {s: i for i, s in enumerate(subsets)}
+
+    def value(feature: str) -> str:
+        parts = []
+        for s in subsets:
+            if feature not in s:
+                weight = factorial(len(s)) * factorial(len(used) - len(s) - 1) / factorial(len(used))
+                parts.append(f"{weight!r}E0 * (f{number[s | {feature}]} - f{number[s]})")
+        return " + ".join(parts)
+
+    scores = "scores AS (SELECT " + ", ".join(f"{_known(tree, s)} AS f{i}" for s, i in number.items()) + " FROM test)"
+    values = "parts AS (" + union([f"SELECT '{f}' AS feature, {value(f)} AS v FROM scores" for f in used]) + ")"
+    return on_clean(
+        f"SELECT feature, {r6('AVG(v)', 'mean_signed')}, {r6('AVG(ABS(v))', 'mean_abs')},"
+        " CASE WHEN AVG(v) > 0 THEN 'aggravating' WHEN AVG(v) < 0 THEN 'protective' END AS direction FROM parts GROUP BY feature",
+        TRAIN, TEST, scores, values)
+
+
+def penalised_pair() -> str:
+    """Penalised odds ratios of two flags: a fixed number of Newton steps, the 3 x 3 information inverted by its cofactors."""
+    a, b = P.PENALISED
+    cells = f"cells AS MATERIALIZED (SELECT {a}::DOUBLE AS a, {b}::DOUBLE AS b, COUNT(*)::DOUBLE AS n, SUM(grave)::DOUBLE AS y FROM train GROUP BY 1, 2)"
+    steps = ["r0 AS MATERIALIZED (SELECT 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS b2, 0::DOUBLE AS v1, 0::DOUBLE AS v2)"]
+    for i in range(P.PENALISED_ROUNDS):
+        steps.append(f"""p{i} AS MATERIALIZED (SELECT *, n * p * (1 - p) AS w FROM (
+  SELECT c.*, 1 / (1 + exp(-(b0 + b1 * a + b2 * b))) AS p FROM cells c, r{i}))""")
+        steps.append(f"""m{i} AS MATERIALIZED (SELECT *,
+  i00 * (i11 * i22 - i12 * i12) - i01 * (i01 * i22 - i12 * i02) + i02 * (i01 * i12 - i11 * i02) AS det FROM (
+  SELECT SUM(w) AS i00, SUM(w * a) AS i01, SUM(w * b) AS i02, SUM(w * a * a) AS i11, SUM(w * a * b) AS i12, SUM(w * b * b) AS i22 FROM p{i}))""")
+        steps.append(f"""v{i} AS MATERIALIZED (SELECT (i11 * i22 - i12 * i12) / det AS c00, (i02 * i12 - i01 * i22) / det AS c01, (i01 * i12 - i02 * i11) / det AS c02,
+  (i00 * i22 - i02 * i02) / det AS c11, (i01 * i02 - i00 * i12) / det AS c12, (i00 * i11 - i01 * i01) / det AS c22 FROM m{i})""")
+        steps.append(f"""u{i} AS MATERIALIZED (SELECT SUM(e) AS u0, SUM(e * a) AS u1, SUM(e * b) AS u2 FROM (
+  SELECT a, b, y - n * p + w * (c00 + a * a * c11 + b * b * c22 + 2 * (a * c01 + b * c02 + a * b * c12)) * (0.5 - p) AS e FROM p{i}, v{i}))""")
+        steps.append(f"""r{i + 1} AS MATERIALIZED (SELECT b0 + c00 * u0 + c01 * u1 + c02 * u2 AS b0, b1 + c01 * u0 + c11 * u1 + c12 * u2 AS b1,
+  b2 + c02 * u0 + c12 * u1 + c22 * u2 AS b2, c11 AS v1, c22 AS v2 FROM r{i}, v{i}, u{i})""")
+    last = f"r{P.PENALISED_ROUNDS}"
+    return on_clean(union([
+        f"SELECT '{name}' AS element, {r6(f'exp({x})', 'odds_ratio')}, {r6(f'exp({x} - 1.959964 * sqrt({v}))', 'lo')},"
+        f" {r6(f'exp({x} + 1.959964 * sqrt({v}))', 'hi')} FROM {last}" for name, x, v in ((a, "b1", "v1"), (b, "b2", "v2"))]),
+        TRAIN, cells, *steps)
+
+
 ORACLE = {
     "scan_csv": RAW_PRESENT,
     "normalised_schema": RAW_PRESENT,
@@ -535,6 +598,8 @@ ORACLE = {
             f"SELECT '{c}' AS feature, AVG(({c} - (SELECT AVG({c}) FROM train)) * {w!r}E0) AS s,"
             f" AVG(ABS(({c} - (SELECT AVG({c}) FROM train)) * {w!r}E0)) AS a FROM test" for c, w in P.COEFFICIENTS.items()])
         + ")", TRAIN, TEST),
+    "fixed_tree_attribution": tree_attribution(P.TREE),
+    "penalised_odds_pair": penalised_pair(),
     "method_ranks": on_clean(f"SELECT method, element, {r6('rank')} FROM mranks", TRAIN, TEST, METHODS),
     "rank_convergence": on_clean(union([
         f"SELECT '{a}' AS method_a, '{b}' AS method_b, {r6('corr(x.rank, y.rank)', 'rho')} FROM mranks x JOIN mranks y"

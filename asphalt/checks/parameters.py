@@ -1,5 +1,6 @@
 """Parameter values on the test views, where years and volumes differ from real files."""
 
+from asphalt.operators.attribution import Leaf, Split
 from asphalt.schema import Thresholds
 
 STAND_IN = Thresholds(min_rows=50, test_from=2000, early=(1995, 1997), late=(1998, 2001))
@@ -24,3 +25,16 @@ COEFFICIENTS = {
     "roundabout": -0.1, "bump": 0.02, "give_way": -0.05, "no_exit": 0.04, "traffic_calming": -0.2, "amenity": 0.03,
     "visibility_mi": -0.02, "wind_speed_mph": 0.03,
 }
+
+# A small tree with fixed covers, so that SQL can state its attribution too.
+TREE = Split(
+    "wind_speed_mph",
+    Split("junction", Split("visibility_mi", Leaf(0.05, 900.0), Leaf(0.12, 1100.0), at=4.0), Leaf(0.35, 400.0), at=0.0),
+    Split("traffic_signal",
+          Split("junction", Leaf(0.6, 300.0), Split("wind_speed_mph", Leaf(0.7, 90.0), Leaf(0.95, 210.0), at=21.0), at=0.0),
+          Split("railway", Leaf(0.2, 150.0), Leaf(0.45, 50.0), categories=(0.0,)), at=0.0),
+    at=16.5,
+)
+# Columns of the penalised odds ratios that SQL states as well.
+PENALISED = ["junction", "traffic_signal"]
+PENALISED_ROUNDS = 12

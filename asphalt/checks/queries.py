@@ -18,7 +18,8 @@ from asphalt.functions.dates import calendar_fields, event_window
 from asphalt.functions.scoring import linear_predictor, logistic
 from asphalt.functions.text import weather_bucket
 from asphalt.operators import (
-    cleaning, effects, exposure, features, metrics, models, profile, quality, recommend, validation, when, zones,
+    attribution, cleaning, effects, exposure, features, metrics, models, penalised, profile, quality, recommend, validation, when,
+    zones,
 )
 from asphalt.plans import decide
 from asphalt.plans.prepare import prepare
@@ -550,6 +551,11 @@ def linear_attribution(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(effects.linear_attribution(test, train, P.COEFFICIENTS))
 
 
+@query
+def fixed_tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(attribution.tree_attribution(split(spark, sf)[1], P.TREE))
+
+
 def _method_values(spark: SparkSession, sf: str) -> DataFrame:
     """Four measures of every element's weight: three from totals per flag combination, one from scores."""
     parted = clean_table(spark, sf).withColumn("part", cleaning.part_of(P.STAND_IN.test_from))
@@ -704,6 +710,15 @@ def fit_tree(spark: SparkSession, sf: str) -> DataFrame:
     return _quality(spark, sf, "tree")
 
 
+@query
+def tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    """Which flags and controls the fitted tree's probabilities of the test rows come from."""
+    model, test = _fitted(spark, sf, "tree")
+    tree = attribution.of_classifier(model.classifier, [*INFRA, *model.encoder.columns])
+    found = attribution.tree_attribution(model.prepare(test), tree)
+    return found.withColumn("feature", F.regexp_replace("feature", "^_[xk]_", ""))
+
+
 @query
 def fit_forest(spark: SparkSession, sf: str) -> DataFrame:
     return _quality(spark, sf, "random_forest")
@@ -760,6 +775,21 @@ def odds_ratio(spark: SparkSession, sf: str) -> DataFrame:
         rows.unpersist()
 
 
+@query
+def penalised_odds_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    rows = models.training_rows(split(spark, sf)[0])
+    try:
+        return effects.penalised_odds_ratios(rows)
+    finally:
+        rows.unpersist()
+
+
+@query
+def penalised_odds_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Two flags only, so that SQL can state the iteration too."""
+    return rounded(penalised.ratios(split(spark, sf)[0], P.PENALISED, TARGET))
+
+
 @query
 def importances(spark: SparkSession, sf: str) -> DataFrame:
     rows = models.training_rows(split(spark, sf)[0])

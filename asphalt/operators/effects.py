@@ -10,14 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from asphalt.operators import penalised
 from asphalt.operators.features import Encoder
 from asphalt.operators.profile import flag_patterns, long_format
 from asphalt.operators.scalars import with_row
 from asphalt.schema import DEPLOYABLE, INFRA, NUMERIC_CONTROLS, TARGET
+from asphalt.session import materialise
 
 Scorer = Callable[[DataFrame], DataFrame]
 NORMAL_95 = 1.959964
@@ -156,13 +159,11 @@ def concordance(odds: DataFrame, effects: DataFrame) -> DataFrame:
     return joined.withColumn("agrees", F.when(F.coalesce(same, F.lit(False)), "✓").otherwise("✗"))
 
 
-def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
-    """Adjusted odds ratio of each element with its 95 % interval, on all training rows.
+def _odds_rows(train: DataFrame, elements: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Encoded rows of an unweighted regression, kept, and the elements that vary; ``train`` itself is released.
 
-    Unweighted and without a penalty. A column that never varies is left out, as
-    it has no ratio. Once the encoded rows are kept, ``train`` itself is released.
+    A column that never varies is left out, as it has no ratio.
     """
-    spark = train.sparkSession
     candidates = [*elements, *NUMERIC_CONTROLS]
     span = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in candidates]).first()
     varying, numeric = ([c for c in group if span[c]] for group in (elements, NUMERIC_CONTROLS))
@@ -171,6 +172,17 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     rows = encoder.spread(encoder.transform(train), varying).select("features", TARGET).persist()
     rows.count()
     train.unpersist()
+    return rows, varying
+
+
+def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
+    """Adjusted odds ratio of each element with its 95 % interval, on all training rows.
+
+    Unweighted and without a penalty, so ratios diverge where columns separate
+    the classes. Once the encoded rows are kept, ``train`` itself is released.
+    """
+    spark = train.sparkSession
+    rows, varying = _odds_rows(train, elements)
     try:
         model = GeneralizedLinearRegression(
             family="binomial", link="logit", labelCol=TARGET, maxIter=25, tol=1e-6
@@ -188,6 +200,17 @@ def odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
     ).orderBy("odds_ratio")
 
 
+def penalised_odds_ratios(train: DataFrame, elements: Sequence[str] = INFRA) -> DataFrame:
+    """As ``odds_ratios``, with the bias-reducing penalty: finite also where columns separate the classes."""
+    spark = train.sparkSession
+    rows, varying = _odds_rows(train, elements)
+    try:
+        table = materialise(penalised.patterns(rows, vector_to_array("features"), TARGET))
+    finally:
+        rows.unpersist()
+    return penalised.table_of(spark, varying, penalised.fit(table), NORMAL_95).orderBy("odds_ratio")
+
+
 def linear_attribution(
     df: DataFrame, background: DataFrame, coefficients: Mapping[str, float], top: int | None = None,
     weight: str | None = None,
