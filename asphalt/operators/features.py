@@ -11,7 +11,7 @@ from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssemble
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from asphalt.operators.ordering import quantiles
+from asphalt.operators.ordering import refined_quantiles
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell, with_cells
 from asphalt.schema import CATEGORICAL_CONTROLS, FEATURES, INFRA, NUMERIC_CONTROLS, TARGET
@@ -69,7 +69,7 @@ def stratified_cap(df: DataFrame, cap: int, key: Sequence[str], seed: int = 42,
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return quantiles(df, columns, 0.5)
+    return refined_quantiles(df, columns, 0.5)
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], found: DataFrame | None = None) -> DataFrame:

@@ -79,3 +79,41 @@ def test_outline_is_closed_and_has_the_area_of_its_resolution(spark):
            np.sin(np.radians(p["lat"])) * 6371007.2 / np.cos(np.radians(37))) for p in ring]
     area = abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(xy, xy[1:]))) / 2
     assert area == pytest.approx(0.7373e6, rel=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["even", "tied", "heavy", "two", "few"])
+@pytest.mark.parametrize("fraction", [0.0, 0.5, 0.95, 1.0])
+def test_refined_quantiles_match_numpy(spark, monkeypatch, kind, fraction):
+    monkeypatch.setattr(ordering, "COUNTED_ROWS", 20)
+    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 50)
+    rng = np.random.default_rng(2)
+    values = {
+        "even": rng.normal(0, 1, 3_001), "tied": rng.integers(0, 9, 2_000) / 4, "heavy": np.exp(rng.normal(0, 60, 2_000)),
+        "two": np.repeat([1.0, 5.0], 700), "few": np.array([3.0, 1.0, 2.0]),
+    }[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)] * 5, "v double").repartition(6)
+    found = ordering.refined_quantiles(df, ["v"], fraction).first()["value"]
+    assert found == pytest.approx(np.quantile(values, fraction), rel=1e-12)
+
+
+def test_refined_quantiles_of_several_columns_and_of_none(spark):
+    df = spark.createDataFrame([(1, 10.0, None), (2, None, None), (3, 30.0, None)], "a int, b double, c double")
+    assert {r["name"]: r["value"] for r in ordering.refined_quantiles(df, ["a", "b", "c"], 0.5).collect()} == {"a": 2.0, "b": 20.0}
+    assert ordering.refined_quantiles(df.limit(0), ["a"], 0.5).collect() == []
+
+
+def test_refined_quantiles_move_no_rows(spark):
+    """What is exchanged are one row a task and the counts of a bounded range."""
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(0, 400_000, 1, 8).select((F.xxhash64("id") % 1_000_003).cast("double").alias("v")).persist()
+    df.count()
+    spark.sparkContext.setJobGroup("refined", "refined")
+    try:
+        ordering.refined_quantiles(df, ["v"], 0.5).collect()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = [s for j in tracker.getJobIdsForGroup("refined") for s in tracker.getJobInfo(j).stageIds]
+    written = [store.lastStageAttempt(s).shuffleWriteRecords() for s in stages]
+    df.unpersist()
+    assert sum(written) <= 8 * 20 + 2 * ordering.COUNTED_ROWS
