@@ -459,7 +459,10 @@ def encode_controls(spark: SparkSession, sf: str) -> DataFrame:
     train = materialise(train.select("id", *NUMERIC_CONTROLS, *P.ENCODED))
     encoder = features.Encoder.fit(train, NUMERIC_CONTROLS, P.ENCODED, P.RARE_BELOW)
     rows = encoder.transform(train.unionByName(test.select(*train.columns)))
-    shown = [F.get(F.array(*[F.lit(v) for v in encoder.labels[c]]), F.col(f"_k_{c}").cast("int")).alias(c) for c in encoder.used]
+    for c in encoder.used:
+        labels = encoder.labels(c).select(F.col("position").alias("_at"), F.col("label").alias(f"_label_{c}"))
+        rows = rows.join(labels, F.col(f"_k_{c}").cast("int") == F.col("_at"), "left").drop("_at")
+    shown = [F.col(f"_label_{c}").alias(c) for c in encoder.used]
     return rounded(rows.select("id", *[F.col(f"_x_{c}").alias(c) for c in NUMERIC_CONTROLS], *shown))
 
 

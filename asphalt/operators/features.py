@@ -80,7 +80,10 @@ def impute_median(df: DataFrame, columns: Sequence[str], found: DataFrame | None
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent value per column as text, the smallest one on a tie: (name, value)."""
-    counts = category_counts(df, columns)
+    return _most_frequent(category_counts(df, columns))
+
+
+def _most_frequent(counts: DataFrame) -> DataFrame:
     return counts.groupBy("name").agg(
         F.min_by("value", F.struct((-F.col("rows")).alias("rows"), F.col("value"))).alias("value")
     )
@@ -168,9 +171,11 @@ def zone_history(
 class Encoder:
     """Encodes the controls: scaled numbers ``_x_<name>``, categories as positions ``_k_<name>``.
 
-    Flags stay plain columns, so that they can be switched before scoring. The
-    encoding is made of column expressions, which compile into the scan. The
-    position after the last label stands for what training did not have.
+    Flags stay plain columns, so that they can be switched before scoring.
+    Numbers are encoded by column expressions. Categories are looked up in a
+    dictionary table, which is joined by broadcast while it is small and by
+    shuffle beyond; no category reaches the driver. The position after the last
+    label stands for what training did not have.
     """
 
     numeric: tuple[str, ...]
@@ -178,8 +183,8 @@ class Encoder:
     means: dict[str, float]
     deviations: dict[str, float]
     modes: dict[str, str | None]
-    rare: dict[str, list[str]]
-    labels: dict[str, list[str]]
+    sizes: dict[str, int]  # labels of each categorical control
+    dictionary: DataFrame  # (name, value, label, position)
 
     @classmethod
     def fit(
@@ -200,27 +205,37 @@ class Encoder:
         for c in numeric:
             means[c], deviations[c] = _with_fill(
                 stats["rows"], stats[f"n_{c}"], stats[f"mean_{c}"] or 0.0, stats[f"var_{c}"] or 0.0, fills[c])
-        most = {r["name"]: r["value"] for r in modes(train, categorical).collect()}
-        counted = category_counts(train, categorical)
+        counted = materialise(category_counts(train, categorical))
+        most = {r["name"]: r["value"] for r in _most_frequent(counted).collect()}
         filled = F.col("rows")
         for c in categorical:  # missing values count for the most frequent category
             is_most = (F.col("name") == c) & (F.col("value") == F.lit(most.get(c)))
             filled = filled + F.when(is_most, stats[f"missing_{c}"]).otherwise(0)
-        rare, labels = {c: [] for c in categorical}, {c: [] for c in categorical}
-        for r in counted.select("name", "value", (filled >= min_rows).alias("kept")).collect():
-            (labels if r["kept"] else rare)[r["name"]].append(r["value"])
-        for c in categorical:
-            kept = sorted(labels[c]) + ([INFREQUENT] if rare[c] else [])
-            labels[c] = kept[1:] if drop_first else kept
+        marked = counted.select("name", "value", (filled >= min_rows).alias("kept"))
+        # A window holds the labels of a control, which are positions of a model; rare ones share the last.
+        place = F.row_number().over(Window.partitionBy("name").orderBy("value")) - 1
+        labels = marked.where("kept").select("name", "value", F.col("value").alias("label"), place.alias("position"))
+        totals = marked.groupBy("name").agg(F.count_if("kept").alias("position"), F.count_if(~F.col("kept")).alias("rare"))
+        totals = materialise(totals)  # one row a control
+        rare = marked.where(~F.col("kept")).join(F.broadcast(totals), "name").select(
+            "name", "value", F.lit(INFREQUENT).alias("label"), F.col("position").cast("int").alias("position"))
+        first = int(drop_first)
+        dictionary = materialise(
+            labels.unionByName(rare).withColumn("position", F.col("position") - first).where("position >= 0"))
+        sizes = {r["name"]: max(0, r["position"] + (r["rare"] > 0) - first) for r in totals.collect()}
         return cls(
             tuple(numeric), fills, means, deviations, {c: most.get(c) for c in categorical},
-            {c: sorted(v) for c, v in rare.items()}, labels,
+            {c: sizes.get(c, 0) for c in categorical}, dictionary,
         )
 
-    def category(self, c: str) -> Column:
-        """The category of a row with missing values filled and rare ones pooled."""
-        value = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
-        return F.when(value.isin(self.rare[c]), INFREQUENT).otherwise(value) if self.rare[c] else value
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        """The dictionary of each control: (value, position) under names of its own."""
+        return {
+            c: broadcast_if_small(self.dictionary.where(F.col("name") == c).select(
+                F.col("value").alias(f"_value_{c}"), F.col("position").cast("double").alias(f"_k_{c}")))
+            for c in self.used
+        }
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add the encoded columns."""
@@ -228,29 +243,29 @@ class Encoder:
             f"_x_{c}": (F.coalesce(F.col(c).cast("double"), F.lit(self.fills[c])) - self.means[c]) / self.deviations[c]
             for c in self.numeric
         }
-        places = {}
+        df = df.withColumns(scaled)
         for c in self.used:
-            known = F.create_map(*[F.lit(part) for i, v in enumerate(self.labels[c]) for part in (v, float(i))])
-            places[f"_k_{c}"] = F.coalesce(F.try_element_at(known, self.category(c)), F.lit(float(len(self.labels[c]))))
-        return df.withColumns({**scaled, **places})
+            value = F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c]))
+            df = df.join(self.tables[c], value == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
+        return df.withColumns({f"_k_{c}": F.coalesce(f"_k_{c}", F.lit(float(self.sizes[c]))) for c in self.used})
+
+    def labels(self, c: str) -> DataFrame:
+        """The labels of a control: (position, label)."""
+        return self.dictionary.where(F.col("name") == c).select("position", "label").distinct()
 
     @property
     def used(self) -> list[str]:
-        return [c for c, values in self.labels.items() if values]
+        return [c for c, size in self.sizes.items() if size]
 
     @property
     def columns(self) -> list[str]:
         """The encoded columns."""
         return [*[f"_x_{c}" for c in self.numeric], *[f"_k_{c}" for c in self.used]]
 
-    def names(self) -> list[str]:
-        """Name of each position after the flags, categories one by one."""
-        return [*self.numeric, *[f"{c}={v}" for c, values in self.labels.items() for v in values]]
-
     @cached_property
     def one_hot(self) -> OneHotEncoderModel:
         """Positions to sparse vectors; the position after the last label is all zeros."""
-        sizes = SparkSession.active().createDataFrame([tuple(float(len(self.labels[c])) for c in self.used)], [f"_k_{c}" for c in self.used])
+        sizes = SparkSession.active().createDataFrame([tuple(float(self.sizes[c]) for c in self.used)], [f"_k_{c}" for c in self.used])
         return OneHotEncoder(inputCols=sizes.columns, outputCols=[f"_v_{c}" for c in self.used], dropLast=True).fit(sizes)
 
     def spread(self, df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
@@ -263,14 +278,14 @@ class Encoder:
     def grouped(self, df: DataFrame, flags: Sequence[str] = INFRA) -> DataFrame:
         """Flags and controls as the vector ``features``, one position a control; trees split categories by themselves."""
         for c in self.used:
-            values = [*self.labels[c], "_unseen"]
-            df = df.withMetadata(f"_k_{c}", {"ml_attr": {"type": "nominal", "name": f"_k_{c}", "vals": values}})
+            kind = {"type": "nominal", "name": f"_k_{c}", "num_vals": self.sizes[c] + 1}
+            df = df.withMetadata(f"_k_{c}", {"ml_attr": kind})
         return _assembled(df, [*flags, *self.columns]).drop(*self.columns)
 
     @property
     def largest(self) -> int:
         """Positions of the control with most categories."""
-        return max((len(v) + 1 for v in self.labels.values()), default=1)
+        return max((size + 1 for size in self.sizes.values()), default=1)
 
 
 def _with_fill(rows: int, n: int, mean: float, variance: float, fill: float) -> tuple[float, float]:

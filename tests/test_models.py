@@ -66,7 +66,8 @@ def test_encoder_pools_rare_and_zeroes_unseen(spark):
     rows = [("A", 1.0)] * 30 + [("B", 3.0)] * 25 + [("C", None)] * 2 + [(None, 3.0)] * 3
     df = spark.createDataFrame(rows, "c string, x double")
     encoder = features.Encoder.fit(df, ["x"], ["c"])
-    assert encoder.names() == ["x", "c=A", "c=B", "c=_infrequent"]
+    assert sorted(map(tuple, encoder.labels("c").collect())) == [(0, "A"), (1, "B"), (2, "_infrequent")]
+    assert encoder.sizes == {"c": 3} and encoder.columns == ["_x_x", "_k_c"]
     new = spark.createDataFrame([("A", None), ("C", None), ("Z", None), (None, None)], "c string, x double")
     rows = encoder.transform(new)
     values = [list(r["features"].toArray()) for r in encoder.spread(rows, []).collect()]
@@ -78,7 +79,20 @@ def test_encoder_pools_rare_and_zeroes_unseen(spark):
     filled[55:57] = median
     assert values[0][0] == pytest.approx((median - filled.mean()) / filled.std()) and len(x) == 60
     reference = features.Encoder.fit(df, ["x"], ["c"], min_rows=1, drop_first=True)
-    assert reference.names() == ["x", "c=B", "c=C"]
+    assert sorted(map(tuple, reference.labels("c").collect())) == [(0, "B"), (1, "C")]
+
+
+def test_encoder_takes_very_many_categories(spark):
+    """A column of 200,000 values, half of them rare, next to one without any value."""
+    df = spark.range(300_000).select(
+        F.concat(F.lit("v"), F.when(F.col("id") < 200_000, F.col("id") % 100_000).otherwise(F.col("id"))).alias("c"),
+        F.lit(None).cast("string").alias("nothing"), F.lit(1.0).alias("x"))
+    encoder = features.Encoder.fit(df, ["x"], ["c", "nothing"], min_rows=2)
+    assert encoder.sizes == {"c": 100_001, "nothing": 0} and encoder.used == ["c"]
+    new = spark.createDataFrame([("v0", None), ("v99999", "y"), ("v250000", None), ("new", None), (None, None)], "c string, nothing string")
+    places = {r["c"]: r["_k_c"] for r in encoder.transform(new.withColumn("x", F.lit(2.0))).collect()}
+    assert places == {"v0": 0.0, "v99999": 99_999.0, "v250000": 100_000.0, "new": 100_001.0, None: 0.0}
+    assert encoder.transform(df).where("_k_c = 100000").count() == 100_000
 
 
 def test_zone_history_smooths_and_defaults_to_the_prior(spark):
