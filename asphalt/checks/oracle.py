@@ -510,11 +510,11 @@ ORACLE = {
         " FROM early e JOIN late l ON e.cell = l.cell", CLEAN, CELLS, BURDENS),
     "temporal_stability": with_clauses(
         f"SELECT n, {r6('rho')}, CASE WHEN rho IS NULL OR n <= 2 THEN NULL WHEN 1 - rho * rho <= 1E-12 THEN 0.0E0 ELSE"
-        " ROUND(((((1.061405429E0 * u - 1.453152027E0) * u + 1.421413741E0) * u - 0.284496736E0) * u + 0.254829592E0) * u"
-        " * exp(-x * x), 6) + 0.0E0"
-        " END AS p_value FROM (SELECT *, 1 / (1 + 0.3275911E0 * x) AS u FROM (SELECT *, abs(rho) * sqrt((n - 2) / (1 - rho * rho) / 2) AS x"
+        " ROUND((SELECT SUM(pow(cos(a + (i + 0.5E0) * (pi() / 2 - a) / 100000), n - 3)) * (pi() / 2 - a) FROM range(100000) t(i))"
+        " / (SELECT SUM(pow(cos((i + 0.5E0) * pi() / 200000), n - 3)) * pi() / 2 FROM range(100000) t(i)), 6) + 0.0E0"
+        " END AS p_value FROM (SELECT *, asin(LEAST(abs(rho), 1.0E0)) AS a"
         f" FROM (SELECT COUNT(*) AS n, corr(a, b) AS rho FROM (SELECT {avg_rank('ev')} AS a, {avg_rank('lv')} AS b"
-        " FROM (SELECT e.v AS ev, l.v AS lv FROM early e JOIN late l ON e.cell = l.cell)))))", CLEAN, CELLS, BURDENS),
+        " FROM (SELECT e.v AS ev, l.v AS lv FROM early e JOIN late l ON e.cell = l.cell))))", CLEAN, CELLS, BURDENS),
     "top_kept": with_clauses(
         f"SELECT COUNT(*) AS early_top, COUNT(*) FILTER (l.v >= t) AS kept, {r6('MAX(t)', 'late_threshold')} FROM"
         f" (SELECT * FROM early ORDER BY v DESC, cell LIMIT {T.top_zones}) e LEFT JOIN late l ON e.cell = l.cell,"

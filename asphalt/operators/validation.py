@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asphalt.functions.scoring import normal_tails
+from asphalt.functions.scoring import correlation_tails
 from asphalt.operators.ordering import quantiles, tie_ranks
 from asphalt.operators.scalars import with_row
 from asphalt.operators.zones import with_cell
@@ -69,13 +69,11 @@ def rank_correlation(df: DataFrame, left: str, right: str) -> DataFrame:
 def stability(burdens: DataFrame) -> DataFrame:
     """Correlation of the two periods with its two-sided p-value: (n, rho, p_value).
 
-    The t statistic is read on the normal curve: cells are counted in thousands.
-    Without a correlation or with two cells at most the p-value is unknown; a
-    perfect correlation has 0.
+    The p-value is that of Student's t. Without a correlation or with two cells
+    at most it is unknown; a perfect correlation has 0.
     """
     slack = F.lit(1.0) - F.col("rho") * F.col("rho")
-    t = F.abs("rho") * F.sqrt((F.col("n") - 2) / slack)
-    p = F.when(F.col("n") <= 2, None).when(slack <= 1e-12, 0.0).otherwise(normal_tails(t))
+    p = F.when(F.col("n") <= 2, None).when(slack <= 1e-12, 0.0).otherwise(correlation_tails(F.col("rho"), F.col("n")))
     return rank_correlation(burdens, "early", "late").withColumn("p_value", F.when(F.col("rho").isNotNull(), p))
 
 

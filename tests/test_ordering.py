@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from asphalt.functions import hexgrid
+from asphalt.functions import hexgrid, scoring
 from asphalt.operators import ordering, validation
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -117,3 +117,15 @@ def test_refined_quantiles_move_no_rows(spark):
     written = [store.lastStageAttempt(s).shuffleWriteRecords() for s in stages]
     df.unpersist()
     assert sum(written) <= 8 * 20 + 2 * ordering.COUNTED_ROWS
+
+
+def test_correlation_tails_are_those_of_student(spark):
+    """Closed forms of 1, 2 and 4 degrees of freedom, and the normal curve for very many."""
+    rhos = [0.0, 0.1, -0.5, 0.9, 0.999]
+    cases = [(r, n) for r in rhos for n in (3, 4, 6)]
+    df = spark.createDataFrame([*cases, (0.002, 1_000_002), (0.5, 5_000)], "rho double, n long")
+    got = {(r["rho"], r["n"]): r["p"] for r in df.select("rho", "n", scoring.correlation_tails(F.col("rho"), F.col("n")).alias("p")).collect()}
+    exact = {3: lambda r: 1 - 2 / np.pi * np.arcsin(r), 4: lambda r: 1 - r, 6: lambda r: 1 - 1.5 * (r - r**3 / 3)}
+    for r, n in cases:
+        assert got[r, n] == pytest.approx(exact[n](abs(r)), abs=1e-9)
+    assert got[0.002, 1_000_002] == pytest.approx(0.0455, abs=1e-4) and got[0.5, 5_000] < 1e-200
