@@ -68,13 +68,37 @@ def zones(name: str = "zones", source: str = "cells", keys: str = "") -> str:
 
 CELLS = hexed("cells", "acc")
 ZONES = zones()
-ROADS = hexed("road_cells", "road_segments")
+
+
+def walk(resolution: int = 8) -> str:
+    """Road segments as pieces and ends, at the position that tells their cell."""
+    side = f"sqrt(2.0E0 * 0.7373E6 * pow(7.0E0, {8 - resolution}) / (3.0E0 * {SQRT3}))"
+    axes = ("q{0} - r{0}", "q{0} + 2 * r{0}", "-2 * q{0} - r{0}")
+    cuts = ", ".join(
+        f"[(k - ({a})) / (({b}) - ({a})) FOR k IN generate_series(CAST(floor(least({a}, {b})) AS BIGINT) + 1,"
+        f" CAST(ceil(greatest({a}, {b})) AS BIGINT) - 1)]" for a, b in ((axis.format(0), axis.format(1)) for axis in axes))
+    return f"""road_ends AS (SELECT *, COALESCE(end_lat, start_lat) AS to_lat, COALESCE(end_lng, start_lng) AS to_lng FROM road_segments),
+road_plane AS (SELECT *, {R} * radians(start_lng) * {COS} AS x0, {R} * sin(radians(start_lat)) / {COS} AS y0,
+  {R} * radians(to_lng) * {COS} AS x1, {R} * sin(radians(to_lat)) / {COS} AS y1 FROM road_ends),
+road_axes AS (SELECT *, ({SQRT3} / 3.0E0 * x0 - y0 / 3.0E0) / {side} AS q0, (2.0E0 / 3.0E0 * y0) / {side} AS r0,
+  ({SQRT3} / 3.0E0 * x1 - y1 / 3.0E0) / {side} AS q1, (2.0E0 / 3.0E0 * y1) / {side} AS r1 FROM road_plane),
+road_cuts AS (SELECT segment_id, unnest(list_sort(flatten([[0.0E0, 1.0E0], {cuts}]))) AS high FROM road_axes),
+road_shares AS (SELECT segment_id, LAG(high) OVER (PARTITION BY segment_id ORDER BY high) AS low, high FROM road_cuts),
+road_parts AS (
+  SELECT segment_id, low, high, FALSE AS is_end, FALSE AS last FROM road_shares WHERE high - low > 1E-9
+  UNION ALL SELECT segment_id, 0, 0, TRUE, FALSE FROM road_segments UNION ALL SELECT segment_id, 1, 1, TRUE, TRUE FROM road_segments),
+road_spots AS (SELECT p.is_end, CASE WHEN p.last THEN v ELSE u END AS node, (high - low) * length_m AS length_m,
+  degrees(asin((y0 + (y1 - y0) * (low + high) / 2) * {COS} / {R})) AS start_lat,
+  degrees((x0 + (x1 - x0) * (low + high) / 2) / ({R} * {COS})) AS start_lng
+  FROM road_parts p JOIN road_plane s ON p.segment_id = s.segment_id)"""
+
+
+ROADS = walk() + ",\n" + hexed("road_cells", "road_spots")
 EXPOSURE = """roads AS (
   SELECT s.cell, s.street_km, COALESCE(i.n_intersections, 0) AS n_intersections
-  FROM (SELECT cell, SUM(length_m) / 1000 AS street_km FROM road_cells GROUP BY cell) s
+  FROM (SELECT cell, ROUND(SUM(length_m) / 1000, 6) AS street_km FROM road_cells GROUP BY cell) s
   LEFT JOIN (SELECT cell, COUNT(*) AS n_intersections FROM (
-      SELECT cell, node FROM (SELECT cell, u AS node FROM road_cells UNION ALL SELECT cell, v FROM road_cells)
-      GROUP BY cell, node HAVING COUNT(*) >= 2) GROUP BY cell) i ON s.cell = i.cell)"""
+      SELECT cell, node FROM road_cells WHERE is_end GROUP BY cell, node HAVING COUNT(*) >= 2) GROUP BY cell) i ON s.cell = i.cell)"""
 EXPOSED = """exposed AS (SELECT z.*, r.street_km, r.n_intersections,
   CASE WHEN r.street_km <> 0 THEN z.n_accidents / r.street_km END AS acc_per_km,
   CASE WHEN r.street_km <> 0 THEN z.charge / r.street_km END AS charge_per_km

@@ -94,6 +94,8 @@ road_segments AS (
   SELECT p_partkey AS segment_id, p_partkey % 997 AS u, (p_partkey * 7 + 1) % 997 AS v,
     32.0E0 + (p_partkey % 40) * 0.05E0 + (p_partkey % 7) * 0.002E0 AS start_lat,
     -120.0E0 + (p_partkey % 25) * 0.08E0 + (p_partkey % 5) * 0.003E0 AS start_lng,
+    CASE WHEN p_partkey % 50 <> 0 THEN 32.0E0 + (p_partkey % 40) * 0.05E0 + (p_partkey % 7) * 0.002E0 + (p_size - 25) * 0.0004E0 END AS end_lat,
+    CASE WHEN p_partkey % 50 <> 0 THEN -120.0E0 + (p_partkey % 25) * 0.08E0 + (p_partkey % 5) * 0.003E0 + (p_partkey % 11 - 5) * 0.003E0 END AS end_lng,
     p_size * 22.0E0 AS length_m
   FROM {part})
 """

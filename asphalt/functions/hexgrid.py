@@ -27,12 +27,16 @@ def side_m(resolution: int) -> float:
     return math.sqrt(2.0 * area / (3.0 * _SQRT3))
 
 
-def axial(lat: Column, lng: Column, resolution: int) -> tuple[Column, Column]:
-    """Axial coordinates (q, r) of the cell that holds a point."""
+def planar(lat: Column, lng: Column, resolution: int) -> tuple[Column, Column]:
+    """Position (q, r) of a point in units of cells; straight lines on the plane stay straight."""
     side = side_m(resolution)
     x = F.radians(lng) * (EARTH_RADIUS_M * _COS_PARALLEL)
     y = F.sin(F.radians(lat)) * (EARTH_RADIUS_M / _COS_PARALLEL)
-    q, r = (x * (_SQRT3 / 3.0) - y / 3.0) / side, y * (2.0 / 3.0) / side
+    return (x * (_SQRT3 / 3.0) - y / 3.0) / side, y * (2.0 / 3.0) / side
+
+
+def holding(q: Column, r: Column) -> tuple[Column, Column]:
+    """Axial coordinates of the cell that holds a position."""
     t = -q - r
     rq, rr, rt = (F.floor(v + 0.5) for v in (q, r, t))
     dq, dr, dt = F.abs(rq - q), F.abs(rr - r), F.abs(rt - t)
@@ -42,9 +46,32 @@ def axial(lat: Column, lng: Column, resolution: int) -> tuple[Column, Column]:
     return F.when(worst_q, -rr - rt).otherwise(rq), F.when(worst_r, -rq - rt).otherwise(rr)
 
 
+def axial(lat: Column, lng: Column, resolution: int) -> tuple[Column, Column]:
+    """Axial coordinates (q, r) of the cell that holds a point."""
+    return holding(*planar(lat, lng, resolution))
+
+
+def cell_at(q: Column, r: Column, resolution: int) -> Column:
+    """Id of the cell that holds a position."""
+    return F.concat_ws(":", F.lit(str(resolution)), *holding(q, r))
+
+
 def cell(lat: Column, lng: Column, resolution: int) -> Column:
-    q, r = axial(lat, lng, resolution)
-    return F.concat_ws(":", F.lit(str(resolution)), q, r)
+    return cell_at(*planar(lat, lng, resolution), resolution)
+
+
+def edge_crossings(q0: Column, r0: Column, q1: Column, r1: Column) -> Column:
+    """Where a straight line may leave a cell, as shares of its length in (0, 1), unordered.
+
+    All edges of the grid lie on lines where q - r, r - t or t - q is whole (t = -q - r).
+    """
+    def whole_between(a: Column, b: Column) -> Column:
+        first, last = F.floor(F.least(a, b)) + 1, F.ceil(F.greatest(a, b)) - 1
+        steps = F.when(first <= last, F.sequence(first, last, F.lit(1).cast("long"))).otherwise(F.array().cast("array<long>"))
+        return F.transform(steps, lambda k: (k - a) / (b - a))
+
+    axes = [(q0 - r0, q1 - r1), (q0 + 2 * r0, q1 + 2 * r1), (-2 * q0 - r0, -2 * q1 - r1)]
+    return F.concat(*[whole_between(a, b) for a, b in axes])
 
 
 def _part(cell_id: Column, position: int) -> Column:

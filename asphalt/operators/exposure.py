@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asphalt import labels
@@ -11,31 +11,57 @@ from asphalt.operators.ordering import quantiles, tie_ranks
 from asphalt.session import broadcast_if_small, materialise
 
 
-def segments_in(segments: DataFrame, zones: DataFrame, resolution: int = 8) -> DataFrame:
-    """Segments of a priority list, which is broadcast only while it is small."""
-    placed = segments.withColumn("cell", hexgrid.cell(F.col("start_lat"), F.col("start_lng"), resolution))
-    cells = materialise(zones.select("cell").distinct())
-    return placed.join(broadcast_if_small(cells), "cell", "left_semi")
+LEAST_SHARE = 1e-9  # of a segment; shorter pieces are rounding
 
 
-def road_exposure(segments: DataFrame, resolution: int = 8) -> DataFrame:
-    """Street length and number of intersections per cell.
+def walked(segments: DataFrame, resolution: int = 8) -> DataFrame:
+    """Segments cut where they leave a cell: (cell, is_end, node, length_m).
+
+    A segment is walked as a straight line from its start to its end, and each
+    cell gets the share of ``length_m`` that lies in it. Its two ends are rows
+    of their own, with a node and no length, in the cells where they lie.
+    Without an end position a segment lies where it starts. A segment without a
+    start is left out, one without a length counts as 0.
+    """
+    ends = [F.coalesce(F.col(f"end_{c}"), F.col(f"start_{c}")) if f"end_{c}" in segments.columns else F.col(f"start_{c}")
+            for c in ("lat", "lng")]
+    q0, r0 = hexgrid.planar(F.col("start_lat"), F.col("start_lng"), resolution)
+    q1, r1 = hexgrid.planar(*ends, resolution)
+    lines = segments.where("start_lat IS NOT NULL AND start_lng IS NOT NULL").select(
+        "u", "v", F.coalesce(F.col("length_m").cast("double"), F.lit(0.0)).alias("length_m"),
+        q0.alias("q0"), r0.alias("r0"), q1.alias("q1"), r1.alias("r1"))
+    inner = hexgrid.edge_crossings(F.col("q0"), F.col("r0"), F.col("q1"), F.col("r1"))
+    cut = lines.withColumn("cuts", F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
+    node = dict(segments.dtypes)["u"]
+
+    def row(low: Column, high: Column, end: bool, at: Column) -> Column:
+        return F.struct(low.alias("low"), high.alias("high"), F.lit(end).alias("is_end"), at.cast(node).alias("node"))
+
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.size("cuts") - 1), lambda i: row(F.get("cuts", i - 1), F.get("cuts", i), False, F.lit(None)))
+    pieces = F.filter(pieces, lambda p: p["high"] - p["low"] > LEAST_SHARE)
+    tips = F.array(*[row(F.lit(at), F.lit(at), True, F.col(name)) for at, name in ((0.0, "u"), (1.0, "v"))])
+    rows = cut.select("length_m", "q0", "r0", "q1", "r1", F.explode(F.concat(pieces, tips)).alias("p"))
+    middle = (F.col("p.low") + F.col("p.high")) / 2
+    at = [F.col(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) * middle for c in "qr"]
+    return rows.select(
+        hexgrid.cell_at(*at, resolution).alias("cell"), "p.is_end", "p.node",
+        ((F.col("p.high") - F.col("p.low")) * F.col("length_m")).alias("length_m"))
+
+
+def road_exposure(segments: DataFrame, resolution: int = 8, zones: DataFrame | None = None) -> DataFrame:
+    """Street length and number of intersections per cell, of the cells of ``zones`` if given.
 
     An intersection is a node where at least two street ends of the cell meet.
+    Lengths are kept to the millimetre, as cutting is not exact beyond. A list of zones is broadcast only while it is small.
     """
-    if "cell" not in segments.columns:
-        segments = segments.withColumn("cell", hexgrid.cell(F.col("start_lat"), F.col("start_lng"), resolution))
-    ends = segments.select(
-        "cell",
-        F.explode(F.array(
-            F.struct(F.col("u").alias("node"), F.col("length_m").alias("length_m")),
-            F.struct(F.col("v").alias("node"), F.lit(0.0).alias("length_m")),
-        )).alias("end"),
-    ).select("cell", "end.*")
-    nodes = ends.groupBy("cell", "node").agg(F.count("*").alias("streets"), F.sum("length_m").alias("length_m"))
+    pieces = walked(segments, resolution)
+    if zones is not None:
+        pieces = pieces.join(broadcast_if_small(materialise(zones.select("cell").distinct())), "cell", "left_semi")
+    nodes = pieces.groupBy("cell", "is_end", "node").agg(F.count("*").alias("streets"), F.sum("length_m").alias("length_m"))
     return nodes.groupBy("cell").agg(
-        (F.sum("length_m") / 1000).alias("street_km"),
-        F.count(F.when(F.col("streets") >= 2, 1)).alias("n_intersections"),
+        F.round(F.sum("length_m") / 1000, 6).alias("street_km"),
+        F.count(F.when(F.col("is_end") & (F.col("streets") >= 2), 1)).alias("n_intersections"),
     )
 
 

@@ -23,8 +23,7 @@ def recommended_zones(
     """
     top = zones.priority(table, limits.top_zones)
     if segments is not None:
-        near = exposure.segments_in(segments, top, limits.resolution)
-        top = exposure.with_exposure(top, exposure.road_exposure(near, limits.resolution))
+        top = exposure.with_exposure(top, exposure.road_exposure(segments, limits.resolution, top))
         top = exposure.with_zone_type(top)
     top = recommend.with_lift(top, recommend.territory_share(table, weight), weight, limits.lift_min)
     top = top.withColumn("equip_present", recommend.equipment_present(limits.presence_min))

@@ -29,5 +29,7 @@ def is_prepared(spark: SparkSession, folder: str, table: str) -> bool:
 
 
 def road_segments(spark: SparkSession, path: str) -> DataFrame:
-    """Road segments: ``u``, ``v`` (end nodes), ``start_lat``, ``start_lng``, ``length_m``."""
-    return spark.read.parquet(path).select("u", "v", "start_lat", "start_lng", "length_m")
+    """Road segments: ``u``, ``v`` (end nodes), ``start_lat``, ``start_lng``, ``length_m`` and, if known, ``end_lat``, ``end_lng``."""
+    found = spark.read.parquet(path)
+    ends = [c for c in ("end_lat", "end_lng") if c in found.columns]
+    return found.select("u", "v", "start_lat", "start_lng", *ends, "length_m")

@@ -1,7 +1,11 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from asphalt import labels
+from asphalt.functions import hexgrid
 from asphalt.operators import exposure, recommend, validation, when, zones
 from tests import frames
 
@@ -63,6 +67,54 @@ def test_intersections_need_two_street_ends(spark):
     assert rows == {0.15: 1, 0.01: 0}
 
 
+def sampled_lengths(segments, resolution, steps=20_000):
+    """Lengths per cell by many points along each segment."""
+    side, cos = hexgrid.side_m(resolution), math.cos(math.radians(37))
+    found = {}
+    for lat0, lng0, lat1, lng1, length in segments:
+        x0, x1 = (math.radians(g) * 6371007.2 * cos for g in (lng0, lng1))
+        y0, y1 = (math.sin(math.radians(t)) * 6371007.2 / cos for t in (lat0, lat1))
+        for i in range(steps):
+            at = (i + 0.5) / steps
+            x, y = x0 + (x1 - x0) * at, y0 + (y1 - y0) * at
+            q, r = (x / math.sqrt(3) - y / 3) / side, y * 2 / 3 / side
+            a, b = round(q), round(r)  # the nearest centre is one of these nine
+            spot = min(((a + i, b + j) for i in (-1, 0, 1) for j in (-1, 0, 1)), key=lambda c: (
+                (c[0] - q) ** 2 + (c[1] - r) ** 2 + (c[0] - q) * (c[1] - r)))
+            found[spot] = found.get(spot, 0.0) + length / steps
+    return {f"{resolution}:{q}:{r}": km / 1000 for (q, r), km in found.items()}
+
+
+def test_segments_are_cut_where_they_leave_a_cell(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(30):
+        lat, lng = 34 + rng.random() * 0.02, -118 + rng.random() * 0.02
+        rows.append((i, 100 + i, lat, lng, lat + rng.uniform(-0.05, 0.05), lng + rng.uniform(-0.05, 0.05), 1000.0 * rng.random()))
+    segments = spark.createDataFrame(
+        rows, "u long, v long, start_lat double, start_lng double, end_lat double, end_lng double, length_m double")
+    got = {r["cell"]: r["street_km"] for r in exposure.road_exposure(segments, 8).collect()}
+    want = sampled_lengths([r[2:] for r in rows], 8)
+    assert sum(got.values()) == pytest.approx(sum(r[-1] for r in rows) / 1000, abs=1e-4)
+    assert all(got.get(c, 0.0) == pytest.approx(want.get(c, 0.0), abs=1e-3) for c in got.keys() | want.keys())
+    some = frames.zones(spark, [{"cell": c} for c in sorted(got)[:5]])
+    near = {r["cell"]: r["street_km"] for r in exposure.road_exposure(segments, 8, some).collect()}
+    assert near == pytest.approx({c: got[c] for c in sorted(got)[:5]})
+
+
+def test_ends_count_where_they_lie(spark):
+    here, there = (34.0, -118.0), (34.05, -118.05)
+    segments = spark.createDataFrame(
+        [(1, 2, *here, *there, 100.0), (3, 2, *here, *there, None), (1, 9, *here, None, None, 50.0), (5, 5, None, None, *there, 7.0)],
+        "u long, v long, start_lat double, start_lng double, end_lat double, end_lng double, length_m double")
+    rows = {r["cell"]: r for r in exposure.road_exposure(segments).collect()}
+    cells = spark.range(1).select(*[hexgrid.cell(F.lit(a), F.lit(b), 8) for a, b in (here, there)]).first()
+    assert [rows[c]["n_intersections"] for c in cells] == [1, 1]
+    assert sum(r["street_km"] for r in rows.values()) == pytest.approx(0.15, abs=1e-5)
+    assert sum(r["n_intersections"] for r in rows.values()) == 2
+    assert exposure.road_exposure(segments.limit(0)).collect() == []
+
+
 def test_a_missing_state_is_not_the_country(spark):
     df = frames.accidents(spark, [{"state": "CA"}, {"state": None}, {"state": "CA", "severity": 4}])
     rows = {r["state"]: (r["n"], r["part_grave"]) for r in when.cube(df, "month").collect()}
@@ -115,8 +167,11 @@ def test_stability_is_unknown_without_a_correlation(spark):
     assert found([("a", 1, 2), ("b", 2, 4)])[1] is None
     assert found([(str(i), i, 2 * i) for i in range(9)])[1] == 0.0
     rho, p = found([(str(i), i, (i * 7) % 11) for i in range(10)])
-    import math
-    assert p == pytest.approx(math.erfc(abs(rho) * math.sqrt(8 / (1 - rho * rho)) / math.sqrt(2)), abs=1e-6)
+    # Student's t with 8 degrees of freedom, its density summed up to the statistic.
+    width = abs(rho) * math.sqrt(8 / (1 - rho * rho)) / 20_000
+    scale = math.gamma(4.5) / (math.sqrt(8 * math.pi) * math.gamma(4))
+    inside = sum(scale * (1 + ((i + 0.5) * width) ** 2 / 8) ** -4.5 for i in range(20_000)) * width
+    assert p == pytest.approx(1 - 2 * inside, abs=1e-6)
 
 
 def test_a_busy_value_is_joined_by_broadcast(spark):
