@@ -46,6 +46,11 @@ def preference_pairs(
     sides = rows.groupBy("pair_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("side"), turn_of))).alias("chosen"),
         F.sort_array(F.collect_list(F.when(~F.col("side"), turn_of))).alias("rejected"))
+    return _rendered(sides, learned_role)
+
+
+def _rendered(sides: DataFrame, learned_role: str) -> DataFrame:
+    """Pairs whose sides are arrays of turns (pair_id, chosen, rejected) as prompt, completions and masks."""
     differs = F.filter(
         F.sequence(F.lit(0), F.least(F.size("chosen"), F.size("rejected"))),
         lambda i: ~(F.struct(F.get("chosen", i)["role"], F.get("chosen", i)["text"]).eqNullSafe(
@@ -86,16 +91,51 @@ def preference_pairs(
     )
 
 
-def adjacent_pairs(conversations: DataFrame) -> DataFrame:
-    """Conversations as pairs: an even id is chosen, the odd one after it is rejected."""
-    return conversations.withColumns({
-        "pair_id": F.floor(F.col("conv_id") / 2).cast("long"), "is_chosen": F.pmod("conv_id", F.lit(2)) == 0})
+def swapped_answer_pairs(
+    turns: DataFrame, learned_role: str = LEARNED_ROLE, conversation: str = "conv_id",
+    turn: str = "turn", role: str = "role", text: str = "text",
+) -> DataFrame:
+    """Every conversation against itself with its last answer replaced by that of the conversation with the next id.
+
+    Returns the columns of ``preference_pairs``, one row a conversation; ids are
+    whole numbers. An answer is the last turn of the learned role; of turns that
+    tie in number, role and text one is replaced. Where no conversation has the
+    next id, or it has no answer, the rejected side goes without its last
+    answer. A conversation without an answer is all prompt. A null answer is
+    rendered as empty. Rows without an id are left out, an empty table gives an
+    empty result. Turns are moved once; only last answers are moved again.
+    """
+    rows = turns.select(F.col(conversation).alias("pair_id"), F.struct(
+        F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")).alias("t")).where("pair_id IS NOT NULL")
+    whole = rows.groupBy("pair_id").agg(F.sort_array(F.collect_list("t")).alias("chosen"))
+    whole = whole.withColumn("last", F.array_max(F.transform("chosen", lambda t, i: F.when(t["role"] == learned_role, i))))
+    answers = whole.where("last IS NOT NULL").select(
+        (F.col("pair_id") - 1).alias("pair_id"), F.struct(F.get("chosen", F.col("last"))["text"].alias("text")).alias("other"))
+    met = whole.join(answers, "pair_id", "left")
+    own = F.get("chosen", F.col("last"))
+    swapped = F.struct(own["turn"].alias("turn"), own["role"].alias("role"), F.col("other.text").alias("text"))
+    none = F.slice("chosen", 1, 0)
+    rejected = F.concat(
+        F.slice("chosen", F.lit(1), F.col("last")), F.when(F.col("other").isNotNull(), F.array(swapped)).otherwise(none),
+        F.slice("chosen", F.col("last") + 2, F.size("chosen")))
+    sides = met.select("pair_id", "chosen", F.when(F.col("last").isNull(), F.col("chosen")).otherwise(rejected).alias("rejected"))
+    return _rendered(sides, learned_role)
 
 
 ORACLE = """
-WITH s AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS side, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
-n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) - 1 AS i FROM s),
+WITH base AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+ends AS (SELECT conv_id, max(k) AS k FROM base WHERE role = 'assistant' GROUP BY conv_id),
+answers AS (SELECT base.conv_id, base.k, text FROM base JOIN ends ON base.conv_id = ends.conv_id AND base.k = ends.k),
+s AS (
+  SELECT conv_id AS pair_id, TRUE AS side, k, role, text FROM base
+  UNION ALL
+  SELECT base.conv_id, FALSE, base.k, role, CASE WHEN a.k IS NULL THEN base.text ELSE o.text END
+  FROM base LEFT JOIN answers a ON base.conv_id = a.conv_id AND base.k = a.k
+    LEFT JOIN answers o ON o.conv_id = base.conv_id + 1
+  WHERE a.k IS NULL OR o.conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY k) - 1 AS i FROM s),
 m AS (
   SELECT pair_id, i, count(*) FILTER (side) AS c, count(*) FILTER (NOT side) AS r,
     max(role) FILTER (side) IS NOT DISTINCT FROM max(role) FILTER (NOT side)

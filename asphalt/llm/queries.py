@@ -66,7 +66,7 @@ ORACLE["op5_line_windows"] = line_dedup.ORACLE
 
 @query
 def op6_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return chat.preference_pairs(chat.adjacent_pairs(table(spark, sf, "conversations")))
+    return chat.swapped_answer_pairs(table(spark, sf, "conversations"))
 
 
 ORACLE["op6_preference_pairs"] = chat.ORACLE

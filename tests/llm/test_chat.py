@@ -80,7 +80,53 @@ def test_empty_table_and_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
-def test_adjacent_conversations_pair(spark):
-    df = spark.createDataFrame([(0, 0), (1, 0), (2, 0), (None, 0)], "conv_id long, turn long")
-    got = [(r["pair_id"], r["is_chosen"]) for r in chat.adjacent_pairs(df).collect()]
-    assert got == [(0, True), (0, False), (1, True), (None, None)]
+def plain_swapped(rows):
+    """Pairs of (pair, side, turn, role, text) from turns (conversation, turn, role, text), by dictionaries."""
+    whole = {}
+    for c, *t in rows:
+        if c is not None:
+            whole.setdefault(c, []).append(tuple(t))
+    key = lambda t: tuple((v is not None, v if v is not None else "") for v in t)
+    for ts in whole.values():
+        ts.sort(key=key)
+    last = {c: max((i for i, t in enumerate(ts) if t[1] == "assistant"), default=None) for c, ts in whole.items()}
+    for c, ts in whole.items():
+        for i, (n, role, text) in enumerate(ts):
+            yield c, True, i, role, text
+            if i != last[c]:
+                yield c, False, i, role, text
+            elif last.get(c + 1) is not None:
+                yield c, False, i, role, whole[c + 1][last[c + 1]][2]
+
+
+def compare_swapped(spark, rows):
+    df = spark.createDataFrame([(*r, 1, "clash") for r in rows], "conv_id long, turn long, role string, text string, pair_id int, chosen string")
+    got = [tuple(r) for r in chat.swapped_answer_pairs(df).collect()]
+    assert sorted(got) == sorted(plain(list(plain_swapped(rows))))
+    return {g[0]: g for g in got}
+
+
+def test_last_answers_are_swapped(spark):
+    q = [(0, "user", "q"), (1, "assistant", "a"), (2, "user", "thanks")]
+    got = compare_swapped(spark, [
+        *[(1, *t) for t in q], (2, 0, "user", "other"), (2, 1, "assistant", "b"), (2, 2, "assistant", "c"),
+        (3, 0, "user", "no answer"), (4, 0, "assistant", None), (5, 0, "assistant", "twice"), (5, 0, "assistant", "twice"),
+        (6, 0, "assistant", "twice"), (7, None, "assistant", "x"), (7, 3, None, None), (None, 0, "assistant", "lost"),
+        (9, 0, "user", "x y " * 50_000), (9, 1, "assistant", "")])
+    assert got[1][1] == 1 and got[1][4].startswith("<|im_start|>assistant\na<") and "\nc<" in got[1][7]
+    assert (got[2][1], got[2][6]) == (2, 2)  # the next conversation has no answer
+    assert got[3][1] == 1 and got[3][4] == got[3][7] == ""
+
+
+def test_swapped_answers_of_random_conversations(spark):
+    rng = random.Random(2)
+    compare_swapped(spark, [
+        (c, n, rng.choice(["user", "assistant"]), rng.choice("abc")) for c in range(80) for n in range(rng.randint(0, 5))])
+
+
+def test_swapped_pairs_of_an_empty_table_and_plan(spark):
+    df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    pairs = chat.swapped_answer_pairs(df)
+    assert pairs.collect() == []
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
