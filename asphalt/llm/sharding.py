@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from asphalt.llm.batches import text_batches
 from asphalt.llm.columns import packed, unpacked
-from asphalt.session import materialise
 
 SHARDS = 24
 BUCKET_BYTES = 16 << 20
@@ -26,6 +25,7 @@ BUCKET_BYTES = 16 << 20
 MAX_BUCKETS = 500_000
 RECORD_BYTES = 8
 CROWDED = 4  # a bucket of so many times the wanted size holds an id that repeats very often
+RUN = 1_000  # equal rows are numbered in runs of so many
 
 
 def record_size(text: Column) -> Column:
@@ -38,6 +38,19 @@ def _bucketed(rows: DataFrame, buckets: int, seed: int, *keys: str) -> DataFrame
     return rows.withColumns({"bucket": F.pmod(spot, F.lit(buckets)), "spot": spot})
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with a number that tells equal rows apart, 0 for one that occurs once.
+
+    Equal rows are counted, partial sums first, and written out again in runs
+    that are spread before they are: numbers don't depend on the layout.
+    """
+    counted = rows.groupBy("row", "id", "size").agg(F.count("*").alias("n"))
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))))
+    spread = runs.repartition(F.xxhash64("row"), "run")
+    last = F.least(F.col("n"), F.col("run") + RUN) - 1
+    return spread.select("row", "id", "size", F.explode(F.sequence("run", last)).alias("number"))
+
+
 def shuffled_shards(
     docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text_column: str = "text",
     bucket_bytes: int = BUCKET_BYTES, seed: int = 8,
@@ -46,8 +59,10 @@ def shuffled_shards(
 
     The order depends on ids, texts and the seed, not on the table's layout.
     Null texts and null ids are records like others. Rows that share an id
-    share a bucket; if one id fills buckets of several times the wanted size,
-    rows are numbered and scattered by their number as well, from a checkpoint.
+    share a bucket; if one id fills a bucket of several times the wanted size,
+    all rows are scattered by what else they hold as well, equal rows by a
+    number. Which of equal rows stands where can't be told. Very long texts
+    move whole, so a bucket holds one text at least.
     Columns named ``shard`` or ``slot`` are replaced, others stay. An empty
     table gives an empty result.
     """
@@ -59,8 +74,7 @@ def shuffled_shards(
     keyed = _bucketed(rows, buckets, seed, "id")
     sums = keyed.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).collect()
     if any(r["bytes"] > CROWDED * max(bucket_bytes, total / buckets) for r in sums):
-        numbered = materialise(rows.withColumn("number", F.monotonically_increasing_id()))
-        keyed = _bucketed(numbered, buckets, seed, "id", "number").drop("number")
+        keyed = _bucketed(_numbered(rows), buckets, seed, "id", "row", "number").drop("number")
         sums = keyed.groupBy("bucket").agg(F.count("*").alias("rows")).collect()
     counts = np.zeros(buckets, dtype=np.int64)
     for r in sums:

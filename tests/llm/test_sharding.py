@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from asphalt.llm import sharding
 from tests.llm.frames import awkward, empty, table, words
@@ -35,6 +36,19 @@ def test_one_id_that_fills_the_table_is_scattered(spark):
     check(docs, sharding.shuffled_shards(docs, bucket_bytes=1000), sharding.SHARDS)
 
 
+def test_a_crowded_order_does_not_depend_on_the_layout(spark):
+    rng = random.Random(5)
+    rows = [(7, words(rng, 30)) for _ in range(200)] + [(7, "same")] * 2500 + [(i, "x") for i in range(100)] + [(None, None)] * 20
+    docs = table(spark, rows)
+    order = lambda df: sorted(
+        (r["shard"], r["slot"], repr(r["doc_id"]), repr(r["text"])) for r in sharding.shuffled_shards(df, bucket_bytes=1000).collect())
+    first = order(docs)
+    assert first == order(docs.repartition(7, "text")) == order(docs.orderBy(F.desc("text")).coalesce(2))
+    assert Counter(r[2:] for r in first) == Counter((repr(i), repr(t)) for i, t in rows)
+    same = [r[0] for r in first if r[3] == "'same'"]
+    assert set(same) == set(range(sharding.SHARDS)) and len(same) == 2500
+
+
 def test_order_is_shuffled_and_depends_on_the_seed_not_the_layout(spark):
     docs = table(spark, [(i, "x" * (i % 50)) for i in range(2000)])
     order = lambda df: [r["doc_id"] for r in sorted(df.collect(), key=lambda r: (r["shard"], r["slot"]))]
