@@ -1,9 +1,11 @@
 """Benchmark decontamination: rare word n-grams as seeds, alignment as the proof.
 
 Every document is read once for the word n-grams that it shares with a test
-item. What it finds is counted over all documents, which tells rare n-grams from
-common ones. A rare one is a seed by itself; common ones are if a document has
-two of one item, so a passage that very many documents copy is found as well.
+item. Four words in a row are a seed however many documents hold them, as a
+passage that very many documents copy has to be found as well. Copies of short
+items that are edited a lot keep no four words together, so those items have
+three-word seeds too; these are counted over all documents and the rare ones
+seed by themselves, common ones if a document has two of an item.
 The text around the seeds of an item is then aligned with the item by
 Smith-Waterman on words, so copies with replaced, added or dropped words score
 by what they share. The benchmark is worked through in blocks, so all
@@ -26,7 +28,9 @@ from asphalt.llm.batches import text_batches
 from asphalt.session import materialise
 
 SEED_WORDS = 4
-RARE_SHARE = 1e-3  # of the documents may hold an n-gram that is a seed by itself, or
+SHORT_WORDS = 3  # of the seeds that are added
+SHORT_ITEM = 28  # for items of fewer words
+RARE_SHARE = 1e-3  # of the documents may hold a short n-gram that is a seed by itself, or
 RARE_FLOOR = 10  # so many, if that is more
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -71,14 +75,20 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * max(1, len(item))), best_from, best_to
 
 
+def seeds(words: list[str]) -> set[str]:
+    """The n-grams by which an item is found."""
+    found = set(grams(words))
+    return found | set(grams(words, SHORT_WORDS)) if SEED_WORDS <= len(words) < SHORT_ITEM else found
+
+
 @dataclass
 class Block:
     """A bounded part of the benchmark as words and n-grams."""
 
     items: dict[int, list[str]]
 
-    def grams(self) -> set[tuple[str, ...] | str]:
-        return {g for words in self.items.values() for g in grams(words)}
+    def seeds(self) -> set[str]:
+        return {g for words in self.items.values() for g in seeds(words)}
 
 
 def blocks(benchmark: DataFrame, id_column: str, text_column: str, size: int = BLOCK_ITEMS) -> Iterator[Block]:
@@ -102,7 +112,7 @@ def _found(docs: DataFrame, block: Block) -> DataFrame:
     """Documents that share an n-gram with the block: (doc_id, text, found: n-grams)."""
     spark = docs.sparkSession
     by_words: dict[int, set[tuple[str, ...]]] = defaultdict(set)
-    for g in block.grams():
+    for g in block.seeds():
         parts = tuple(g.split(" "))
         by_words[len(parts)].add(parts)
     shared = spark.sparkContext.broadcast(dict(by_words))  # bounded by BLOCK_WORDS
@@ -123,17 +133,16 @@ def _found(docs: DataFrame, block: Block) -> DataFrame:
     return docs.withColumn("found", found(F.col("text"))).where(F.col("found").isNotNull())
 
 
-def seeded(found: list[str], holders: dict[str, list[int]], common: set[str], least: dict[int, int]) -> dict[int, set[str]]:
+def seeded(found: list[str], holders: dict[str, list[int]], common: set[str]) -> dict[int, set[str]]:
     """Items that a document's n-grams give reason to align: item -> shared n-grams.
 
-    One rare n-gram is reason enough. Common ones count together: a passage that
-    very many documents copy makes its n-grams common, but a copy has several.
+    One is reason enough unless it is short and common; two of an item are always.
     """
     shared: dict[int, set[str]] = defaultdict(set)
     for g in found:
         for item in holders[g]:
             shared[item].add(g)
-    return {i: own for i, own in shared.items() if not own <= common or len(own) >= least[i]}
+    return {i: own for i, own in shared.items() if not own <= common or len(own) > 1}
 
 
 def matches(text: str, items: dict[int, list[str]], wanted: dict[int, set[str]], least: float) -> list[tuple]:
@@ -183,7 +192,8 @@ def contaminated(
     ``min_score``; words of the passage are counted from 0, the last exclusive.
     Null and empty texts match nothing; items without id or word are left out.
     Repeated documents give repeated rows. Other columns are ignored; an empty
-    table on either side gives an empty result.
+    table on either side gives an empty result. Of an item's equally good
+    passages the first counts. Very long texts are aligned around seeds only.
     """
     spark = docs.sparkSession
     text_batches(spark)
@@ -194,17 +204,16 @@ def contaminated(
     for block in blocks(benchmark, item_column, item_text, block_items):
         documents = rows.count() if documents is None else documents
         candidates = materialise(_found(rows, block))
-        counts = candidates.select(F.explode("found").alias("g")).groupBy("g").agg(F.count("*").alias("n"))
+        counts = candidates.select(F.explode("found").alias("g")).where(
+            F.size(F.split("g", " ")) == SHORT_WORDS).groupBy("g").agg(F.count("*").alias("n"))
         rare = max(RARE_FLOOR, int(RARE_SHARE * documents))
         common = {r["g"] for r in counts.where(F.col("n") > rare).collect()}  # the block's n-grams at most
         holders: dict[str, list] = defaultdict(list)
-        least = {}
         for item, words in block.items.items():
-            own = set(grams(words))
-            least[item] = min(2, len(own))
-            for g in own:
+            common -= {" ".join(words)}  # a whole item is a seed however common
+            for g in seeds(words):
                 holders[g].append(item)
-        shared = spark.sparkContext.broadcast((block.items, dict(holders), common, least))  # bounded by BLOCK_WORDS
+        shared = spark.sparkContext.broadcast((block.items, dict(holders), common))  # bounded by BLOCK_WORDS
 
         @F.pandas_udf(f"array<struct<item_id: {item_kind}, score: double, first_word: long, last_word: long>>")
         def aligned(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -55,18 +56,54 @@ def test_against_alignment_of_every_pair(spark):
         t = rng.choice(tests)
         rows.append((i, f"{words(rng, 20)} {edited(rng, t, rng.random() * 0.6)} {words(rng, 20)}"))
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in dc.contaminated(table(spark, rows), items(spark, enumerate(tests))).collect()}
+    grams_of = {i: {n: set(dc.grams(dc.words_of(text), n)) for n in (3, 4)} for i, text in rows}
+    held = Counter(g for own in grams_of.values() for g in own[3])
     for i, text in rows:
         doc = dc.words_of(text)
         for j, t in enumerate(tests):
             item = dc.words_of(t)
             score = plain_align(item, doc)
-            seeded = set(dc.grams(item)) & set(dc.grams(doc))
-            if score >= dc.MIN_SCORE and seeded:
+            long = set(dc.grams(item)) & grams_of[i][4]
+            short = set(dc.grams(item, 3)) & grams_of[i][3] if len(item) < dc.SHORT_ITEM else set()
+            if score >= dc.MIN_SCORE and (long or len(short) > 1 or any(held[g] <= dc.RARE_FLOOR for g in short)):
                 assert got[i, j] == pytest.approx(score)
             else:
                 assert (i, j) not in got
 
 
+def test_a_common_seed_still_leads_to_copies(spark):
+    rng = random.Random(12)
+    own = [f"w{i}" for i in range(16)]
+    copy = " ".join(w if i < 4 or i % 3 != 1 else "zz" for i, w in enumerate(own))  # four words together, then two at most
+    rows = [(0, f"{words(rng, 30)} {copy} {words(rng, 30)}")]
+    rows += [(i, f"{words(rng, 30)} {' '.join(own[:4])} {words(rng, 30)}") for i in range(1, 80)]
+    found = [(r["doc_id"], r["item_id"]) for r in dc.contaminated(table(spark, rows), items(spark, [(5, " ".join(own))])).collect()]
+    assert found == [(0, 5)]
+
+
+def test_short_items_are_found_by_three_words(spark):
+    rng = random.Random(13)
+    own = [f"w{i}" for i in range(15)]
+    copy = " ".join("zz" if i % 4 == 3 else w for i, w in enumerate(own))
+    rows = [(0, f"{words(rng, 30)} {copy} {words(rng, 30)}"), (1, words(rng, 60))]
+    found = [r["doc_id"] for r in dc.contaminated(table(spark, rows), items(spark, [(5, " ".join(own))])).collect()]
+    assert found == [0]
+
+
+@pytest.mark.parametrize(("size", "most_lost"), [(8, 0.05), (12, 0.01), (16, 0.001), (27, 0.001), (28, 0.005), (60, 0.001)])
+def test_edited_copies_rarely_lack_a_seed(size, most_lost):
+    """Of random copies that score enough, nearly all hold a seed; items of eight words lose the most."""
+    rng = random.Random(size)
+    own, kept, lost = [f"w{i}" for i in range(size)], 0, 0
+    for _ in range(1500):
+        share = rng.uniform(0.1, 0.4)
+        copy = ["zz" if rng.random() < share else w for w in own]
+        if plain_align(own, copy) >= dc.MIN_SCORE:
+            kept += 1
+            lost += not any(dc.seeds(own) & set(dc.grams(copy, n)) for n in (3, 4))
+    assert kept > 300 and lost <= most_lost * kept
+
+
 def test_blocks_give_the_same(spark):
     rng = random.Random(9)
     tests = [words(rng, 20) for _ in range(7)]
