@@ -109,8 +109,10 @@ def swapped_answer_pairs(
         F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text")).alias("t")).where("pair_id IS NOT NULL")
     whole = rows.groupBy("pair_id").agg(F.sort_array(F.collect_list("t")).alias("chosen"))
     whole = whole.withColumn("last", F.array_max(F.transform("chosen", lambda t, i: F.when(t["role"] == learned_role, i))))
+    # An id is never null here; saying so keeps the join from filtering one branch, which would move the turns twice.
+    before = F.coalesce(F.col("pair_id") - 1, F.lit(0))
     answers = whole.where("last IS NOT NULL").select(
-        (F.col("pair_id") - 1).alias("pair_id"), F.struct(F.get("chosen", F.col("last"))["text"].alias("text")).alias("other"))
+        before.alias("pair_id"), F.struct(F.get("chosen", F.col("last"))["text"].alias("text")).alias("other"))
     met = whole.join(answers, "pair_id", "left")
     own = F.get("chosen", F.col("last"))
     swapped = F.struct(own["turn"].alias("turn"), own["role"].alias("role"), F.col("other.text").alias("text"))

@@ -130,3 +130,10 @@ def test_swapped_pairs_of_an_empty_table_and_plan(spark):
     assert pairs.collect() == []
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_turns_of_swapped_pairs_move_once(spark):
+    rows = [(c, n, ["user", "assistant"][n], f"{c} {n}") for c in range(50) for n in range(2)]
+    pairs = chat.swapped_answer_pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert len(pairs.collect()) == 50
+    assert "ReusedExchange" in pairs._jdf.queryExecution().executedPlan().toString()
