@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asphalt import labels
+from asphalt.checks import views
 from asphalt.functions.dates import event_window
 from asphalt.functions.text import label_of, weather_bucket
 from asphalt.operators import cleaning, quality
@@ -89,3 +90,17 @@ def test_leaks_are_found(spark):
         quality.require(quality.leak_violations(df, train, test, 2019))
     with pytest.raises(quality.CheckFailed, match="target_in_features"):
         quality.require(quality.leak_violations(df, train, test, 2022, [*INFRA, "grave"]))
+
+
+def test_weather_bucket_is_computed_from_one_lowered_text(spark):
+    """Written out once per word, the code of a stage grew beyond what the JVM compiles."""
+    df = spark.createDataFrame([("Light SNOW / Rain",), ("Fair",), ("dust",), (None,)], "weather string")
+    found = df.select("weather", weather_bucket(F.col("weather")).alias("bucket"))
+    assert [r["bucket"] for r in found.collect()] == ["Snow", "Clear", "Other", "Other"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
+def test_orders_meet_customers_before_lines_and_parts_come_last(spark):
+    plan = views.load(spark, "/root/testdata/sf0.001", "incidents")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert [next(k for k in ("partkey", "orderkey", "custkey") if k in line) for line in joins] == ["partkey", "orderkey", "custkey"]
