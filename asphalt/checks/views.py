@@ -13,12 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from asphalt.schema import INFRA, RAW_COLUMNS, normal_name
 
-# Base rows with their flags; severity is planted: junctions raise it, signals lower it.
-_BASE = """
+_JOINED = """
 b AS (
   SELECT l.*, o.o_orderstatus, o.o_orderpriority, p.p_type, p.p_size, p.p_brand, p.p_name, c.c_nationkey
   FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
   JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {customer} c ON o.o_custkey = c.c_custkey),
+"""
+# The same rows as Spark joins them, in the order of the text: orders meet their customers before they meet the
+# lines, and the long names of parts come last, so lines move twice instead of three times and without names.
+_JOINED_ON_SPARK = """
+b AS (
+  SELECT l.*, o.o_orderstatus, o.o_orderpriority, p.p_type, p.p_size, p.p_brand, p.p_name, o.c_nationkey
+  FROM {lineitem} l JOIN (
+    SELECT o_orderkey, o_orderstatus, o_orderpriority, c_nationkey
+    FROM {orders} JOIN {customer} ON o_custkey = c_custkey) o ON l.l_orderkey = o.o_orderkey
+  JOIN {part} p ON l.l_partkey = p.p_partkey),
+"""
+# Base rows with their flags; severity is planted: junctions raise it, signals lower it.
+_BASE = _JOINED.rstrip() + """
 f AS (
   SELECT CONCAT('S', CAST(c_nationkey AS VARCHAR(4))) AS state, l_shipdate AS start_time,
     32.0E0 + (l_suppkey % 40) * 0.05E0 + (l_partkey % 7) * 0.002E0 AS start_lat,
@@ -114,7 +126,7 @@ def duckdb_clauses(*names: str) -> list[str]:
 
 def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     """A view as a DataFrame over the Parquet tables of a folder."""
-    clauses = ", ".join(VIEWS[view])
+    clauses = ", ".join(VIEWS[view]).replace(_JOINED.strip(), _JOINED_ON_SPARK.strip())
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in sorted(set(re.findall(r"\{(\w+)\}", clauses)))}
     return spark.sql(f"WITH {clauses} SELECT * FROM {view}", **tables)
 
