@@ -1,8 +1,8 @@
 """Odds ratios that stay finite under separation: logistic regression with the bias-reducing penalty.
 
 The penalty is half the logarithm of the information's determinant (Firth). Rows
-collapse to weighted patterns of their columns first. An iteration reads the
-patterns twice: once for likelihood, score and information at the coefficients,
+collapse to weighted patterns of their columns first, which are packed into
+blocks of numbers once. An iteration reads the blocks twice: once for likelihood, score and information at the coefficients,
 once for the leverages under that information. Each task leaves one row of sums,
 whose size depends on the number of columns alone.
 """
@@ -42,20 +42,32 @@ def patterns(rows: DataFrame, x: Column, label: str) -> DataFrame:
         F.count("*").cast("double").alias("n"), F.sum("label").alias("y"))
 
 
-def _summed(table: DataFrame, width: int, part) -> np.ndarray:
+def _blocks(table: DataFrame) -> DataFrame:
+    """Patterns (x, n, y) as the bytes of up to ``ROWS_AT_ONCE`` of them: no pass converts their values again."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                piece = batch.slice(at, ROWS_AT_ONCE)
+                columns = [piece.column(0).flatten(), piece.column(1), piece.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in columns], ["x", "n", "y"])
+
+    return table.select("x", "n", "y").mapInArrow(pack, "x binary, n binary, y binary")
+
+
+def _summed(blocks: DataFrame, width: int, part) -> np.ndarray:
     """Sum over all patterns of what ``part`` makes of a block (x, n, y): a vector."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                piece = batch.slice(at, ROWS_AT_ONCE)
-                x = piece.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                own = part(x, piece.column(1).to_numpy(zero_copy_only=False), piece.column(2).to_numpy(zero_copy_only=False))
+            for block in zip(*[batch.column(i) for i in range(3)]):
+                x, n, y = (np.frombuffer(c.as_buffer()) for c in block)
+                own = part(x.reshape(-1, width), n, y)
                 total = own if total is None else total + own
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["place", "value"])
 
-    partial = table.select("x", "n", "y").mapInArrow(sums, "place int, value double")
+    partial = blocks.mapInArrow(sums, "place int, value double")
     found = partial.groupBy("place").agg(F.sum("value").alias("value")).collect()  # columns squared at most
     out = np.zeros(max((r["place"] for r in found), default=-1) + 1)
     for r in found:
@@ -74,11 +86,11 @@ def fit(table: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) ->
     Steps are halved until the penalised likelihood no longer falls. Columns
     must not depend linearly on each other. An empty table is refused.
     """
-    table = materialise(table)
     first = table.select(F.size("x").alias("width")).first()
     if first is None:
         raise ValueError("no rows to fit")
     width = first["width"]
+    table = materialise(_blocks(table))
 
     def at(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """Penalised likelihood, score and information."""

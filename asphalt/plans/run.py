@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from asphalt import labels
 from asphalt.operators import (
-    cleaning, effects, exposure, metrics, models, profile, quality, recommend, validation, when, zones,
+    cleaning, effects, exposure, features, metrics, models, profile, quality, recommend, validation, when, zones,
 )
 from asphalt.plans.decide import recommended_zones, screen_plan
 from asphalt.schema import PREPARED_COLUMNS, ModelChoice, Thresholds
@@ -191,7 +191,7 @@ class Run:
         quality.require(quality.leak_violations(self.accidents, train, test, config.limits.test_from))
         rows = models.training_rows(train, config.model.place_history)
         try:
-            n_train = rows.count()
+            n_train = rows.agg(features.row_count(rows)).first()[0] or 0
             model = models.fit(rows, config.model)
             odds = effects.odds_ratios(rows) if config.odds_ratios and "quoi" in config.analyses else None
         finally:

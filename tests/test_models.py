@@ -212,3 +212,25 @@ def test_concordance_and_convergence(spark):
     assert {r["element"]: r["rank"] for r in ranks.where("method = 'z'").collect()} == {"a": 2.5, "b": 2.5, "c": 1.0}
     rho = {(r["method_a"], r["method_b"]): r["rho"] for r in effects.rank_convergence(ranks, ["x", "y", "z"]).collect()}
     assert rho[("x", "y")] == pytest.approx(1.0) and rho[("x", "z")] < 0
+
+
+def test_collapsed_rows_fit_as_the_rows_they_stand_for(spark, parts):
+    """Four copies of the training rows make no more rows for a fit, and the same model as one row each."""
+    train = parts[0].limit(600).persist()
+    copies = train.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("copy")
+    rows = models.training_rows(copies)
+    assert rows.count() == train.select(*rows.drop("_rows").columns).distinct().count() < 2400
+    assert features.expanded(rows).count() == 2400
+    plain, packed = features.Encoder.fit(copies, min_rows=4), features.Encoder.fit(rows, min_rows=4)
+    assert packed.fills == plain.fills and packed.sizes == plain.sizes and packed.modes == plain.modes
+    assert [packed.means[c] for c in plain.numeric] == pytest.approx([plain.means[c] for c in plain.numeric])
+    assert [packed.deviations[c] for c in plain.numeric] == pytest.approx([plain.deviations[c] for c in plain.numeric])
+    weights = [{r["grave"]: (r["n"], r["weight"]) for r in features.class_weights(d).collect()} for d in (copies, rows)]
+    assert weights[0] == weights[1]
+    choice = ModelChoice("logistic")
+    a, b = (models.fit(d, choice, plain).classifier.coefficients.toArray() for d in (copies, rows))
+    assert a == pytest.approx(b, abs=1e-3)
+    model = models.fit(rows, ModelChoice("tree"), plain)
+    effects_of = [
+        {r["element"]: r["delta"] for r in effects.adjusted_effects(model.prepare(d), model.score).collect()} for d in (copies, rows)]
+    assert effects_of[0] == pytest.approx(effects_of[1])
