@@ -455,12 +455,13 @@ def zone_history(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def encode_controls(spark: SparkSession, sf: str) -> DataFrame:
     """What the models see of the controls of every row, learnt on the training rows."""
-    train, test = split(spark, sf)
-    train = materialise(train.select("id", *NUMERIC_CONTROLS, *P.ENCODED))
+    train = materialise(features.collapsed(split(spark, sf)[0].select(*NUMERIC_CONTROLS, *P.ENCODED)))
     encoder = features.Encoder.fit(train, NUMERIC_CONTROLS, P.ENCODED, P.RARE_BELOW)
-    rows = encoder.transform(train.unionByName(test.select(*train.columns)))
+    dated = clean_table(spark, sf).where(F.col("year").isNotNull())  # training and test rows in one scan
+    rows = encoder.transform(dated.select("id", *NUMERIC_CONTROLS, *P.ENCODED))
     for c in encoder.used:
-        labels = encoder.labels(c).select(F.col("position").alias("_at"), F.col("label").alias(f"_label_{c}"))
+        labels = broadcast_if_small(
+            encoder.labels(c).select(F.col("position").alias("_at"), F.col("label").alias(f"_label_{c}")))
         rows = rows.join(labels, F.col(f"_k_{c}").cast("int") == F.col("_at"), "left").drop("_at")
     shown = [F.col(f"_label_{c}").alias(c) for c in encoder.used]
     return rounded(rows.select("id", *[F.col(f"_x_{c}").alias(c) for c in NUMERIC_CONTROLS], *shown))
@@ -698,11 +699,6 @@ def _fitted(spark: SparkSession, sf: str, algorithm: str, **params) -> tuple[mod
     return _fit(train, ModelChoice(algorithm, params)), test
 
 
-def _quality(spark: SparkSession, sf: str, algorithm: str, **params) -> DataFrame:
-    model, test = _fitted(spark, sf, algorithm, **params)
-    return metrics.reliability(metrics.evaluate(models.scored_rows(model, test)))
-
-
 def distinct_rows(test: DataFrame) -> DataFrame:
     """What a model reads of the test rows, equal rows as one: each is scored thirteen times."""
     return features.collapsed(test.select(*FEATURES))
@@ -712,6 +708,11 @@ def distinct_rows(test: DataFrame) -> DataFrame:
 def fit_logistic(spark: SparkSession, sf: str) -> DataFrame:
     return _quality(spark, sf, "logistic")
 
+def _quality(spark: SparkSession, sf: str, algorithm: str, **params) -> DataFrame:
+    model, test = _fitted(spark, sf, algorithm, **params)
+    return metrics.reliability(metrics.evaluate(models.scored_rows(model, test)))
+
+
 
 @query
 def fit_tree(spark: SparkSession, sf: str) -> DataFrame:
