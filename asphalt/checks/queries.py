@@ -126,7 +126,7 @@ def written_plan(spark: SparkSession, sf: str, table: DataFrame | None = None) -
 def scan_csv_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The raw table written as CSV to shared storage and scanned back."""
     with shared_folder(spark) as folder:
-        load_raw(spark, sf).write.option("header", True).csv(folder)
+        load_raw(spark, sf).write.option("header", True).option("compression", "gzip").csv(folder)
         df = cleaning.normalise_names(scan_csv(spark, folder))
         present = df.agg(*[F.count(c).alias(c) for c in df.columns])
         return materialise(profile.long_format(present, df.columns, "column", "n_present"))
