@@ -38,7 +38,9 @@ SKETCH = 64
 SHARED = 0.6
 PIVOTS = 16  # of a long list
 COMMON = 64  # a hash that more texts share is left to the listing by all shingles
-ARRAY_BYTES = 2 << 20  # counted by the column type: arrays of numbers take some fifty times as much
+# Broadcasts pass through the driver, which builds them, so they are kept well below what its heap has left.
+KEY_BYTES = 2 << 20
+ARRAY_BYTES = 256 << 10  # counted by the column type: arrays of numbers take some fifty times as much
 LOOSE = 0.2  # sketches may look less alike than the texts by so much
 SEED = 42
 _HALF = 1 << 63
@@ -107,7 +109,7 @@ def listed(sketches: DataFrame, similarity: float, sampled: bool = True) -> Data
 def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """Lists (token, key) that bring together any two texts that may be alike."""
     first = materialise(listed(sketches, similarity))
-    crowded = broadcast_if_small(materialise(first.where(F.col("members") > COMMON).select("key").distinct()))
+    crowded = broadcast_if_small(materialise(first.where(F.col("members") > COMMON).select("key").distinct()), KEY_BYTES)
     short = first.where(F.col("members") <= COMMON).select("token", "key")
     whole = docs.join(crowded, "key", "left_semi").select("key", shingles_column(F.col("text")).cast("array<long>").alias("all"))
     whole = materialise(whole.groupBy("key").agg(F.first("all").alias("tokens"))).withColumn("size", F.size("tokens"))
@@ -117,7 +119,7 @@ def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> Data
 def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """Pairs that their sizes and sketches don't rule out: (a, b, likely)."""
     pairs = materialise(pairs.distinct())
-    asked = broadcast_if_small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
+    asked = broadcast_if_small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), KEY_BYTES)
     own = broadcast_if_small(materialise(sketches.join(asked, "key", "left_semi").select("key", "size", "tokens")), ARRAY_BYTES)
     a, b = (own.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     sizes = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-9
@@ -133,7 +135,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
     """Pairs (a, b) of text keys that share ``similarity`` of all their shingles; ``docs`` has (key, text)."""
     pairs = materialise(pairs.select("a", "b", "whole"))
     open_pairs = pairs.where("NOT whole").select("a", "b")
-    wanted = broadcast_if_small(materialise(open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()))
+    wanted = broadcast_if_small(materialise(open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), KEY_BYTES)
     texts = docs.join(wanted, "key", "left_semi").select("key", shingles_column(F.col("text")).alias("all"))
     sets = broadcast_if_small(materialise(texts.groupBy("key").agg(F.first("all").alias("all"))), ARRAY_BYTES)
     a, b = (sets.select(F.col("key").alias(c), F.col("all").alias(f"all_{c}")) for c in "ab")

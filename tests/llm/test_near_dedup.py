@@ -184,3 +184,12 @@ def test_edited_copies_of_awkward_and_empty_tables(spark):
     got = near_dedup.near_duplicates(awkward(spark), similarity=0.8)
     assert got.count() == awkward(spark).count() and got.columns == ["doc_id", "fingerprint", "component_id", "links"]
     assert near_dedup.near_duplicates(empty(spark), similarity=0.8).collect() == []
+
+
+def test_many_sketches_are_not_broadcast(spark):
+    """20,000 sketches of 64 numbers are some ten megabytes, which the driver would have to build."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("key"), F.lit(64).alias("size"), F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.xxhash64("id", i)).alias("tokens"))
+    pairs = spark.range(19_999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    plan = edited_copies._candidates(pairs, rows, 0.8)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in plan, plan[:500]
