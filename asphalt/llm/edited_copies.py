@@ -14,8 +14,17 @@ A sampled sketch has to allow for chance, so it takes more of the rarest than
 the similarity alone would ask for. Texts that come to common hashes that way
 are listed again by all their shingles, where no such allowance is needed.
 
-A list isn't paired. Its members are compared with the likeliest of a few
-pivots first, the same few for lists with the same members; links merge, and then only members that still are in different groups meet.
+A list isn't paired. Members of a short one are compared with the likeliest of a
+few pivots first, the same few for lists with the same members; links merge, and
+then only members that still are in different groups meet.
+
+A long list is a crowd around common shingles, where most pairs are somewhat
+alike. Its members are compared with each of a few pivots on all shingles. Then they
+are listed again under what tells them from the most central pivot, their rarest
+differences first: texts of which one isn't alike to the pivot can only be alike
+if they differ from it in the same way to a known extent. That loses no pair,
+and what is just theirs keeps most texts out of these lists.
+
 Candidates whose sketches disagree too much go; the others are verified on all
 shingles. Shingles are compared by 32-bit hashes, two of which in a pair of
 400 shingles are equal by chance once in 25,000 pairs.
@@ -36,7 +45,8 @@ WORDS = 5
 SKETCH = 64
 # A sampled sketch shares less than this part of itself with that of a text alike to 0.8 about once in 20,000 pairs.
 SHARED = 0.6
-PIVOTS = 16  # of a long list
+PIVOTS = 16  # of a list with more members
+CENTRES = 4  # pivots of a long list, of which one is the centre
 COMMON = 64  # a hash that more texts share is left to the listing by all shingles
 # Broadcasts pass through the driver, which builds them, so they are kept well below what its heap has left.
 KEY_BYTES = 2 << 20
@@ -106,14 +116,101 @@ def listed(sketches: DataFrame, similarity: float, sampled: bool = True) -> Data
     return rarest.select("c.token", "c.members", "key")
 
 
-def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Lists (token, key) that bring together any two texts that may be alike."""
+def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lists (token, key) that bring together any two texts that may be alike, short ones and long ones.
+
+    The third table holds all shingles (key, size, tokens) of the texts in long lists, and of some others.
+    """
     first = materialise(listed(sketches, similarity))
     crowded = broadcast_if_small(materialise(first.where(F.col("members") > COMMON).select("key").distinct()), KEY_BYTES)
     short = first.where(F.col("members") <= COMMON).select("token", "key")
     whole = docs.join(crowded, "key", "left_semi").select("key", shingles_column(F.col("text")).cast("array<long>").alias("all"))
     whole = materialise(whole.groupBy("key").agg(F.first("all").alias("tokens"))).withColumn("size", F.size("tokens"))
-    return short.unionByName(listed(whole, similarity, sampled=False).select("token", "key"))
+    again = materialise(listed(whole, similarity, sampled=False).select("token", "key"))
+    lengths = materialise(again.groupBy("token").agg(F.count("*").alias("members")).where("members > 1"))
+    met = again.join(lengths, "token")
+    few = met.where(F.col("members") <= PIVOTS).select("token", "key")
+    return short.unionByName(few), materialise(met.where(F.col("members") > PIVOTS).select("token", "key")), whole
+
+
+def _pivots(lists: DataFrame) -> DataFrame:
+    """Some members of every list, the same for lists with the same members: (token, pivots)."""
+    seeded = [F.min(F.struct(F.xxhash64("key", F.lit(i)), F.col("key").alias("key")))["key"] for i in range(PIVOTS)]
+    stars = lists.groupBy("token").agg(F.count("*").alias("members"), F.array_distinct(F.array(*seeded)).alias("pivots")).where("members > 1")
+    return stars.select("token", F.when(F.col("members") > PIVOTS, F.col("pivots")).otherwise(F.slice("pivots", 1, 1)).alias("pivots"))
+
+
+def _beside_pivots(homes: DataFrame, whole: DataFrame) -> DataFrame:
+    """All shingles of pivots and members (pivot, key): (pivot, key, size, tokens, pivot_size, pivot_tokens)."""
+    homes = materialise(homes.where("pivot != key").distinct())
+    asked = broadcast_if_small(materialise(homes.select("pivot").distinct()), KEY_BYTES)
+    of_pivots = materialise(whole.join(asked, F.col("key") == F.col("pivot")).select(
+        "pivot", F.col("size").alias("pivot_size"), F.col("tokens").alias("pivot_tokens")))
+    return homes.join(whole, "key").join(broadcast_if_small(of_pivots, ARRAY_BYTES), "pivot")
+
+
+def _alike(shared: Column, size_a: Column, size_b: Column, similarity: float) -> Column:
+    return shared * (1 + similarity) >= (size_a + size_b) * similarity - 1e-9
+
+
+def _long_stars(lists: DataFrame, whole: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of long lists' members with their pivots, and the most central pivot of each member's lists (pivot, key)."""
+    stars = materialise(_pivots(lists).select("token", F.slice("pivots", 1, CENTRES).alias("pivots")))
+    compared = _beside_pivots(lists.join(stars, "token").select(F.explode("pivots").alias("pivot"), "key"), whole)
+    shared = F.size(F.array_intersect("tokens", "pivot_tokens"))
+    compared = materialise(compared.select("pivot", "key", "size", "pivot_size", shared.alias("shared")))
+    found = compared.where(_alike(F.col("shared"), F.col("size"), F.col("pivot_size"), similarity))
+    central = compared.groupBy("pivot").agg(F.avg(F.col("shared") / (F.col("size") + F.col("pivot_size"))).alias("central"))
+    best = stars.select("token", F.explode("pivots").alias("pivot")).join(central, "pivot").groupBy("token").agg(
+        F.max_by("pivot", F.struct("central", "pivot")).alias("pivot"))
+    return found.select(F.col("pivot").alias("a"), F.col("key").alias("b")), lists.join(best, "token").select("pivot", "key")
+
+
+def _apart_in_long_lists(homes: DataFrame, whole: DataFrame, rooted: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between different groups of a pivot's members; ``rooted`` has their groups (key, root).
+
+    Two texts differ by what one of their differences from the pivot has and the
+    other hasn't. If one of them isn't alike to the pivot, they can be alike only
+    if the differences share something: half of what both sizes exceed the
+    allowed difference by. So differences are listed under their rarest tokens
+    instead of texts, and a meeting counts only if what follows the token in
+    both is enough.
+    """
+    part = (1 - similarity) / (1 + similarity)  # of both sizes is the largest difference of alike texts
+    split = rooted.join(homes.distinct(), "key").groupBy("pivot").agg(F.count_distinct("root").alias("groups")).where("groups > 1")
+    homes = homes.distinct().join(split.select("pivot"), "pivot", "left_semi")
+    beside = _beside_pivots(homes, whole).join(rooted, "key")
+    other = F.concat(F.array_except("tokens", "pivot_tokens"), F.array_except("pivot_tokens", "tokens"))
+    unlike = materialise(beside.select("pivot", "key", "root", "size", other.alias("other")).withColumn("of", F.size("other")))
+    least = unlike.groupBy("pivot").agg(F.min("of").alias("least"))
+    entries = unlike.select("pivot", "key", F.explode("other").alias("token"))
+    counts = entries.groupBy("pivot", "token").agg(F.count("*").alias("members")).where("members > 1")
+    common = entries.join(counts, ["pivot", "token"]).groupBy("pivot", "key").agg(
+        F.sort_array(F.collect_list(F.struct("members", "token"))).alias("common"))  # of one text
+    told = unlike.drop("other").join(common, ["pivot", "key"]).join(least, "pivot")
+    allowed = F.col("size") * part * (1 + 1 / similarity)
+    need = F.greatest(F.lit(1), F.ceil((F.col("of") + F.col("least") - allowed) / 2 - 1e-9).cast("int"))
+    places = F.size("common") - need + 1
+    rarest = told.where(places > 0).select(
+        "pivot", "key", "root", "size", "of", F.size("common").alias("shared"), F.posexplode(F.slice("common", F.lit(1), places)).alias("place", "c"))
+    lists = materialise(rarest.select("pivot", "c.token", "key", "root", "size", "of", (F.col("shared") - F.col("place")).alias("rest")))
+    apart = _outside(lists, ["pivot", "token"])
+    x = apart.select("pivot", "token", *[F.col(c).alias(f"x_{c}") for c in ("key", "root", "size", "of", "rest", "outside")])
+    sizes = F.least("x_size", "size") >= F.greatest("x_size", "size") * similarity - 1e-9
+    enough = 2 * F.least("x_rest", "rest") >= F.col("x_of") + F.col("of") - (F.col("x_size") + F.col("size")) * part - 1e-9
+    once = ~F.col("outside") | (F.col("x_key") < F.col("key"))
+    met = x.where("x_outside").join(apart, ["pivot", "token"]).where((F.col("x_root") != F.col("root")) & once & sizes & enough)
+    pairs = materialise(met.select(F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b")).distinct())
+    a, b = (whole.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
+    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    return pairs.join(a, "a").join(b, "b").where(_alike(shared, F.col("size_a"), F.col("size_b"), similarity)).select("a", "b")
+
+
+def _outside(rooted: DataFrame, by: list[str]) -> DataFrame:
+    """Members of lists that have several groups, and whether they are outside the list's largest one."""
+    groups = rooted.groupBy(*by, "root").agg(F.count("*").alias("n")).groupBy(*by).agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
+    return materialise(rooted.join(groups, by).withColumn("outside", F.col("root") != F.col("largest")).drop("largest", "groups"))
 
 
 def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
@@ -149,15 +246,13 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
     ``sketches`` has one row a text (key, value, size, tokens), ``docs`` the
     texts (key, text), repeated ones too.
     """
-    lists = materialise(_all_listed(sketches, docs, similarity))
-    seeded = [F.min(F.struct(F.xxhash64("key", F.lit(i)), F.col("key").alias("key")))["key"] for i in range(PIVOTS)]
-    stars = lists.groupBy("token").agg(F.count("*").alias("members"), F.array_distinct(F.array(*seeded)).alias("pivots")).where("members > 1")
-    stars = stars.select("token", F.when(F.col("members") > PIVOTS, F.col("pivots")).otherwise(F.slice("pivots", 1, 1)).alias("pivots"))
-    lists = materialise(lists.join(stars, "token"))
+    short, long, whole = _all_listed(sketches, docs, similarity)
+    lists = materialise(short.join(_pivots(short), "token"))
     starred = lists.select(F.explode("pivots").alias("a"), F.col("key").alias("b")).where("a != b")
     likeliest = _candidates(starred, sketches, similarity).groupBy("b").agg(
         F.max_by(F.struct("a", "whole"), F.struct("likely", "a")).alias("best")).select("best.a", "b", "best.whole")
-    found = materialise(_verified(likeliest, docs, similarity))
+    found, homes = _long_stars(long, whole, similarity)
+    found = materialise(_verified(likeliest, docs, similarity).unionByName(found))
 
     values = sketches.select("key", "value")
 
@@ -168,11 +263,12 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
     merged = materialise(links.unionByName(of_values(found)).distinct())
     roots = components(merged, "a", "b").withColumnRenamed("node", "value")
     rooted = values.join(roots, "value", "left").select("key", F.coalesce("root", "value").alias("root"))
-    rooted = materialise(lists.select("token", "key").join(rooted, "key"))
-    groups = rooted.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(
-        F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
     # Members of a list's largest group meet those outside it, and these each other where their groups differ.
-    split = materialise(rooted.join(groups, "token").select("token", "key", "root", "largest"))
-    apart = split.where("root != largest").select("token", F.col("key").alias("x"), F.col("root").alias("x_root"))
-    rest = apart.join(split, "token").where("x_root != root").select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b"))
-    return merged.unionByName(of_values(_verified(_candidates(rest, sketches, similarity), docs, similarity)))
+    split = _outside(lists.select("token", "key").join(sketches.select("key", "size"), "key").join(rooted, "key"), ["token"])
+    x = split.where("outside").select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "root", "size")])
+    sizes = F.least("x_size", "size") >= F.greatest("x_size", "size") * similarity - 1e-9
+    once = ~F.col("outside") | (F.col("x_key") < F.col("key"))
+    rest = x.join(split, "token").where((F.col("x_root") != F.col("root")) & once & sizes).select(
+        F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b"))
+    rest = _verified(_candidates(rest, sketches, similarity), docs, similarity)
+    return merged.unionByName(of_values(rest.unionByName(_apart_in_long_lists(homes, whole, rooted, similarity))))

@@ -172,6 +172,39 @@ def test_large_group_of_copies_is_not_paired(spark):
     assert found.where("component_id = 0").count() == 500
 
 
+def test_a_crowd_of_texts_that_are_just_not_alike_is_not_paired(spark, monkeypatch):
+    """Copies that differ in about a fifth of their shingles from what they come from, and in different ones from each other."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(2):
+        own = words(rng, 120).split()
+        for _ in range(250):
+            copy = list(own)
+            for _ in range(rng.choice([1, 3, 5, 7])):
+                copy[rng.randrange(len(copy))] = words(rng, 2).replace(" ", "")
+            rows.append(" ".join(copy[rng.randrange(12):len(copy) - rng.randrange(12)]))
+    sets = [{tuple(p[k:k + 5]) for k in range(len(p) - 4)} for p in map(str.split, rows)]
+    values, root = [plain_simhash(t) for t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            near = (values[i] ^ values[j]).bit_count() <= 2 or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            if near and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    made = []
+
+    def counted(df, kept=edited_copies.materialise):
+        if df.columns == ["a", "b"]:
+            made.append(kept(df).count())
+        return kept(df)
+
+    monkeypatch.setattr(edited_copies, "materialise", counted)
+    found = near_dedup.near_duplicates(table(spark, list(enumerate(rows))), similarity=0.8)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(root))
+    assert 100 < len(set(root)) < 400
+    assert made and max(made) < 20 * len(rows), made
+
+
 def test_shingle_hashes_tell_runs_apart():
     a, b = near_dedup.words_of("a b c d e f"), near_dedup.words_of("A b  c d\ne f")
     assert (edited_copies.shingle_hashes(a) == edited_copies.shingle_hashes(b)).all() and len(edited_copies.shingle_hashes(a)) == 2
