@@ -17,6 +17,19 @@ from asphalt.sources.accidents import is_prepared, read_prepared, scan_csv
 from asphalt.sources.results import write_prepared
 
 
+def keep_sample(accidents: DataFrame, folder: str, cap: int | None = None) -> None:
+    """Write ``accidents_sample``, up to ``cap`` rows of each state, unless there is one.
+
+    An existing sample is kept, so that a model trained on it stays reproducible.
+    """
+    if is_prepared(accidents.sparkSession, folder, "accidents_sample"):
+        return
+    key = [c for c in ("id", "start_time", "start_lat", "start_lng") if c in accidents.columns]
+    sample = accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS]))
+    sample = sample if cap is None else features.stratified_cap(sample, cap, key)
+    write_prepared(sample.select(*PREPARED_COLUMNS), folder, "accidents_sample")
+
+
 def prepare(raw: DataFrame, folder: str, cap: int | None = None, limits: Thresholds = Thresholds()) -> None:
     """Write the clean table, sample, zones, yearly zones and time tables of a raw accident table.
 
@@ -28,12 +41,7 @@ def prepare(raw: DataFrame, folder: str, cap: int | None = None, limits: Thresho
     accidents = read_prepared(raw.sparkSession, folder, "accidents", cleaned.schema)
     placed = accidents.where(F.col("state") != "")
 
-    # An existing sample is kept, so that a model trained on it stays reproducible.
-    if not is_prepared(raw.sparkSession, folder, "accidents_sample"):
-        key = [c for c in ("id", "start_time", "start_lat", "start_lng") if c in accidents.columns]
-        sample = accidents.select(*dict.fromkeys([*key, *PREPARED_COLUMNS]))
-        sample = sample if cap is None else features.stratified_cap(sample, cap, key)
-        write_prepared(sample.select(*PREPARED_COLUMNS), folder, "accidents_sample")
+    keep_sample(accidents, folder, cap)
 
     zone_columns = ["state", "cell", "n_accidents", "avg_severity", "charge"]
     table = zones.zone_table(placed, limits.resolution)

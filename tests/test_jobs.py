@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from asphalt.checks import views
+from asphalt.checks import queries, views
 from asphalt.operators import features, models, quality
 from asphalt.plans.prepare import prepare
 from asphalt.plans.run import RunConfig, load_config, run
@@ -49,6 +49,20 @@ def test_prepare_writes_readable_tables(spark, csv, tmp_path):
     assert read_prepared(spark, folder, "accidents_sample").count() == before
 
 
+def test_sinks_clean_the_raw_table_once(spark, monkeypatch):
+    written = []
+
+    def counted(raw, folder, cap=None, write=queries.prepare):
+        written.append(folder)
+        write(raw, folder, cap)
+
+    monkeypatch.setattr(queries, "prepare", counted)
+    found = {r["sink"]: r["n"] for r in queries.sinks(spark, SMALL).collect()}
+    rows = queries.clean_table(spark, SMALL).count()
+    assert found["prepared"] == found["summary"] == rows and found["sample"] > 1000
+    assert len(written) == 1
+
+
 def config(csv, folder, **switches):
     return {
         "donnees": {"csv": csv, "territoire": "S3", "perimetre_entrainement": "us"},
