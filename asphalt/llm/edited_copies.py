@@ -256,13 +256,13 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
 
     values = sketches.select("key", "value")
 
-    def of_values(pairs: DataFrame) -> DataFrame:
-        a, b = (values.select(F.col("key").alias(c), F.col("value").alias(f"value_{c}")) for c in "ab")
-        return pairs.join(a, "a").join(b, "b").select(F.col("value_a").alias("a"), F.col("value_b").alias("b"))
+    def renamed(pairs: DataFrame, names: DataFrame, name: str) -> DataFrame:
+        a, b = (names.select(F.col("key").alias(c), F.col(name).alias(f"name_{c}")) for c in "ab")
+        return pairs.join(a, "a").join(b, "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
 
-    merged = materialise(links.unionByName(of_values(found)).distinct())
-    roots = components(merged, "a", "b").withColumnRenamed("node", "value")
-    rooted = values.join(roots, "value", "left").select("key", F.coalesce("root", "value").alias("root"))
+    roots = components(links.unionByName(renamed(found, values, "value")), "a", "b")
+    rooted = materialise(values.join(roots.withColumnRenamed("node", "value"), "value", "left").select(
+        "key", F.coalesce("root", "value").alias("root")))
     # Members of a list's largest group meet those outside it, and these each other where their groups differ.
     split = _outside(lists.select("token", "key").join(sketches.select("key", "size"), "key").join(rooted, "key"), ["token"])
     x = split.where("outside").select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "root", "size")])
@@ -271,4 +271,5 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
     rest = x.join(split, "token").where((F.col("x_root") != F.col("root")) & once & sizes).select(
         F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b"))
     rest = _verified(_candidates(rest, sketches, similarity), docs, similarity)
-    return merged.unionByName(of_values(rest.unionByName(_apart_in_long_lists(homes, whole, rooted, similarity))))
+    rest = rest.unionByName(_apart_in_long_lists(homes, whole, rooted, similarity))
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(renamed(rest, rooted, "root"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from asphalt.llm.batches import text_batches
 from asphalt.llm.components import components
 from asphalt.llm.edited_copies import edited_links, shingle_hashes, sketch_of
-from asphalt.session import materialise
+from asphalt.session import materialise, shuffles_dropped
 
 MAX_BITS = 2
 SHARED_BYTES = 8 - MAX_BITS
@@ -148,17 +148,18 @@ def near_duplicates(
     """
     text_batches(docs.sparkSession)
     text = F.col(text_column)
-    if similarity is None:
-        rows = materialise(docs.select(F.col(id_column).alias("doc_id"), fingerprint_column(text, words).alias("value")))
-    else:
-        signed = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("key"), signature_column(text, words).alias("s"))
-        rows = materialise(signed.select("doc_id", "key", "s.*"))
-    values = materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
-    links = linked(values.select("value"), "value", short_list)
-    if similarity is not None:
-        sketches = materialise(rows.where("size > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("value", "size", "tokens")]))
-        links = edited_links(sketches, docs.select(F.xxhash64(text).alias("key"), text.alias("text")), links, similarity)
-    roots = components(links, "a", "b")
+    with shuffles_dropped(docs.sparkSession):
+        if similarity is None:
+            rows = materialise(docs.select(F.col(id_column).alias("doc_id"), fingerprint_column(text, words).alias("value")))
+        else:
+            signed = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("key"), signature_column(text, words).alias("s"))
+            rows = materialise(signed.select("doc_id", "key", "s.*"))
+        values = materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
+        links = linked(values.select("value"), "value", short_list)
+        if similarity is not None:
+            sketches = materialise(rows.where("size > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("value", "size", "tokens")]))
+            links = edited_links(sketches, docs.select(F.xxhash64(text).alias("key"), text.alias("text")), links, similarity)
+        roots = components(links, "a", "b")
     placed = values.join(roots.withColumnRenamed("node", "value"), "value", "left").withColumn(
         "root", F.coalesce("root", "value"))
     groups = placed.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("rows").alias("size"))

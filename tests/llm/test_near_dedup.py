@@ -1,4 +1,6 @@
 import random
+import sys
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from asphalt.llm import edited_copies, near_dedup
 from asphalt.llm.components import components
+from asphalt.session import materialise
 from tests.llm.frames import awkward, collected, empty, table, words
 
 
@@ -226,3 +229,44 @@ def test_many_sketches_are_not_broadcast(spark):
     pairs = spark.range(19_999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     plan = edited_copies._candidates(pairs, rows, 0.8)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in plan, plan[:500]
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    kept, module = [], sys.modules[components.__module__]
+    monkeypatch.setattr(module, "materialise", lambda df: kept.append(df) or materialise(df))
+    stars = [(1, n) for n in range(2, 300)] + [(1000, n) for n in range(1001, 1100)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(stars, "a long, b long"), "a", "b").collect()}
+    assert got == {n: root for root, n in stars}
+    assert len(kept) == 1
+
+
+def test_random_links_against_union_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(sys.modules[components.__module__], "ROWS_PER_TASK", 50)
+    rng = random.Random(6)
+    links = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(420)]
+    links += [(i, i + 1) for i in range(500, 700)] + [(900, i) for i in range(800, 1000)] + [(950, 2000), (7, 7)]
+    least = {n: n for link in links for n in link}
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    found = components(spark.createDataFrame(links, "a long, b long"), "a", "b")
+    assert Counter(tuple(r) for r in found.collect()) == Counter((n, r) for n, r in least.items() if n != r)
+
+
+def test_near_copies_leave_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = files.getAllFiles()
+        return {name for i in range(names.size()) if (name := names.apply(i).getName()).startswith("shuffle_")}
+
+    before, setting = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    result = near_dedup.near_duplicates(awkward(spark), similarity=0.8)
+    for _ in range(40):  # files go in the background
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.25)
+    assert not left
+    assert spark.conf.get(setting, None) == was
+    assert result.count() == awkward(spark).count()
