@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asphalt.llm.components import components
-from asphalt.session import broadcast_if_small, materialise
+from asphalt.session import broadcast_if_small, materialise, read_by, scan_tasks
 
 WORDS = 5
 SKETCH = 64
@@ -116,21 +116,21 @@ def listed(sketches: DataFrame, similarity: float, sampled: bool = True) -> Data
     return rarest.select("c.token", "c.members", "key")
 
 
-def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _all_listed(sketches: DataFrame, docs: DataFrame, similarity: float, tasks: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lists (token, key) that bring together any two texts that may be alike, short ones and long ones.
 
     The third table holds all shingles (key, size, tokens) of the texts in long lists, and of some others.
     """
-    first = materialise(listed(sketches, similarity))
-    crowded = broadcast_if_small(materialise(first.where(F.col("members") > COMMON).select("key").distinct()), KEY_BYTES)
+    first = read_by(materialise(listed(sketches, similarity)), tasks)
+    crowded = broadcast_if_small(read_by(materialise(first.where(F.col("members") > COMMON).select("key").distinct()), tasks), KEY_BYTES)
     short = first.where(F.col("members") <= COMMON).select("token", "key")
     whole = docs.join(crowded, "key", "left_semi").select("key", shingles_column(F.col("text")).cast("array<long>").alias("all"))
-    whole = materialise(whole.groupBy("key").agg(F.first("all").alias("tokens"))).withColumn("size", F.size("tokens"))
-    again = materialise(listed(whole, similarity, sampled=False).select("token", "key"))
-    lengths = materialise(again.groupBy("token").agg(F.count("*").alias("members")).where("members > 1"))
+    whole = read_by(materialise(whole.groupBy("key").agg(F.first("all").alias("tokens"))), tasks).withColumn("size", F.size("tokens"))
+    again = read_by(materialise(listed(whole, similarity, sampled=False).select("token", "key")), tasks)
+    lengths = read_by(materialise(again.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")), tasks)
     met = again.join(lengths, "token")
     few = met.where(F.col("members") <= PIVOTS).select("token", "key")
-    return short.unionByName(few), materialise(met.where(F.col("members") > PIVOTS).select("token", "key")), whole
+    return short.unionByName(few), read_by(materialise(met.where(F.col("members") > PIVOTS).select("token", "key")), tasks), whole
 
 
 def _pivots(lists: DataFrame) -> DataFrame:
@@ -140,12 +140,12 @@ def _pivots(lists: DataFrame) -> DataFrame:
     return stars.select("token", F.when(F.col("members") > PIVOTS, F.col("pivots")).otherwise(F.slice("pivots", 1, 1)).alias("pivots"))
 
 
-def _beside_pivots(homes: DataFrame, whole: DataFrame) -> DataFrame:
+def _beside_pivots(homes: DataFrame, whole: DataFrame, tasks: int | None = None) -> DataFrame:
     """All shingles of pivots and members (pivot, key): (pivot, key, size, tokens, pivot_size, pivot_tokens)."""
-    homes = materialise(homes.where("pivot != key").distinct())
-    asked = broadcast_if_small(materialise(homes.select("pivot").distinct()), KEY_BYTES)
-    of_pivots = materialise(whole.join(asked, F.col("key") == F.col("pivot")).select(
-        "pivot", F.col("size").alias("pivot_size"), F.col("tokens").alias("pivot_tokens")))
+    homes = read_by(materialise(homes.where("pivot != key").distinct()), tasks)
+    asked = broadcast_if_small(read_by(materialise(homes.select("pivot").distinct()), tasks), KEY_BYTES)
+    of_pivots = read_by(materialise(whole.join(asked, F.col("key") == F.col("pivot")).select(
+        "pivot", F.col("size").alias("pivot_size"), F.col("tokens").alias("pivot_tokens"))), tasks)
     return homes.join(whole, "key").join(broadcast_if_small(of_pivots, ARRAY_BYTES), "pivot")
 
 
@@ -153,12 +153,12 @@ def _alike(shared: Column, size_a: Column, size_b: Column, similarity: float) ->
     return shared * (1 + similarity) >= (size_a + size_b) * similarity - 1e-9
 
 
-def _long_stars(lists: DataFrame, whole: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+def _long_stars(lists: DataFrame, whole: DataFrame, similarity: float, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of long lists' members with their pivots, and the most central pivot of each member's lists (pivot, key)."""
-    stars = materialise(_pivots(lists).select("token", F.slice("pivots", 1, CENTRES).alias("pivots")))
-    compared = _beside_pivots(lists.join(stars, "token").select(F.explode("pivots").alias("pivot"), "key"), whole)
+    stars = read_by(materialise(_pivots(lists).select("token", F.slice("pivots", 1, CENTRES).alias("pivots"))), tasks)
+    compared = _beside_pivots(lists.join(stars, "token").select(F.explode("pivots").alias("pivot"), "key"), whole, tasks)
     shared = F.size(F.array_intersect("tokens", "pivot_tokens"))
-    compared = materialise(compared.select("pivot", "key", "size", "pivot_size", shared.alias("shared")))
+    compared = read_by(materialise(compared.select("pivot", "key", "size", "pivot_size", shared.alias("shared"))), tasks)
     found = compared.where(_alike(F.col("shared"), F.col("size"), F.col("pivot_size"), similarity))
     central = compared.groupBy("pivot").agg(F.avg(F.col("shared") / (F.col("size") + F.col("pivot_size"))).alias("central"))
     best = stars.select("token", F.explode("pivots").alias("pivot")).join(central, "pivot").groupBy("token").agg(
@@ -166,7 +166,7 @@ def _long_stars(lists: DataFrame, whole: DataFrame, similarity: float) -> tuple[
     return found.select(F.col("pivot").alias("a"), F.col("key").alias("b")), lists.join(best, "token").select("pivot", "key")
 
 
-def _apart_in_long_lists(homes: DataFrame, whole: DataFrame, rooted: DataFrame, similarity: float) -> DataFrame:
+def _apart_in_long_lists(homes: DataFrame, whole: DataFrame, rooted: DataFrame, similarity: float, tasks: int | None = None) -> DataFrame:
     """Links (a, b) between different groups of a pivot's members; ``rooted`` has their groups (key, root).
 
     Two texts differ by what one of their differences from the pivot has and the
@@ -179,9 +179,9 @@ def _apart_in_long_lists(homes: DataFrame, whole: DataFrame, rooted: DataFrame,
     part = (1 - similarity) / (1 + similarity)  # of both sizes is the largest difference of alike texts
     split = rooted.join(homes.distinct(), "key").groupBy("pivot").agg(F.count_distinct("root").alias("groups")).where("groups > 1")
     homes = homes.distinct().join(split.select("pivot"), "pivot", "left_semi")
-    beside = _beside_pivots(homes, whole).join(rooted, "key")
+    beside = _beside_pivots(homes, whole, tasks).join(rooted, "key")
     other = F.concat(F.array_except("tokens", "pivot_tokens"), F.array_except("pivot_tokens", "tokens"))
-    unlike = materialise(beside.select("pivot", "key", "root", "size", other.alias("other")).withColumn("of", F.size("other")))
+    unlike = read_by(materialise(beside.select("pivot", "key", "root", "size", other.alias("other")).withColumn("of", F.size("other"))), tasks)
     least = unlike.groupBy("pivot").agg(F.min("of").alias("least"))
     entries = unlike.select("pivot", "key", F.explode("other").alias("token"))
     counts = entries.groupBy("pivot", "token").agg(F.count("*").alias("members")).where("members > 1")
@@ -193,31 +193,31 @@ def _apart_in_long_lists(homes: DataFrame, whole: DataFrame, rooted: DataFrame,
     places = F.size("common") - need + 1
     rarest = told.where(places > 0).select(
         "pivot", "key", "root", "size", "of", F.size("common").alias("shared"), F.posexplode(F.slice("common", F.lit(1), places)).alias("place", "c"))
-    lists = materialise(rarest.select("pivot", "c.token", "key", "root", "size", "of", (F.col("shared") - F.col("place")).alias("rest")))
-    apart = _outside(lists, ["pivot", "token"])
+    lists = read_by(materialise(rarest.select("pivot", "c.token", "key", "root", "size", "of", (F.col("shared") - F.col("place")).alias("rest"))), tasks)
+    apart = _outside(lists, ["pivot", "token"], tasks)
     x = apart.select("pivot", "token", *[F.col(c).alias(f"x_{c}") for c in ("key", "root", "size", "of", "rest", "outside")])
     sizes = F.least("x_size", "size") >= F.greatest("x_size", "size") * similarity - 1e-9
     enough = 2 * F.least("x_rest", "rest") >= F.col("x_of") + F.col("of") - (F.col("x_size") + F.col("size")) * part - 1e-9
     once = ~F.col("outside") | (F.col("x_key") < F.col("key"))
     met = x.where("x_outside").join(apart, ["pivot", "token"]).where((F.col("x_root") != F.col("root")) & once & sizes & enough)
-    pairs = materialise(met.select(F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b")).distinct())
+    pairs = read_by(materialise(met.select(F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b")).distinct()), tasks)
     a, b = (whole.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return pairs.join(a, "a").join(b, "b").where(_alike(shared, F.col("size_a"), F.col("size_b"), similarity)).select("a", "b")
 
 
-def _outside(rooted: DataFrame, by: list[str]) -> DataFrame:
+def _outside(rooted: DataFrame, by: list[str], tasks: int | None = None) -> DataFrame:
     """Members of lists that have several groups, and whether they are outside the list's largest one."""
     groups = rooted.groupBy(*by, "root").agg(F.count("*").alias("n")).groupBy(*by).agg(
         F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("groups")).where("groups > 1")
-    return materialise(rooted.join(groups, by).withColumn("outside", F.col("root") != F.col("largest")).drop("largest", "groups"))
+    return read_by(materialise(rooted.join(groups, by).withColumn("outside", F.col("root") != F.col("largest")).drop("largest", "groups")), tasks)
 
 
-def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float, tasks: int | None = None) -> DataFrame:
     """Pairs that their sizes and sketches don't rule out: (a, b, likely)."""
-    pairs = materialise(pairs.distinct())
-    asked = broadcast_if_small(materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), KEY_BYTES)
-    own = broadcast_if_small(materialise(sketches.join(asked, "key", "left_semi").select("key", "size", "tokens")), ARRAY_BYTES)
+    pairs = read_by(materialise(pairs.distinct()), tasks)
+    asked = broadcast_if_small(read_by(materialise(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), tasks), KEY_BYTES)
+    own = broadcast_if_small(read_by(materialise(sketches.join(asked, "key", "left_semi").select("key", "size", "tokens")), tasks), ARRAY_BYTES)
     a, b = (own.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
     sizes = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-9
     met = pairs.join(a, "a").join(b, "b").where(sizes).withColumn("limit", F.least(_limit(F.col("size_a")), _limit(F.col("size_b"))))
@@ -228,13 +228,13 @@ def _candidates(pairs: DataFrame, sketches: DataFrame, similarity: float) -> Dat
         F.col("likely") >= F.when(F.col("whole"), similarity - 1e-9).otherwise(similarity - LOOSE))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, similarity: float, tasks: int | None = None) -> DataFrame:
     """Pairs (a, b) of text keys that share ``similarity`` of all their shingles; ``docs`` has (key, text)."""
-    pairs = materialise(pairs.select("a", "b", "whole"))
+    pairs = read_by(materialise(pairs.select("a", "b", "whole")), tasks)
     open_pairs = pairs.where("NOT whole").select("a", "b")
-    wanted = broadcast_if_small(materialise(open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), KEY_BYTES)
+    wanted = broadcast_if_small(read_by(materialise(open_pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()), tasks), KEY_BYTES)
     texts = docs.join(wanted, "key", "left_semi").select("key", shingles_column(F.col("text")).alias("all"))
-    sets = broadcast_if_small(materialise(texts.groupBy("key").agg(F.first("all").alias("all"))), ARRAY_BYTES)
+    sets = broadcast_if_small(read_by(materialise(texts.groupBy("key").agg(F.first("all").alias("all"))), tasks), ARRAY_BYTES)
     a, b = (sets.select(F.col("key").alias(c), F.col("all").alias(f"all_{c}")) for c in "ab")
     met = open_pairs.join(a, "a").join(b, "b").where(_likeness(F.col("all_a"), F.col("all_b")) >= similarity - 1e-9)
     return pairs.where("whole").select("a", "b").unionByName(met.select("a", "b"))
@@ -246,13 +246,14 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
     ``sketches`` has one row a text (key, value, size, tokens), ``docs`` the
     texts (key, text), repeated ones too.
     """
-    short, long, whole = _all_listed(sketches, docs, similarity)
-    lists = materialise(short.join(_pivots(short), "token"))
+    tasks = scan_tasks(docs)
+    short, long, whole = _all_listed(sketches, docs, similarity, tasks)
+    lists = read_by(materialise(short.join(_pivots(short), "token")), tasks)
     starred = lists.select(F.explode("pivots").alias("a"), F.col("key").alias("b")).where("a != b")
-    likeliest = _candidates(starred, sketches, similarity).groupBy("b").agg(
+    likeliest = _candidates(starred, sketches, similarity, tasks).groupBy("b").agg(
         F.max_by(F.struct("a", "whole"), F.struct("likely", "a")).alias("best")).select("best.a", "b", "best.whole")
-    found, homes = _long_stars(long, whole, similarity)
-    found = materialise(_verified(likeliest, docs, similarity).unionByName(found))
+    found, homes = _long_stars(long, whole, similarity, tasks)
+    found = read_by(materialise(_verified(likeliest, docs, similarity, tasks).unionByName(found)), tasks)
 
     values = sketches.select("key", "value")
 
@@ -261,15 +262,15 @@ def edited_links(sketches: DataFrame, docs: DataFrame, links: DataFrame, similar
         return pairs.join(a, "a").join(b, "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
 
     roots = components(links.unionByName(renamed(found, values, "value")), "a", "b")
-    rooted = materialise(values.join(roots.withColumnRenamed("node", "value"), "value", "left").select(
-        "key", F.coalesce("root", "value").alias("root")))
+    rooted = read_by(materialise(values.join(roots.withColumnRenamed("node", "value"), "value", "left").select(
+        "key", F.coalesce("root", "value").alias("root"))), tasks)
     # Members of a list's largest group meet those outside it, and these each other where their groups differ.
-    split = _outside(lists.select("token", "key").join(sketches.select("key", "size"), "key").join(rooted, "key"), ["token"])
+    split = _outside(lists.select("token", "key").join(sketches.select("key", "size"), "key").join(rooted, "key"), ["token"], tasks)
     x = split.where("outside").select("token", *[F.col(c).alias(f"x_{c}") for c in ("key", "root", "size")])
     sizes = F.least("x_size", "size") >= F.greatest("x_size", "size") * similarity - 1e-9
     once = ~F.col("outside") | (F.col("x_key") < F.col("key"))
     rest = x.join(split, "token").where((F.col("x_root") != F.col("root")) & once & sizes).select(
         F.least("x_key", "key").alias("a"), F.greatest("x_key", "key").alias("b"))
-    rest = _verified(_candidates(rest, sketches, similarity), docs, similarity)
-    rest = rest.unionByName(_apart_in_long_lists(homes, whole, rooted, similarity))
+    rest = _verified(_candidates(rest, sketches, similarity, tasks), docs, similarity, tasks)
+    rest = rest.unionByName(_apart_in_long_lists(homes, whole, rooted, similarity, tasks))
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(renamed(rest, rooted, "root"))

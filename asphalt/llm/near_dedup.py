@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from asphalt.llm.batches import text_batches
 from asphalt.llm.components import components
 from asphalt.llm.edited_copies import edited_links, shingle_hashes, sketch_of
-from asphalt.session import materialise, shuffles_dropped
+from asphalt.session import materialise, read_by, scan_tasks, shuffles_dropped
 
 MAX_BITS = 2
 SHARED_BYTES = 8 - MAX_BITS
@@ -105,11 +105,11 @@ def postings(fingerprints: DataFrame, column: str) -> DataFrame:
     return fingerprints.select(F.explode(F.array(*entries)).alias("e"), F.col(column)).select("e.entry", "e.bytes", column)
 
 
-def linked(fingerprints: DataFrame, column: str, short_list: int = SHORT_LIST) -> DataFrame:
+def linked(fingerprints: DataFrame, column: str, short_list: int = SHORT_LIST, tasks: int | None = None) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints within two bits of each other."""
     entries = postings(fingerprints, column)
     sizes = entries.groupBy("entry", "bytes").agg(F.count("*").alias("members")).where("members > 1")
-    listed = materialise(entries.join(sizes, ["entry", "bytes"]))
+    listed = read_by(materialise(entries.join(sizes, ["entry", "bytes"])), tasks)
 
     short = listed.where(F.col("members") <= short_list).drop("members")
     a = short.withColumnRenamed(column, "a")
@@ -148,16 +148,17 @@ def near_duplicates(
     """
     text_batches(docs.sparkSession)
     text = F.col(text_column)
+    tasks = scan_tasks(docs)
     with shuffles_dropped(docs.sparkSession):
         if similarity is None:
             rows = materialise(docs.select(F.col(id_column).alias("doc_id"), fingerprint_column(text, words).alias("value")))
         else:
             signed = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("key"), signature_column(text, words).alias("s"))
             rows = materialise(signed.select("doc_id", "key", "s.*"))
-        values = materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
-        links = linked(values.select("value"), "value", short_list)
+        values = read_by(materialise(rows.groupBy("value").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))), tasks)
+        links = linked(values.select("value"), "value", short_list, tasks)
         if similarity is not None:
-            sketches = materialise(rows.where("size > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("value", "size", "tokens")]))
+            sketches = read_by(materialise(rows.where("size > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("value", "size", "tokens")])), tasks)
             links = edited_links(sketches, docs.select(F.xxhash64(text).alias("key"), text.alias("text")), links, similarity)
         roots = components(links, "a", "b")
     placed = values.join(roots.withColumnRenamed("node", "value"), "value", "left").withColumn(
