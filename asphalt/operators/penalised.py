@@ -2,7 +2,7 @@
 
 The penalty is half the logarithm of the information's determinant (Firth). Rows
 collapse to weighted patterns of their columns first, which are packed into
-blocks of numbers once. An iteration reads the blocks twice: once for likelihood, score and information at the coefficients,
+blocks of numbers once and kept. An iteration reads the blocks twice: once for likelihood, score and information at the coefficients,
 once for the leverages under that information. Each task leaves one row of sums,
 whose size depends on the number of columns alone.
 """
@@ -14,16 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from asphalt.session import materialise
-
 ROUNDS = 50
 TOLERANCE = 1e-8
 LARGEST_STEP = 5.0
 HALVINGS = 10
 ROWS_AT_ONCE = 8_192
+SUMS = 64  # rows of sums that reach the driver at once, or four a core
 
 
 @dataclass(frozen=True)
@@ -42,8 +42,8 @@ def patterns(rows: DataFrame, x: Column, label: str) -> DataFrame:
         F.count("*").cast("double").alias("n"), F.sum("label").alias("y"))
 
 
-def _blocks(table: DataFrame) -> DataFrame:
-    """Patterns (x, n, y) as the bytes of up to ``ROWS_AT_ONCE`` of them: no pass converts their values again."""
+def _blocks(table: DataFrame) -> RDD:
+    """Patterns (x, n, y) as arrays of up to ``ROWS_AT_ONCE`` of them, kept: no pass converts their values again."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
@@ -52,27 +52,23 @@ def _blocks(table: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in columns], ["x", "n", "y"])
 
-    return table.select("x", "n", "y").mapInArrow(pack, "x binary, n binary, y binary")
+    def arrays(row: Row) -> tuple[np.ndarray, ...]:
+        x, n, y = map(np.frombuffer, row)
+        return x.reshape(len(n), -1), n, y
+
+    packed = table.select("x", "n", "y").mapInArrow(pack, "x binary, n binary, y binary").rdd
+    tasks = max(SUMS, 4 * packed.context.defaultParallelism)
+    return packed.coalesce(tasks).map(arrays).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _summed(blocks: DataFrame, width: int, part) -> np.ndarray:
+def _summed(blocks: RDD, part) -> np.ndarray:
     """Sum over all patterns of what ``part`` makes of a block (x, n, y): a vector."""
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for block in zip(*[batch.column(i) for i in range(3)]):
-                x, n, y = (np.frombuffer(c.as_buffer()) for c in block)
-                own = part(x.reshape(-1, width), n, y)
-                total = own if total is None else total + own
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["place", "value"])
+    def sums(own: Iterator[tuple]) -> Iterator[np.ndarray]:
+        found = [part(*block) for block in own]
+        if found:
+            yield np.sum(found, axis=0)
 
-    partial = blocks.mapInArrow(sums, "place int, value double")
-    found = partial.groupBy("place").agg(F.sum("value").alias("value")).collect()  # columns squared at most
-    out = np.zeros(max((r["place"] for r in found), default=-1) + 1)
-    for r in found:
-        out[r["place"]] = r["value"]
-    return out
+    return np.sum(blocks.mapPartitions(sums).collect(), axis=0)  # columns squared at most from each task
 
 
 def _curve(x: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,11 +82,17 @@ def fit(table: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) ->
     Steps are halved until the penalised likelihood no longer falls. Columns
     must not depend linearly on each other. An empty table is refused.
     """
-    first = table.select(F.size("x").alias("width")).first()
-    if first is None:
+    blocks = _blocks(table)
+    try:
+        return _newton(blocks, rounds, tolerance)
+    finally:
+        blocks.unpersist()
+
+
+def _newton(blocks: RDD, rounds: int, tolerance: float) -> PenalisedFit:
+    width = max(blocks.map(lambda block: block[0].shape[1]).collect(), default=None)
+    if width is None:
         raise ValueError("no rows to fit")
-    width = first["width"]
-    table = materialise(_blocks(table))
 
     def at(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """Penalised likelihood, score and information."""
@@ -100,7 +102,7 @@ def fit(table: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) ->
             information = x.T @ (x * (n * p * (1 - p))[:, None])
             return np.concatenate([[likelihood], x.T @ (y - n * p), information.ravel()])
 
-        sums = _summed(table, width, part)
+        sums = _summed(blocks, part)
         information = sums[1 + width:].reshape(width, width)
         sign, size = np.linalg.slogdet(information)
         if sign <= 0:
@@ -115,10 +117,10 @@ def fit(table: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) ->
 
         def leverage(x, n, y, beta=beta, inverse=inverse):
             _, p = _curve(x, beta)
-            weights = n * p * (1 - p) * np.einsum("ij,jk,ik->i", x, inverse, x)
+            weights = n * p * (1 - p) * ((x @ inverse) * x).sum(axis=1)
             return x.T @ (weights * (0.5 - p))
 
-        step = inverse @ (score + _summed(table, width, leverage))
+        step = inverse @ (score + _summed(blocks, leverage))
         step *= min(1.0, LARGEST_STEP / max(np.abs(step).max(), 1e-300))
         for _ in range(HALVINGS):
             tried = at(beta + step)

@@ -68,3 +68,20 @@ def test_missing_values_and_refusals(spark):
         penalised.ratios(df.limit(0), ["x0"], "y")
     with pytest.raises(ValueError, match="depend linearly"):
         penalised.ratios(df.na.fill(0.0).withColumn("x1", F.col("x0")), ["x0", "x1"], "y")
+
+
+def test_passes_read_kept_blocks_without_a_shuffle(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, (3000, 6))
+    rows = table(spark, x, rng.integers(0, 2, 3000)).repartition(5)
+    found = penalised.patterns(rows, F.array(*[f"x{i}" for i in range(6)]), "y").persist()
+    found.count()
+    context = spark.sparkContext
+    context.setJobGroup("penalised passes", "penalised passes")
+    try:
+        rounds = penalised.fit(found).rounds
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("penalised passes")
+    assert 2 * rounds < len(jobs) <= 2 * rounds + 4  # a shuffle would be a job of its own in each pass
+    found.unpersist()
