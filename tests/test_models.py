@@ -263,3 +263,16 @@ def test_forest_is_as_that_of_spark_ml_on_every_row(spark, parts):
             vector_to_array("probability")[1].alias("score")).toPandas()["score"]]
     assert np.corrcoef(found[0].to_numpy(), found[1].to_numpy())[0, 1] > 0.98
     assert model.classifier.importances == pytest.approx(theirs.featureImportances.toArray(), abs=0.06)
+
+
+def test_collapsed_scores_are_measured_as_the_rows_they_stand_for(spark):
+    rows = spark.createDataFrame([(0.9, 1, 3), (0.9, 0, 1), (0.6, 0, 2), (0.4, 1, 5), (0.1, 0, 9)], "score double, label int, _rows long")
+    assert metrics.evaluate(rows).collect() == metrics.evaluate(features.expanded(rows)).collect()
+
+
+def test_model_queries_join_the_raw_tables_once(spark):
+    """What is left to read when a query returns comes from its own rows, not from the tables again."""
+    from asphalt.checks.queries import QUERIES
+
+    plan = QUERIES["fit_invariants"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "parquet" not in plan
