@@ -276,3 +276,13 @@ def test_model_queries_join_the_raw_tables_once(spark):
 
     plan = QUERIES["fit_invariants"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "parquet" not in plan
+
+
+def test_place_history_joins_the_raw_tables_once(spark, monkeypatch):
+    from asphalt.checks import queries
+
+    read = []
+    split_for = models.split_for
+    monkeypatch.setattr(queries.models, "split_for", lambda df, *rest: read.append(df) or split_for(df, *rest))
+    assert queries.QUERIES["fit_with_history"](spark, SMALL).count() == 1
+    assert "Join" not in read[0]._jdf.queryExecution().optimizedPlan().toString()
