@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asphalt.functions.scoring import linear_predictor, logistic
-from asphalt.operators import cleaning, effects, features, metrics, models
+from asphalt.operators import cleaning, effects, features, metrics, models, trees
 from asphalt.checks import views
 from asphalt.schema import INFRA, ModelChoice
 from tests import frames
@@ -286,3 +286,19 @@ def test_place_history_joins_the_raw_tables_once(spark, monkeypatch):
     monkeypatch.setattr(queries.models, "split_for", lambda df, *rest: read.append(df) or split_for(df, *rest))
     assert queries.QUERIES["fit_with_history"](spark, SMALL).count() == 1
     assert "Join" not in read[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trees_grown_in_turns_are_those_grown_at_once(spark, parts, monkeypatch):
+    """What a task holds of the rows drawn is bounded, whatever the number of trees."""
+    rows = models.training_rows(parts[0])
+    encoder = features.Encoder.fit(rows)
+    choice = ModelChoice("random_forest", {"n_estimators": 5, "max_depth": 4})
+    whole = models.fit(rows, choice, encoder).classifier
+    turns = []
+    grown = trees._grown
+    monkeypatch.setattr(trees, "_grown", lambda *a: turns.append(a[4]) or grown(*a))
+    monkeypatch.setattr(trees, "HELD", trees.DRAWN_BYTES)
+    split = models.fit(rows, choice, encoder).classifier
+    assert len(turns) == 5 and sorted(t for turn in turns for t in turn) == list(range(5))
+    assert split.importances.tolist() == whole.importances.tolist()
+    assert [t.value.tolist() for t in split.trees] == [t.value.tolist() for t in whole.trees]
